@@ -93,3 +93,17 @@ def validate_names(names: Iterable[str]) -> list[str]:
             raise ValueError(f"duplicate feature: {n}")
         seen.add(n)
     return out
+
+
+def pct2_expr(k: str, n: str, engine: str = "spark") -> str:
+    """``ROUND(100 * k / n, 2)`` for non-negative integer k, n > 0, rounded HALF_UP exactly.
+
+    Integer arithmetic, so both engines agree even at a .xx5 tie.  NULL when n = 0.
+    """
+    div = "div" if engine == "spark" else "//"
+    return (f"CASE WHEN ({n}) = 0 THEN NULL ELSE CAST((CAST({k} AS BIGINT) * 20000 + ({n})) {div} "
+            f"(2 * ({n})) AS DOUBLE) / 100.0 END")
+
+
+def pct2(k: str, n: str) -> Column:
+    return F.expr(pct2_expr(k, n, "spark"))

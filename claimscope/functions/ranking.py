@@ -112,3 +112,36 @@ def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float,
 
 def ceil_pos(q: float, n: int) -> int:
     return max(1, math.ceil(q * n))
+
+
+def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequence[float],
+                  names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per group (pandas ``quantile`` /
+    ``percentile`` / DuckDB ``quantile_cont``), one column per q.
+
+    position h = (n - 1) * q; result = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
+    Only the <= 2 rows per (group, q) at those positions survive the rank, then a
+    small aggregate assembles them; no group is ever sorted in one task.
+    """
+    names = list(names or [f"q{int(round(q * 100))}" for q in qs])
+    if any(not 0 <= q <= 1 for q in qs):
+        raise ValueError("quantiles must be in [0, 1]")
+    vals = df.select(*group_by, value).where(F.col(value).isNotNull())
+    counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
+    ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
+    j = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(counts)
+    outs = []
+    for q, name in zip(qs, names):
+        h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        frac = h - F.floor(h)
+        v_lo = F.max(F.when(F.col("__q_rn") == lo, F.col(value)))
+        v_hi = F.max(F.when(F.col("__q_rn") == hi, F.col(value)))
+        f = F.max(frac)
+        outs.append((v_lo + f * (v_hi - v_lo)).alias(name))
+    keep = F.lit(False)
+    for q in qs:
+        h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))
+        keep = keep | (F.col("__q_rn") == F.floor(h) + 1) | (F.col("__q_rn") == F.ceil(h) + 1)
+    sel = j.where(keep)
+    return sel.groupBy(*group_by).agg(*outs) if group_by else sel.agg(*outs)
