@@ -94,20 +94,29 @@ def latest_per(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) ->
     return agg.select(*[F.col("__lp")[c].alias(c) for c in cols])
 
 
-def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float, out: str) -> DataFrame:
-    """Exact discrete quantile per group: the value at 1-based position ceil(q * n).
+def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float | Sequence[float],
+                  out: str | Sequence[str]) -> DataFrame:
+    """Exact discrete quantile(s) per group: the value at 1-based position ceil(q * n).
 
     Same definition as DuckDB ``quantile_disc`` / SQL ``PERCENTILE_DISC``.  Built on
-    ``row_number_by`` so a group with most rows is sorted by many tasks.
+    ``row_number_by`` so a group with most rows is sorted by many tasks; only the
+    rows at the wanted positions reach the final (tiny) aggregate.
     """
-    if not 0 <= q <= 1:
+    qs = [q] if isinstance(q, (int, float)) else list(q)
+    outs = [out] if isinstance(out, str) else list(out)
+    if any(not 0 <= x <= 1 for x in qs):
         raise ValueError("q must be in [0, 1]")
     vals = df.select(*group_by, value).where(F.col(value).isNotNull())
     counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
     ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
-    pos = F.greatest(F.ceil(F.lit(q) * F.col("__q_n")), F.lit(1))
     joined = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(counts)
-    return joined.where(F.col("__q_rn") == pos).select(*group_by, F.col(value).alias(out))
+    pos = [F.greatest(F.ceil(F.lit(float(x)) * F.col("__q_n")), F.lit(1)) for x in qs]
+    keep = F.lit(False)
+    for p_ in pos:
+        keep = keep | (F.col("__q_rn") == p_)
+    aggs = [F.max(F.when(F.col("__q_rn") == p_, F.col(value))).alias(o) for p_, o in zip(pos, outs)]
+    sel = joined.where(keep)
+    return sel.groupBy(*group_by).agg(*aggs) if group_by else sel.agg(*aggs)
 
 
 def ceil_pos(q: float, n: int) -> int:

@@ -124,6 +124,15 @@ def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_classes(spark: SparkSession, sf_dir: str, model_name: str = "isolation_forest") -> DataFrame:
+    """Raw class output of a classifier run: isolation forest '-1' (anomaly) / '1',
+    random forest '1' / '0', derived from the score at 0.5."""
+    pos, neg = ("-1", "1") if model_name == "isolation_forest" else ("1", "0")
+    p = raw_predictions(spark, sf_dir).where(F.col("model_name") == model_name)
+    return p.select("provider_id", "run_id", "model_name", "model_version", "created_at",
+                    F.when(F.col("fraud_score") >= 0.5, F.lit(pos)).otherwise(F.lit(neg)).alias("prediction"))
+
+
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Investigator outcomes per (provider, run) attached to the xgboost model."""
     ev = read(spark, sf_dir, "events").where(F.col("event_type") == FEEDBACK_EVENT)
@@ -229,6 +238,13 @@ FROM (
 ) g
 """
 
+def raw_classes_sql(model_name: str = "isolation_forest") -> str:
+    pos, neg = ("-1", "1") if model_name == "isolation_forest" else ("1", "0")
+    return (f"SELECT provider_id, run_id, model_name, model_version, created_at, "
+            f"CASE WHEN fraud_score >= 0.5 THEN '{pos}' ELSE '{neg}' END AS prediction "
+            f"FROM ({RAW_PREDICTIONS_SQL}) WHERE model_name = '{model_name}'")
+
+
 FEEDBACK_SQL = f"""
 SELECT
   'INV-' || CAST(user_id AS VARCHAR) || '-' || CAST(run_no AS VARCHAR) AS investigation_id,
