@@ -296,3 +296,118 @@ def claims_window_sql(start: dt.date | None = None, end: dt.date | None = None)
     if end is not None:
         conds.append(f"CAST(l.l_shipdate AS DATE) <= DATE '{end.isoformat()}'")
     return CLAIMS_SQL + (" WHERE " + " AND ".join(conds) if conds else "")
+
+
+# ---------------------------------------------------------------------------
+# Governance and experiment-tracking tables derived from the run table.
+# ---------------------------------------------------------------------------
+RESOURCE_PREFIX = "projects/demo/locations/us-central1/models/"
+STATE_KEY_PREFIX = "provider_fraud_"
+
+
+def training_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One state row per model type: latest run = candidate, the run before = approved.
+
+    The run table has one row per (model, run) -- tiny by construction -- so a
+    window over it is bounded.
+    """
+    from pyspark.sql import Window
+    runs = experiment_runs(spark, sf_dir)
+    w = Window.partitionBy("model_type").orderBy(F.col("created_at").desc(), F.col("run_id").desc())
+    r = runs.withColumn("rn", F.row_number().over(w))
+    c = r.where("rn = 1").alias("c")
+    a = r.where("rn = 2").alias("a")
+    j = c.join(a, "model_type", "left")
+    return j.select(
+        F.concat(F.lit(STATE_KEY_PREFIX), F.col("model_type")).alias("model_name"),
+        F.trunc(F.col("a.training_end"), "month").alias("last_training_data_month"),
+        F.col("a.created_at").alias("last_training_timestamp"),
+        F.when(F.col("c.status") == "SUCCEEDED", F.lit("PENDING_APPROVAL")).otherwise(F.lit("REJECTED")).alias("candidate_status"),
+        F.concat(F.lit(RESOURCE_PREFIX), F.lit("2")).alias("candidate_model_resource"),
+        F.trunc(F.col("c.training_end"), "month").alias("candidate_data_month"),
+        F.col("c.created_at").alias("candidate_created_at"),
+        F.sha2(F.col("a.feature_version"), 256).alias("approved_feature_signature"),
+        F.sha2(F.col("c.feature_version"), 256).alias("candidate_feature_signature"),
+        F.sha2(F.col("a.run_id"), 256).alias("approved_model_signature"),
+        F.sha2(F.col("c.run_id"), 256).alias("candidate_model_signature"),
+        F.col("model_type").alias("approved_model_type"),
+        F.col("model_type").alias("candidate_model_type"),
+        F.col("a.run_id").alias("approved_run_id"),
+        F.col("c.run_id").alias("candidate_run_id"),
+        F.concat(F.lit(RESOURCE_PREFIX), F.lit("1")).alias("approved_model_resource"),
+    )
+
+
+TRAINING_STATE_SQL = f"""
+SELECT '{STATE_KEY_PREFIX}' || c.model_type AS model_name,
+  CAST(date_trunc('month', a.training_end) AS DATE) AS last_training_data_month,
+  a.created_at AS last_training_timestamp,
+  CASE WHEN c.status = 'SUCCEEDED' THEN 'PENDING_APPROVAL' ELSE 'REJECTED' END AS candidate_status,
+  '{RESOURCE_PREFIX}2' AS candidate_model_resource,
+  CAST(date_trunc('month', c.training_end) AS DATE) AS candidate_data_month,
+  c.created_at AS candidate_created_at,
+  sha256(a.feature_version) AS approved_feature_signature, sha256(c.feature_version) AS candidate_feature_signature,
+  sha256(a.run_id) AS approved_model_signature, sha256(c.run_id) AS candidate_model_signature,
+  c.model_type AS approved_model_type, c.model_type AS candidate_model_type,
+  a.run_id AS approved_run_id, c.run_id AS candidate_run_id,
+  '{RESOURCE_PREFIX}1' AS approved_model_resource
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY model_type ORDER BY created_at DESC, run_id DESC) AS rn FROM ({EXPERIMENT_RUNS_SQL})) c
+LEFT JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY model_type ORDER BY created_at DESC, run_id DESC) AS rn FROM ({EXPERIMENT_RUNS_SQL})) a
+  ON c.model_type = a.model_type AND a.rn = 2
+WHERE c.rn = 1
+"""
+
+TRAINING_THRESHOLD = 0.4
+SCORE_METRICS = ["provider_count", "flagged_provider_count", "alert_rate", "mean_score", "max_score"]
+
+
+def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long metric rows per run: score summary of every run plus precision / recall /
+    F1 at the training threshold for runs with investigator feedback."""
+    from ..operators.performance import confusion, matched_cases
+    p = raw_predictions(spark, sf_dir)
+    s = p.groupBy("experiment_id", "run_id").agg(
+        F.count(F.lit(1)).cast("double").alias("provider_count"),
+        F.count_if(F.col("fraud_score") >= 0.5).cast("double").alias("flagged_provider_count"),
+        F.avg("fraud_score").alias("mean_score"), F.max("fraud_score").alias("max_score"),
+        F.max("created_at").alias("created_at"))
+    s = s.withColumn("alert_rate", F.col("flagged_provider_count") / F.col("provider_count"))
+    long1 = s.unpivot(["experiment_id", "run_id", "created_at"], SCORE_METRICS, "metric_name", "metric_value")
+    conf = confusion(matched_cases(p, feedback(spark, sf_dir), TRAINING_THRESHOLD))
+    tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
+    c = conf.select("run_id", F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
+                    F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"))
+    c = c.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
+                                        2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
+                     .otherwise(0.0))
+    runs_meta = s.select("experiment_id", "run_id", "created_at")
+    long2 = c.join(runs_meta, "run_id").unpivot(["experiment_id", "run_id", "created_at"],
+                                                ["precision", "recall", "f1_score"], "metric_name", "metric_value")
+    cols = ["experiment_id", "run_id", "metric_name", "metric_value", "created_at"]
+    return long1.select(*cols).unionByName(long2.select(*cols))
+
+
+EXPERIMENT_METRICS_SQL = f"""
+WITH p AS ({RAW_PREDICTIONS_SQL}), f AS ({FEEDBACK_SQL}),
+s AS (SELECT experiment_id, run_id, CAST(COUNT(*) AS DOUBLE) AS provider_count,
+        CAST(COUNT(*) FILTER (WHERE fraud_score >= 0.5) AS DOUBLE) AS flagged_provider_count,
+        AVG(fraud_score) AS mean_score, MAX(fraud_score) AS max_score, MAX(created_at) AS created_at
+      FROM p GROUP BY 1, 2),
+m AS (SELECT p.run_id, COUNT(*) FILTER (WHERE p.fraud_score >= {TRAINING_THRESHOLD} AND f.investigation_result = 'CONFIRMED_FRAUD') AS tp,
+        COUNT(*) FILTER (WHERE p.fraud_score >= {TRAINING_THRESHOLD} AND f.investigation_result <> 'CONFIRMED_FRAUD') AS fp,
+        COUNT(*) FILTER (WHERE p.fraud_score < {TRAINING_THRESHOLD} AND f.investigation_result = 'CONFIRMED_FRAUD') AS fn
+      FROM p JOIN f ON p.provider_id = f.provider_id AND p.run_id = f.run_id AND p.model_version = f.model_version
+      WHERE f.model_name = p.model_name AND f.investigation_result IN ('CONFIRMED_FRAUD', 'CONFIRMED_NORMAL')
+      GROUP BY p.run_id),
+c AS (SELECT run_id, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM m),
+c2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score FROM c),
+s2 AS (SELECT *, flagged_provider_count / provider_count AS alert_rate FROM s)
+SELECT experiment_id, run_id, metric_name, metric_value, created_at FROM (
+  SELECT experiment_id, run_id, created_at, provider_count, flagged_provider_count, alert_rate, mean_score, max_score FROM s2)
+  UNPIVOT (metric_value FOR metric_name IN (provider_count, flagged_provider_count, alert_rate, mean_score, max_score))
+UNION ALL
+SELECT experiment_id, run_id, metric_name, metric_value, created_at FROM (
+  SELECT s2.experiment_id, c2.run_id, s2.created_at, c2.precision, c2.recall, c2.f1_score FROM c2 JOIN s2 USING (run_id))
+  UNPIVOT (metric_value FOR metric_name IN (precision, recall, f1_score))
+"""
