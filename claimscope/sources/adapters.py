@@ -34,6 +34,7 @@ FEEDBACK_MODEL = "xgboost"
 RUN_EPOCH = "2024-01-01 00:00:00"
 RUN_DAYS = 10
 CONFIRM_ABOVE = 100
+INVESTIGATED_MIN_EVENTS = 5  # a (provider, run) is investigated when it has >= 5 error events
 FIXTURE_DATA_MONTH = dt.date(2001, 9, 1)
 FIXTURE_TRAIN_MONTHS = 6
 FIXTURE_TEST_MONTHS = 3
@@ -139,7 +140,9 @@ def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = (ev.select(F.col("user_id"), _run_no(F.col("ts")).alias("run_no"), F.col("value"),
                    F.col("value").cast("decimal(18,2)").alias("v"), F.col("ts"))
            .groupBy("user_id", "run_no")
-           .agg(F.max("value").alias("mx"), F.sum("v").alias("s"), F.max("ts").alias("last_ts")))
+           .agg(F.max("value").alias("mx"), F.sum("v").alias("s"), F.max("ts").alias("last_ts"),
+                F.count(F.lit(1)).alias("n"))
+           .where(F.col("n") >= INVESTIGATED_MIN_EVENTS))
     confirmed = F.col("mx") > CONFIRM_ABOVE
     return g.select(
         F.concat_ws("-", F.lit("INV"), F.col("user_id").cast("string"), F.col("run_no").cast("string")).alias("investigation_id"),
@@ -262,7 +265,7 @@ FROM (
   SELECT user_id, {_RUN_NO} AS run_no, MAX(value) AS mx,
          SUM(CAST(value AS DECIMAL(18,2))) AS s, MAX(ts) AS last_ts
   FROM events WHERE event_type = 'error'
-  GROUP BY 1, 2
+  GROUP BY 1, 2 HAVING COUNT(*) >= 5
 ) g
 """
 
