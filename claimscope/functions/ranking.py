@@ -154,3 +154,27 @@ def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequen
         keep = keep | (F.col("__q_rn") == F.floor(h) + 1) | (F.col("__q_rn") == F.ceil(h) + 1)
     sel = j.where(keep)
     return sel.groupBy(*group_by).agg(*outs) if group_by else sel.agg(*outs)
+
+
+def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str],
+                 cols: Sequence[str], prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sums of ``cols`` per group in ``order_by`` order, distributed.
+
+    Same slicing as ``row_number_by``: range partitions give contiguous slices,
+    a window sums inside each (partition, group) slice -- bounded by the slice
+    size -- and a broadcast table of slice totals (<= partitions + groups rows)
+    supplies each slice's offset.  ``order_by`` must be a total order.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in partition_by]
+    order = _sort_cols(order_by)
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id())
+    w_local = Window.partitionBy(_PID, *partition_by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"__loc_{c}") for c in cols])
+    tot = ranged.groupBy(_PID, *partition_by).agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
+    w_off = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(_PID, *partition_by,
+                     *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in cols])
+    j = local.join(F.broadcast(off), [_PID, *partition_by], "inner")
+    return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in cols])
