@@ -383,9 +383,14 @@ def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = c.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
                                         2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
                      .otherwise(0.0))
+    from ..operators.models import classification_metrics
+    ap = classification_metrics(matched_cases(p, feedback(spark, sf_dir), TRAINING_THRESHOLD),
+                                group_by=["run_id"]).select("run_id", F.col("average_precision").alias("pr_auc"))
+    c = c.join(ap, "run_id", "left")
     runs_meta = s.select("experiment_id", "run_id", "created_at")
     long2 = c.join(runs_meta, "run_id").unpivot(["experiment_id", "run_id", "created_at"],
-                                                ["precision", "recall", "f1_score"], "metric_name", "metric_value")
+                                                ["precision", "recall", "f1_score", "pr_auc"], "metric_name",
+                                                "metric_value")
     cols = ["experiment_id", "run_id", "metric_name", "metric_value", "created_at"]
     return long1.select(*cols).unionByName(long2.select(*cols))
 
@@ -404,13 +409,91 @@ m AS (SELECT p.run_id, COUNT(*) FILTER (WHERE p.fraud_score >= {TRAINING_THRESHO
       GROUP BY p.run_id),
 c AS (SELECT run_id, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM m),
-c2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score FROM c),
+mt AS (SELECT p.run_id, p.fraud_score AS sc, CASE WHEN f.investigation_result = 'CONFIRMED_FRAUD' THEN 1 ELSE 0 END AS y
+       FROM p JOIN f ON p.provider_id = f.provider_id AND p.run_id = f.run_id AND p.model_version = f.model_version
+       WHERE f.model_name = p.model_name AND f.investigation_result IN ('CONFIRMED_FRAUD', 'CONFIRMED_NORMAL')),
+per AS (SELECT run_id, sc, SUM(y) AS pos, COUNT(*) - SUM(y) AS neg FROM mt GROUP BY 1, 2),
+cum AS (SELECT *, SUM(pos) OVER (PARTITION BY run_id ORDER BY sc DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cp,
+          SUM(neg) OVER (PARTITION BY run_id ORDER BY sc DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn,
+          SUM(pos) OVER (PARTITION BY run_id) AS tp_all FROM per),
+ap AS (SELECT run_id, SUM(CASE WHEN tp_all = 0 THEN NULL ELSE pos / tp_all END * cp / (cp + cn)) AS pr_auc FROM cum GROUP BY 1),
+c2 AS (SELECT c.*, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score,
+         ap.pr_auc FROM c LEFT JOIN ap USING (run_id)),
 s2 AS (SELECT *, flagged_provider_count / provider_count AS alert_rate FROM s)
 SELECT experiment_id, run_id, metric_name, metric_value, created_at FROM (
   SELECT experiment_id, run_id, created_at, provider_count, flagged_provider_count, alert_rate, mean_score, max_score FROM s2)
   UNPIVOT (metric_value FOR metric_name IN (provider_count, flagged_provider_count, alert_rate, mean_score, max_score))
 UNION ALL
 SELECT experiment_id, run_id, metric_name, metric_value, created_at FROM (
-  SELECT s2.experiment_id, c2.run_id, s2.created_at, c2.precision, c2.recall, c2.f1_score FROM c2 JOIN s2 USING (run_id))
-  UNPIVOT (metric_value FOR metric_name IN (precision, recall, f1_score))
+  SELECT s2.experiment_id, c2.run_id, s2.created_at, c2.precision, c2.recall, c2.f1_score, c2.pr_auc FROM c2 JOIN s2 USING (run_id))
+  UNPIVOT (metric_value FOR metric_name IN (precision, recall, f1_score, pr_auc))
+"""
+
+
+def approval_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Release log derived from the run table: a PROMOTION per succeeded run (from the
+    previous run to it) and a ROLLBACK per failed run (from the previous run back to
+    the one before).  Isolation-forest events are legacy rows without the
+    ``from_feature_signature`` (an incomplete snapshot)."""
+    from pyspark.sql import Window
+    r = experiment_runs(spark, sf_dir).select(
+        "run_id", "model_type", "status", "created_at", "feature_version",
+        F.regexp_extract("run_id", r"-([0-9]+)$", 1).alias("run_no"),
+        F.trunc("training_end", "month").alias("data_month"))
+    snap = lambda p: [F.concat(F.lit(RESOURCE_PREFIX), F.col("run_no")).alias(f"{p}model_resource"),
+                      F.col("run_id").alias(f"{p}run_id"), F.col("model_type").alias(f"{p}model_type"),
+                      F.sha2(F.col("feature_version"), 256).alias(f"{p}feature_signature"),
+                      F.sha2(F.col("run_id"), 256).alias(f"{p}model_signature"),
+                      F.col("data_month").alias(f"{p}data_month"), F.col("created_at").alias(f"{p}training_timestamp")]
+    snaps = r.select("model_type", "run_id", "status", "created_at", F.struct(*snap("")).alias("snap"))
+    w = Window.partitionBy("model_type").orderBy("created_at", "run_id")  # run table: one row per run
+    snaps = snaps.select("*", F.lag("snap", 1).over(w).alias("prev"), F.lag("snap", 2).over(w).alias("prev2"))
+    names = ["model_resource", "run_id", "model_type", "feature_signature", "model_signature", "data_month",
+             "training_timestamp"]
+    legacy = F.col("model_type") == "isolation_forest"
+
+    def event(kind, days, src, dst):
+        cols = [F.col(f"{src}.{n}").alias(f"from_{n}") if not (n == "feature_signature")
+                else F.when(legacy, F.lit(None).cast("string")).otherwise(F.col(f"{src}.{n}")).alias(f"from_{n}")
+                for n in names]
+        return [F.concat(F.lit(kind[:5] + "-"), F.col("run_id")).alias("event_id"),
+                F.concat(F.lit(STATE_KEY_PREFIX), F.col("model_type")).alias("state_key"),
+                (F.col("created_at") + F.make_dt_interval(days=F.lit(days))).alias("event_time"),
+                F.lit(kind).alias("event_type"), F.lit("approver").alias("actor"),
+                F.lit("monthly release" if kind == "PROMOTION" else "failed run").alias("reason"), *cols,
+                *[F.col(f"{dst}.{n}").alias(f"to_{n}") for n in names]]
+    promo = snaps.where(F.col("status") == "SUCCEEDED").select(*event("PROMOTION", 1, "prev", "snap"))
+    rollback = snaps.where((F.col("status") == "FAILED") & F.col("prev2").isNotNull()).select(
+        *event("ROLLBACK", 2, "prev", "prev2"))
+    return promo.unionByName(rollback)
+
+
+def _ledger_snap(alias, prefix, legacy_null_feature=False):
+    fs = f"{alias}_feature_signature"
+    fsig = f"CASE WHEN model_type = 'isolation_forest' THEN NULL ELSE {fs} END" if legacy_null_feature else fs
+    return (f"{alias}_model_resource AS {prefix}model_resource, {alias}_run_id AS {prefix}run_id, "
+            f"{alias}_model_type AS {prefix}model_type, {fsig} AS {prefix}feature_signature, "
+            f"{alias}_model_signature AS {prefix}model_signature, {alias}_data_month AS {prefix}data_month, "
+            f"{alias}_training_timestamp AS {prefix}training_timestamp")
+
+
+_SNAP_COLS = ["model_resource", "run_id", "model_type", "feature_signature", "model_signature", "data_month",
+              "training_timestamp"]
+_LAGS = ", ".join(f"LAG(s_{c}, {k}) OVER (PARTITION BY model_type ORDER BY created_at, run_id) AS {a}_{c}"
+                  for k, a in ((1, "p"), (2, "q")) for c in _SNAP_COLS)
+APPROVAL_LEDGER_SQL = f"""
+WITH r AS (SELECT run_id, model_type, status, created_at,
+             '{RESOURCE_PREFIX}' || regexp_extract(run_id, '-([0-9]+)$', 1) AS s_model_resource, run_id AS s_run_id,
+             model_type AS s_model_type, sha256(feature_version) AS s_feature_signature, sha256(run_id) AS s_model_signature,
+             CAST(date_trunc('month', training_end) AS DATE) AS s_data_month, created_at AS s_training_timestamp
+           FROM ({EXPERIMENT_RUNS_SQL})),
+l AS (SELECT *, {_LAGS} FROM r)
+SELECT 'PROMO-' || run_id AS event_id, '{STATE_KEY_PREFIX}' || model_type AS state_key,
+  created_at + INTERVAL 1 DAY AS event_time, 'PROMOTION' AS event_type, 'approver' AS actor, 'monthly release' AS reason,
+  {_ledger_snap('p', 'from_', True)}, {_ledger_snap('s', 'to_')}
+FROM l WHERE status = 'SUCCEEDED'
+UNION ALL
+SELECT 'ROLLB-' || run_id, '{STATE_KEY_PREFIX}' || model_type, created_at + INTERVAL 2 DAY, 'ROLLBACK', 'approver',
+  'failed run', {_ledger_snap('p', 'from_', True)}, {_ledger_snap('q', 'to_')}
+FROM l WHERE status = 'FAILED' AND q_run_id IS NOT NULL
 """
