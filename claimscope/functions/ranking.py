@@ -43,10 +43,11 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
                 .sortWithinPartitions(*keys, *order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
-    # The numbered slice is read twice (offset table + final rows).  Both reads
-    # come from the same range shuffle, and with a total order the positions are
-    # deterministic, so a recomputed task after executor loss numbers its rows
-    # identically.
+    # The numbered slices are read twice (offset table + rows).  Range bounds are
+    # sampled per execution, so two executions may cut different slices: the
+    # numbered rows are checkpointed once (reliable storage under
+    # spark.checkpoint.dir), which also cuts the lineage for recovery.
+    ranged = _materialize(ranged)
     slices = (ranged.groupBy(_PID, *partition_by)
                     .agg(F.min(_MID).alias("__rk_first"), F.count(F.lit(1)).alias("__rk_cnt")))
     w = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -57,6 +58,16 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     return joined.withColumn(out, rn).drop(_PID, _MID, "__rk_first", "__rk_off")
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+    elif spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    return df.checkpoint(eager=True)
+
+
 def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int, rank_col: str | None = None) -> DataFrame:
     """Global top-k (TakeOrderedAndProject: each task keeps k rows) plus optional rank.
 
@@ -169,7 +180,7 @@ def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by]
     order = _sort_cols(order_by)
-    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id())
+    ranged = _materialize(df.repartitionByRange(n, *keys, *order).withColumn(_PID, F.spark_partition_id()))
     w_local = Window.partitionBy(_PID, *partition_by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"__loc_{c}") for c in cols])
     tot = ranged.groupBy(_PID, *partition_by).agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
