@@ -58,6 +58,16 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     return joined.withColumn(out, rn).drop(_PID, _MID, "__rk_first", "__rk_off")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable eager checkpoint under ``spark.checkpoint.dir`` (shared storage).
+
+    Used where a provider-level aggregate of the claims feeds two branches (a
+    peer baseline and the rows): Catalyst prunes the branches differently, so
+    without it the claims scan and joins would run twice.  Also cuts lineage.
+    """
+    return _materialize(df)
+
+
 def _materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_if, flag_rate, money_avg, money_avg_cents, safe_div
-from ..functions.ranking import quantile_disc
+from ..functions.ranking import materialize, quantile_disc
 
 # Configured provider features and their expressions (pipeline config).
 FEATURE_SQL: dict[str, str] = {
@@ -115,7 +115,11 @@ def provider_base(split_claims: DataFrame, feature_sql: Mapping[str, str] = FEAT
 def derive_features(base: DataFrame, derived_sql: Mapping[str, str] = DERIVED_SQL,
                     baseline_sql: Mapping[str, str] = BASELINE_SQL,
                     feature_names: Sequence[str] = tuple(FEATURE_SQL)) -> DataFrame:
-    """per-split peer baseline (<= 2 rows, broadcast) and derived features."""
+    """per-split peer baseline (<= 2 rows, broadcast) and derived features.
+
+    ``base`` is checkpointed once so the claims scan is not repeated for the baseline.
+    """
+    base = materialize(base)
     baseline = base.groupBy("dataset_split").agg(*[F.expr(e).alias(n) for n, e in baseline_sql.items()])
     p, b = base.alias("p"), F.broadcast(baseline).alias("b")
     j = p.join(b, F.col("p.dataset_split") == F.col("b.dataset_split"), "left")
@@ -166,6 +170,7 @@ def provider_features_median(split_claims: DataFrame,
         money_avg_cents("total_paid_amount").alias("avg_paid_per_claim"),
         F.sum("total_paid_amount").alias("total_paid"),
     ).withColumn("feature_timestamp", ts)
+    m = materialize(m)
     base = quantile_disc(m, ["dataset_split"], "high_acuity_pct", 0.5, "peer_high_acuity_rate")
     p, b = m.alias("p"), F.broadcast(base).alias("b")
     expected = F.col("p.total_claims") * F.col("b.peer_high_acuity_rate")
@@ -236,6 +241,7 @@ def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, m
          / F.count(F.when(recent, F.col("total_paid_amount")))).alias("avg_paid_per_claim_7d"),
         F.avg(F.when(recent, F.col("member_provider_distance"))).alias("avg_member_provider_distance_7d"),
     )
+    prov = materialize(prov)
     # one baseline row per snapshot date: bounded by the date list, broadcast
     base = prov.groupBy("snapshot_date").agg(
         F.avg("high_acuity_pct").alias("expected_high_acuity_pct"),
@@ -278,6 +284,7 @@ def short_term_snapshot(claims: DataFrame, history: DataFrame, snapshot_date: dt
         money_avg("total_paid_amount").alias("avg_paid_per_claim_7d"),
         F.avg("member_provider_distance").alias("avg_member_provider_distance_7d"),
     )
+    s = materialize(s)
     base = s.agg(F.avg("high_acuity_pct_7d").alias("expected_high_acuity_pct_7d"))  # exactly one row
     latest = latest_as_of(history, snapshot_date).select("provider_id", *LONG_TERM_FEATURES)
     j = s.join(latest, "provider_id", "left").crossJoin(F.broadcast(base))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_if, flag_rate, money_avg, pct2
-from ..functions.ranking import quantile_cont, top_k
+from ..functions.ranking import materialize, quantile_cont, top_k
 
 FLAG_COLS = ["is_high_acuity_em", "is_99214", "is_99215", "is_referral", "is_eye_procedure"]
 # Metric labels of the overall behaviour report.
@@ -176,6 +176,7 @@ def describe_features(df: DataFrame, cols: Sequence[str], pcts: Sequence[float]
     _need(df, list(cols))
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], list(cols), "feature", "value")
+    long = materialize(long)  # feeds moments and quantiles; never recompute the source twice
     moments = long.groupBy("feature").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
