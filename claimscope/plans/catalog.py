@@ -36,4 +36,4 @@ def ctes(**parts: str) -> str:
 def load_all() -> None:
     # importing the plan modules fills the registry
     from . import (compare, features, governance, investigation, models,  # noqa: F401
-                   monitoring, performance, profiling, scoring, sources)
+                   monitoring, performance, profiling, scoring, sources, streaming)
