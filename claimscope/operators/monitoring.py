@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import count_if
-from ..functions.ranking import quantile_disc
+from ..functions.ranking import materialize, quantile_disc
 
 # Per-feature validation rules (inclusive bounds) of the monitoring config.
 DEFAULT_RULES: dict[str, dict] = {
@@ -216,17 +216,20 @@ def _population_scores(preds: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 # M7 ---------------------------------------------------------------------------
-def score_summary(preds: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+def score_summary(preds: DataFrame, runs: DataFrame | None = None, scores: DataFrame | None = None) -> DataFrame:
     """M7: row count, mean and p50/p90/p95 (exact discrete) per population."""
-    runs = runs if runs is not None else resolve_score_runs(preds)
-    s = _population_scores(preds, runs)
+    if scores is None:
+        runs = runs if runs is not None else resolve_score_runs(preds)
+        scores = _population_scores(preds, runs)
+    s = scores
     moments = s.groupBy("population").agg(F.count(F.lit(1)).alias("row_count"), F.avg("fraud_score").alias("mean_score"))
     qs = quantile_disc(s, ["population"], "fraud_score", [0.5, 0.9, 0.95], ["p50", "p90", "p95"])
     return moments.join(qs, "population", "left")
 
 
 # M8 ---------------------------------------------------------------------------
-def psi(preds: DataFrame, runs: DataFrame | None = None, buckets: int = 10, floor_rate: float = 0.0001) -> DataFrame:
+def psi(preds: DataFrame, runs: DataFrame | None = None, buckets: int = 10, floor_rate: float = 0.0001,
+        scores: DataFrame | None = None) -> DataFrame:
     """M8: population stability index over ``buckets`` fixed score buckets.
 
     One ``groupBy(population, bucket)`` (partial aggregation), pivoted to one
@@ -236,8 +239,10 @@ def psi(preds: DataFrame, runs: DataFrame | None = None, buckets: int = 10, floo
     """
     if buckets < 1:
         raise ValueError("buckets must be >= 1")
-    runs = runs if runs is not None else resolve_score_runs(preds)
-    s = _population_scores(preds, runs)
+    if scores is None:
+        runs = runs if runs is not None else resolve_score_runs(preds)
+        scores = _population_scores(preds, runs)
+    s = scores
     bucket = F.least(F.floor(F.col("fraud_score") * buckets).cast("int"), F.lit(buckets - 1))
     counts = s.groupBy("population", bucket.alias("score_bucket")).agg(F.count(F.lit(1)).alias("bucket_count"))
     totals = counts.groupBy("population").agg(F.sum("bucket_count").alias("row_count"))
@@ -259,9 +264,11 @@ def prediction_drift(preds: DataFrame, monitoring_ts=None, psi_alert: float = 0.
                      mean_alert: float = 0.10) -> DataFrame:
     """M9: drift report of the current vs baseline run with status and reason."""
     ts = _ts(monitoring_ts)
-    runs = resolve_score_runs(preds)
-    summ = score_summary(preds, runs)
-    p = psi(preds, runs).select("population_stability_index")
+    # the run table and the two score populations feed four branches: compute once
+    runs = materialize(resolve_score_runs(preds))
+    scores = materialize(_population_scores(preds, runs))
+    summ = score_summary(preds, runs, scores)
+    p = psi(preds, runs, scores=scores).select("population_stability_index")
     cur = runs.where(F.col("role") == "CURRENT").select("model_name", "model_version", F.col("run_id").alias("current_run_id"))
     base = runs.where(F.col("role") == "BASELINE").select(F.col("model_version").alias("__bv"), F.col("run_id").alias("baseline_run_id"))
     bs = summ.where(F.col("population") == "BASELINE").select(*[F.col(c).alias(f"b_{c}") for c in summ.columns])
