@@ -113,7 +113,7 @@ def q_t6(spark, sf_dir):
           "ROUND(CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END, 9) AS f1_score FROM ("
           "SELECT *, CASE WHEN predicted_count > 0 THEN tp / predicted_count ELSE 0.0 END AS p, "
           "CASE WHEN pos > 0 THEN tp / pos ELSE 0.0 END AS r FROM ("
-          "SELECT model_name, model_version, run_id, t.threshold, COUNT(*) FILTER (WHERE fraud_score >= t.threshold) AS predicted_count, "
+          "SELECT model_name, model_version, run_id, CAST(t.threshold AS DOUBLE) AS threshold, COUNT(*) FILTER (WHERE fraud_score >= t.threshold) AS predicted_count, "
           "COUNT(*) FILTER (WHERE fraud_score >= t.threshold AND actual_fraud = 1) AS tp, "
           "COUNT(*) FILTER (WHERE actual_fraud = 1) AS pos "
           "FROM matched CROSS JOIN (VALUES (0.2), (0.3), (0.4), (0.5)) t(threshold) GROUP BY 1, 2, 3, 4))")

@@ -82,8 +82,8 @@ def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
         F.col("p_brand").alias("cpt_code"),
         F.col("p_name").alias("icd_code"),
         billed.alias("total_billed_amt"),
-        (billed * F.lit("0.9").cast("decimal(2,1)")).alias("total_allowed_amt"),
-        (billed * (F.lit(1) - disc.cast("decimal(4,2)"))).alias("total_paid_amount"),
+        (billed * F.lit("0.9").cast("decimal(2,1)")).cast("decimal(18,3)").alias("total_allowed_amt"),
+        (billed * (F.lit(1) - disc.cast("decimal(4,2)"))).cast("decimal(18,4)").alias("total_paid_amount"),
         F.col("l_linenumber").alias("place_of_service"),
         _flag(disc >= 0.07).alias("is_high_acuity_em"),
         _flag((disc >= 0.07) & (disc < 0.09)).alias("is_99214"),
@@ -201,8 +201,8 @@ SELECT
   p.p_brand AS cpt_code,
   p.p_name AS icd_code,
   CAST(l.l_extendedprice AS DECIMAL(18,2)) AS total_billed_amt,
-  CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.9 AS DECIMAL(2,1)) AS total_allowed_amt,
-  CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS total_paid_amount,
+  CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(0.9 AS DECIMAL(2,1)) AS DECIMAL(18,3)) AS total_allowed_amt,
+  CAST(CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS total_paid_amount,
   l.l_linenumber AS place_of_service,
   CASE WHEN l.l_discount >= 0.07 THEN 1 ELSE 0 END AS is_high_acuity_em,
   CASE WHEN l.l_discount >= 0.07 AND l.l_discount < 0.09 THEN 1 ELSE 0 END AS is_99214,

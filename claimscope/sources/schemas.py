@@ -13,7 +13,7 @@ CLAIMS = T.StructType([
     T.StructField("service_date", T.DateType()), T.StructField("provider_city", T.StringType()),
     T.StructField("provider_state", T.StringType()), T.StructField("cpt_code", T.StringType()),
     T.StructField("icd_code", T.StringType()), T.StructField("total_billed_amt", T.DecimalType(18, 2)),
-    T.StructField("total_allowed_amt", T.DecimalType(21, 3)), T.StructField("total_paid_amount", T.DecimalType(24, 4)),
+    T.StructField("total_allowed_amt", T.DecimalType(18, 3)), T.StructField("total_paid_amount", T.DecimalType(18, 4)),
     T.StructField("place_of_service", T.IntegerType()), T.StructField("is_high_acuity_em", T.IntegerType()),
     T.StructField("is_99214", T.IntegerType()), T.StructField("is_99215", T.IntegerType()),
     T.StructField("is_referral", T.IntegerType()), T.StructField("is_eye_procedure", T.IntegerType()),
