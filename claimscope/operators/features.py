@@ -224,7 +224,15 @@ def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, m
         claims = claims.where(F.col("service_date").between(F.lit(lo_bound), F.lit(hi)))
     d = F.col("snapshot_date")
     start = _long_term_start(d, months)
-    j = claims.join(F.broadcast(dates), F.col("service_date").between(start, d), "inner")
+    # Binned range join: each date is exploded into the month buckets its window
+    # touches (months + 1 rows per date, bounded by the date list -> broadcast);
+    # claims join on their own month bucket with a hash join, then the exact range
+    # is applied.  Cost is O(claims x matching dates), not O(claims x all dates).
+    month_idx = lambda c: F.year(c) * 12 + F.month(c)
+    bins = dates.select("snapshot_date", F.explode(F.sequence(month_idx(start), month_idx(d))).alias("__bucket"))
+    j = (claims.withColumn("__bucket", month_idx(F.col("service_date")))
+               .join(F.broadcast(bins), "__bucket", "inner")
+               .where(F.col("service_date").between(start, d)).drop("__bucket"))
     recent = F.col("service_date").between(F.date_sub(d, days - 1), d)
     prov = j.groupBy("snapshot_date", "provider_id").agg(
         flag_rate("is_high_acuity_em").alias("high_acuity_pct"),
