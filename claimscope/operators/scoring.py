@@ -74,14 +74,24 @@ def prediction_completeness(batch: DataFrame, raw: DataFrame, score_col: str = "
         count_if(F.col(score_col).isNotNull() & ((F.col(score_col) < 0) | (F.col(score_col) > 1))).alias("__oor"),
         count_if(F.col(score_col).isNull()).alias("__null"))
     j = b.join(r, "provider_id", "full_outer")
-    return j.agg(
+    known = F.col("provider_id").isNotNull()
+    agg = j.agg(
         count_if(F.col("__in")).alias("input_count"),
         F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("predicted_count"),
         count_if(F.col("__in") & F.col("__n").isNull()).alias("missing_providers"),
-        count_if(F.col("__in").isNull()).alias("unexpected_providers"),
-        count_if(F.col("__n") > 1).alias("duplicated_providers"),
+        count_if(F.col("__in").isNull() & known).alias("unexpected_providers"),
+        F.coalesce(F.sum(F.when(~known, F.col("__n"))), F.lit(0)).cast("long").alias("lost_lineage_rows"),
+        count_if((F.col("__n") > 1) & known).alias("duplicated_providers"),
         F.coalesce(F.sum("__oor"), F.lit(0)).cast("long").alias("out_of_range_scores"),
         F.coalesce(F.sum("__null"), F.lit(0)).cast("long").alias("null_scores"))
+    # Failure reasons of the batch-output checks, first failing check wins.
+    reason = (F.when(F.col("predicted_count") == 0, "zero successful prediction rows")
+               .when(F.col("predicted_count") != F.col("input_count"), "prediction count does not match input count")
+               .when(F.col("lost_lineage_rows") > 0, "output lost provider lineage")
+               .when(F.col("duplicated_providers") > 0, "duplicate prediction for a provider")
+               .when((F.col("out_of_range_scores") > 0) | (F.col("null_scores") > 0), "prediction is not a probability")
+               .when((F.col("missing_providers") > 0) | (F.col("unexpected_providers") > 0), "provider lineage mismatch"))
+    return agg.select("*", F.when(reason.isNull(), "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 
 def completeness_failures(batch: DataFrame, raw: DataFrame, n: int = 20) -> DataFrame:

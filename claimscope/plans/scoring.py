@@ -53,11 +53,20 @@ bi AS (SELECT DISTINCT provider_id, TRUE AS i FROM b),
 r AS (SELECT provider_id, COUNT(*) AS n,
         COUNT(*) FILTER (WHERE fraud_score IS NOT NULL AND (fraud_score < 0 OR fraud_score > 1)) AS oor,
         COUNT(*) FILTER (WHERE fraud_score IS NULL) AS nul FROM raw GROUP BY provider_id),
-j AS (SELECT * FROM bi FULL OUTER JOIN r USING (provider_id))
-SELECT COUNT(*) FILTER (WHERE i) AS input_count, COALESCE(CAST(SUM(n) AS BIGINT), 0) AS predicted_count,
-  COUNT(*) FILTER (WHERE i AND n IS NULL) AS missing_providers, COUNT(*) FILTER (WHERE i IS NULL) AS unexpected_providers,
-  COUNT(*) FILTER (WHERE n > 1) AS duplicated_providers, COALESCE(CAST(SUM(oor) AS BIGINT), 0) AS out_of_range_scores,
-  COALESCE(CAST(SUM(nul) AS BIGINT), 0) AS null_scores FROM j""")
+j AS (SELECT * FROM bi FULL OUTER JOIN r USING (provider_id)),
+a AS (SELECT COUNT(*) FILTER (WHERE i) AS input_count, COALESCE(CAST(SUM(n) AS BIGINT), 0) AS predicted_count,
+  COUNT(*) FILTER (WHERE i AND n IS NULL) AS missing_providers,
+  COUNT(*) FILTER (WHERE i IS NULL AND provider_id IS NOT NULL) AS unexpected_providers,
+  COALESCE(CAST(SUM(CASE WHEN provider_id IS NULL THEN n END) AS BIGINT), 0) AS lost_lineage_rows,
+  COUNT(*) FILTER (WHERE n > 1 AND provider_id IS NOT NULL) AS duplicated_providers,
+  COALESCE(CAST(SUM(oor) AS BIGINT), 0) AS out_of_range_scores, COALESCE(CAST(SUM(nul) AS BIGINT), 0) AS null_scores FROM j),
+b2 AS (SELECT *, CASE WHEN predicted_count = 0 THEN 'zero successful prediction rows'
+    WHEN predicted_count != input_count THEN 'prediction count does not match input count'
+    WHEN lost_lineage_rows > 0 THEN 'output lost provider lineage'
+    WHEN duplicated_providers > 0 THEN 'duplicate prediction for a provider'
+    WHEN out_of_range_scores > 0 OR null_scores > 0 THEN 'prediction is not a probability'
+    WHEN missing_providers > 0 OR unexpected_providers > 0 THEN 'provider lineage mismatch' END AS reason FROM a)
+SELECT * EXCLUDE (reason), CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, reason FROM b2""")
 def q_c3(spark, sf_dir):
     runs = ad.experiment_runs(spark, sf_dir).where("model_type = 'xgboost'")
     latest = runs.agg(F.max_by("run_id", F.struct("created_at", "run_id")).alias("run_id"))
