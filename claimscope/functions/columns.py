@@ -107,3 +107,13 @@ def pct2_expr(k: str, n: str, engine: str = "spark") -> str:
 
 def pct2(k: str, n: str) -> Column:
     return F.expr(pct2_expr(k, n, "spark"))
+
+
+def attach_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
+    """Attach the columns of a 1-row frame (a global aggregate) to every row.
+
+    The SQL form is ``LEFT JOIN (SELECT agg ...) ON TRUE``.  The right side is a
+    global aggregate -- exactly one row by construction -- so it is broadcast and
+    the join is a map-side projection, not a pairing of two data sets.
+    """
+    return df.crossJoin(F.broadcast(scalars))

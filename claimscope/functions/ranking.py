@@ -130,7 +130,7 @@ def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float |
     vals = df.select(*group_by, value).where(F.col(value).isNotNull())
     counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
     ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
-    joined = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(counts)
+    joined = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(F.broadcast(counts))
     pos = [F.greatest(F.ceil(F.lit(float(x)) * F.col("__q_n")), F.lit(1)) for x in qs]
     keep = F.lit(False)
     for p_ in pos:
@@ -159,7 +159,7 @@ def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequen
     vals = df.select(*group_by, value).where(F.col(value).isNotNull())
     counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
     ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
-    j = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(counts)
+    j = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(F.broadcast(counts))
     outs = []
     for q, name in zip(qs, names):
         h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))

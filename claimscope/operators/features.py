@@ -16,7 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if, flag_rate, money_avg, money_avg_cents, safe_div
+from ..functions.columns import attach_scalars, count_if, flag_rate, money_avg, money_avg_cents, safe_div
 from ..functions.ranking import materialize, quantile_disc
 
 # Configured provider features and their expressions (pipeline config).
@@ -295,7 +295,7 @@ def short_term_snapshot(claims: DataFrame, history: DataFrame, snapshot_date: dt
     s = materialize(s)
     base = s.agg(F.avg("high_acuity_pct_7d").alias("expected_high_acuity_pct_7d"))  # exactly one row
     latest = latest_as_of(history, snapshot_date).select("provider_id", *LONG_TERM_FEATURES)
-    j = s.join(latest, "provider_id", "left").crossJoin(F.broadcast(base))
+    j = attach_scalars(s.join(latest, "provider_id", "left"), base)
     return j.select(
         F.col("provider_id").alias("entity_id"), "provider_id",
         _snapshot_ts(d).alias("feature_timestamp"), *LONG_TERM_FEATURES,

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if, reasons
+from ..functions.columns import attach_scalars, count_if, reasons
 from ..functions.ranking import latest_per, top_k_per_group
 
 SUPPORTED_TYPES = ("random_forest", "xgboost")
@@ -53,7 +53,7 @@ def retraining_trigger(feedback: DataFrame, dq: DataFrame, drift: DataFrame, pre
     dq1 = _latest_value(dq, "monitoring_status", "monitoring_timestamp", "dq_status")
     fd1 = _feature_alerts(drift)
     pd1 = _latest_value(pred_drift, "status", "check_date", "pd_status")
-    j = labels.crossJoin(dq1).crossJoin(fd1).crossJoin(pd1)  # all 1-row frames
+    j = attach_scalars(attach_scalars(attach_scalars(labels, dq1), fd1), pd1)  # all 1-row frames
     dqt = F.coalesce(F.col("dq_status") == "ALERT", F.lit(False))
     fdt = F.coalesce(F.col("feature_alert_count") > 0, F.lit(False))
     pdt = F.coalesce(F.col("pd_status") == "ALERT", F.lit(False))
@@ -97,10 +97,10 @@ def retraining_decision(state: DataFrame, candidates: DataFrame, dq: DataFrame,
     pf1 = perf.agg(F.max_by(F.struct("monitoring_status", "model_name", "model_version", "run_id"),
                             F.struct("evaluation_timestamp", "run_id")).alias("p")).select(
         F.col("p.monitoring_status").alias("performance_status"), F.col("p.run_id").alias("performance_run_id"))
-    monitors = dq1.crossJoin(fd1).crossJoin(pd1).crossJoin(pf1)
+    monitors = attach_scalars(attach_scalars(attach_scalars(dq1, fd1), pd1), pf1)
     s = state.select(F.col("model_name").alias("state_key"), "last_training_data_month",
                      "approved_feature_signature", "approved_model_signature", "approved_model_type")
-    j = candidates.join(s, "state_key", "left").crossJoin(F.broadcast(monitors))
+    j = attach_scalars(candidates.join(s, "state_key", "left"), monitors)
     dqs, pds, pfs = (_norm_status(F.col("data_quality_status")), _norm_status(F.col("prediction_drift_status")),
                      _norm_status(F.col("performance_status")))
     fa = F.coalesce(F.col("feature_alert_count"), F.lit(0))

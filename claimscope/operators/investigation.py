@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if, pct2
+from ..functions.columns import attach_scalars, count_if, pct2
 from ..functions.ranking import top_k, top_k_per_group
 from .performance import COMPLETED, RUN_KEYS, expected_version
 
@@ -102,7 +102,7 @@ def outcome_share(feedback: DataFrame) -> DataFrame:
     """Outcome counts with percent of reviewed (1-row total, broadcast)."""
     c = feedback.groupBy("investigation_result").agg(F.count(F.lit(1)).alias("provider_count"))
     t = feedback.agg(F.count(F.lit(1)).alias("__t"))
-    return c.crossJoin(F.broadcast(t)).select("investigation_result", "provider_count",
+    return attach_scalars(c, t).select("investigation_result", "provider_count",
                                               pct2("provider_count", "__t").alias("pct_of_reviewed"))
 
 
@@ -189,7 +189,7 @@ def metrics_at_k(preds: DataFrame, truth: DataFrame, ks: Sequence[int] = (10, 20
                      F.col(f"c{k}").alias("fraud_captured"), F.col(f"d{k}").alias("confirmed_fraud_dollars_captured"))
             for k in ks]
     long = wide.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
-    j = long.crossJoin(pop).crossJoin(F.broadcast(run))
+    j = attach_scalars(attach_scalars(long, pop), run)
     prec = F.try_divide(F.col("fraud_captured"), F.col("providers_selected"))
     return j.select(*RUN_KEYS, "investigation_capacity", "providers_selected", "fraud_captured",
                     prec.alias("precision_at_k"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import count_if, validate_names
+from ..functions.columns import attach_scalars, count_if, validate_names
 from ..functions.ranking import quantile_cont, running_sums, top_k_per_group
 
 # Model hyper-parameters of the pipeline configuration.
@@ -61,7 +61,7 @@ def balanced_weights(df: DataFrame, label: str = "fraud_label", out: str = "weig
     cls = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = df.agg(F.count(F.lit(1)).alias("__n"))
     k = cls.agg(F.count(F.lit(1)).alias("__k"))
-    w = cls.crossJoin(tot).crossJoin(k).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
+    w = attach_scalars(attach_scalars(cls, tot), k).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
     return df.join(F.broadcast(w), label, "left")
 
 
@@ -103,7 +103,7 @@ def standardise(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple
     """T4: z-score with TRAIN mean and population std (std 0 -> divide by 1)."""
     stats = train.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
     def apply(df):
-        j = df.crossJoin(F.broadcast(stats))  # 1-row statistics
+        j = attach_scalars(df, stats)  # 1-row statistics
         outs = []
         for c in cols:
             s = F.when(F.col(f"__s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"__s_{c}"))
@@ -247,7 +247,7 @@ def isolation_forest(train: DataFrame, test: DataFrame, cols: Sequence[str], par
     s_train = score_isolation_forest(tr, model, cols, id_col)
     s_test = score_isolation_forest(te, model, cols, id_col)
     cut = quantile_cont(s_train, [], "fraud_score", [1.0 - float(params["contamination"])], ["__thr"])
-    out = s_test.crossJoin(F.broadcast(cut))  # 1-row threshold
+    out = attach_scalars(s_test, cut)  # 1-row threshold
     flag = (F.col("fraud_score") > F.col("__thr")).cast("int")
     return out.select(id_col, "fraud_score", flag.alias("suspicious_flag"),
                       F.when(flag == 1, "-1").otherwise("1").alias("prediction"))
@@ -267,7 +267,7 @@ def classification_metrics(scored: DataFrame, score_col: str = "fraud_score", la
         F.sum(lab).alias("pos"), (F.count(F.lit(1)) - F.sum(lab)).alias("neg"))
     cum = running_sums(per, g, [F.col("__s").desc()], ["pos", "neg"])
     tot = per.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(tot, g, "inner") if g else cum.crossJoin(tot)
+    j = cum.join(tot, g, "inner") if g else attach_scalars(cum, tot)
     prec_t = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     ap_term = F.try_divide(F.col("pos"), F.col("P")) * prec_t
     tpr, tpr0 = F.try_divide(F.col("cum_pos"), F.col("P")), F.try_divide(F.col("cum_pos") - F.col("pos"), F.col("P"))
@@ -285,7 +285,7 @@ def classification_metrics(scored: DataFrame, score_col: str = "fraud_score", la
     cm = cm.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
                                           2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
                        .otherwise(0.0))
-    return cm.join(curve, g, "left") if g else cm.crossJoin(curve)
+    return cm.join(curve, g, "left") if g else attach_scalars(cm, curve)
 
 
 # T7 -----------------------------------------------------------------------------
@@ -331,7 +331,7 @@ def anomaly_metrics(scored: DataFrame, flag_col: str = "suspicious_flag", score_
         F.avg(score_col).alias("mean_anomaly_score"), F.max(score_col).alias("max_anomaly_score"))
     agg = agg.withColumn("alert_rate", F.col("flagged_provider_count") / F.col("provider_count"))
     p95 = quantile_cont(scored, g, score_col, [0.95], ["p95_anomaly_score"])
-    return agg.join(p95, g, "left") if g else agg.crossJoin(p95)
+    return agg.join(p95, g, "left") if g else attach_scalars(agg, p95)
 
 
 # T10 ----------------------------------------------------------------------------

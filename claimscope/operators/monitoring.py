@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if
+from ..functions.columns import attach_scalars, count_if
 from ..functions.ranking import materialize, quantile_disc
 
 # Per-feature validation rules (inclusive bounds) of the monitoring config.
@@ -256,7 +256,7 @@ def psi(preds: DataFrame, runs: DataFrame | None = None, buckets: int = 10, floo
     c = F.greatest(F.coalesce(F.col("c"), F.lit(0.0)), F.lit(floor_rate))
     b = F.greatest(F.coalesce(F.col("b"), F.lit(0.0)), F.lit(floor_rate))
     neg = counts.where(F.col("score_bucket") < 0).agg(F.coalesce(F.sum("bucket_count"), F.lit(0)).cast("long").alias("unbucketed_rows"))
-    return j.agg(F.sum((c - b) * F.ln(F.try_divide(c, b))).alias("population_stability_index")).crossJoin(neg)
+    return attach_scalars(j.agg(F.sum((c - b) * F.ln(F.try_divide(c, b))).alias("population_stability_index")), neg)
 
 
 # M9 ---------------------------------------------------------------------------
@@ -273,11 +273,10 @@ def prediction_drift(preds: DataFrame, monitoring_ts=None, psi_alert: float = 0.
     base = runs.where(F.col("role") == "BASELINE").select(F.col("model_version").alias("__bv"), F.col("run_id").alias("baseline_run_id"))
     bs = summ.where(F.col("population") == "BASELINE").select(*[F.col(c).alias(f"b_{c}") for c in summ.columns])
     cs = summ.where(F.col("population") == "CURRENT").select(*[F.col(c).alias(f"c_{c}") for c in summ.columns])
-    f = (cur.join(base, cur.model_version == base.__bv, "left")
-            # 1-row global aggregates (NULLs when a population is absent) = LEFT JOIN ON TRUE
-            .crossJoin(bs.agg(*[F.max(c).alias(c) for c in bs.columns]))
-            .crossJoin(cs.agg(*[F.max(c).alias(c) for c in cs.columns]))
-            .crossJoin(p))
+    f = cur.join(base, cur.model_version == base.__bv, "left")
+    # 1-row global aggregates (NULLs when a population is absent) = LEFT JOIN ON TRUE
+    for one in (bs.agg(*[F.max(c).alias(c) for c in bs.columns]), cs.agg(*[F.max(c).alias(c) for c in cs.columns]), p):
+        f = attach_scalars(f, one)
     shift = F.abs(F.col("c_mean_score") - F.col("b_mean_score"))
     psi_c = F.col("population_stability_index")
     status = (F.when(F.col("baseline_run_id").isNull(), "INSUFFICIENT_DATA")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if, flag_rate, money_avg, pct2
+from ..functions.columns import attach_scalars, count_if, flag_rate, money_avg, pct2
 from ..functions.ranking import materialize, quantile_cont, top_k
 
 FLAG_COLS = ["is_high_acuity_em", "is_99214", "is_99215", "is_referral", "is_eye_procedure"]
@@ -122,7 +122,7 @@ def value_share(df: DataFrame, col: str) -> DataFrame:
     """
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("claim_count"))
     total = df.agg(F.count(F.lit(1)).alias("__total"))
-    return counts.crossJoin(F.broadcast(total)).select(
+    return attach_scalars(counts, total).select(
         col, "claim_count", pct2("claim_count", "__total").alias("claim_pct"))
 
 

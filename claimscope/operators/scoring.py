@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import count_if, validate_names
+from ..functions.columns import attach_scalars, count_if, validate_names
 from ..functions.ranking import row_number_by
 
 RUN_KEYS = ["model_name", "model_version", "run_id"]
@@ -166,7 +166,7 @@ def reason_codes(features: DataFrame, means: DataFrame, cols: Sequence[str], k:
         raise ValueError("zero_mean must be 'zero' or 'drop'")
     if k < 1:
         raise ValueError("k must be >= 1")
-    j = features.crossJoin(F.broadcast(means))
+    j = attach_scalars(features, means)
     items = []
     for i, c in enumerate(cols):
         m = F.col(f"mean_{c}")
@@ -205,7 +205,7 @@ def curate_classes(raw: DataFrame, runs: DataFrame, model_type: str, positive: s
                   .agg(F.max_by(F.struct("experiment_id", "run_id", "experiment_name"),
                                 F.struct("created_at", "run_id")).alias("e")).select("e.*"))
     yes, no = CLASS_REASON.get(model_type, (f"{model_type} flagged provider", f"{model_type} did not flag provider"))
-    return ranked.crossJoin(F.broadcast(latest)).select(
+    return attach_scalars(ranked, latest).select(
         F.lit(prediction_date).cast("date").alias("prediction_date"), "provider_id", "experiment_id", "run_id",
         F.lit(model_type).alias("model_name"), "experiment_name", "fraud_score", "risk_rank",
         F.when(F.col("fraud_score") == 1.0, "HIGH").otherwise("LOW").alias("risk_category"),
