@@ -33,8 +33,12 @@ def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
 
 
 def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str],
-                  out: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """Exact per-group row_number without a single-task window."""
+                  out: str = "rn", num_partitions: int | None = None, count_col: str | None = None) -> DataFrame:
+    """Exact per-group row_number without a single-task window.
+
+    ``count_col`` also attaches the group's row count, taken from the same small
+    slice table (no separate count aggregate and no join against the rows).
+    """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in partition_by]
@@ -52,6 +56,9 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
                     .agg(F.min(_MID).alias("__rk_first"), F.count(F.lit(1)).alias("__rk_cnt")))
     w = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("__rk_off", F.coalesce(F.sum("__rk_cnt").over(w), F.lit(0)))
+    if count_col:
+        tot = Window.partitionBy(*partition_by)
+        slices = slices.withColumn(count_col, F.sum("__rk_cnt").over(tot))
     # slices holds <= partitions + groups rows: a proven bound, safe to broadcast.
     joined = ranged.join(F.broadcast(slices.drop("__rk_cnt")), [_PID, *partition_by], "inner")
     rn = (F.col(_MID) - F.col("__rk_first") + F.col("__rk_off") + F.lit(1)).cast("long")
@@ -128,9 +135,7 @@ def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float |
     if any(not 0 <= x <= 1 for x in qs):
         raise ValueError("q must be in [0, 1]")
     vals = df.select(*group_by, value).where(F.col(value).isNotNull())
-    counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
-    ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
-    joined = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(F.broadcast(counts))
+    joined = row_number_by(vals, group_by, [F.col(value)], out="__q_rn", count_col="__q_n")
     pos = [F.greatest(F.ceil(F.lit(float(x)) * F.col("__q_n")), F.lit(1)) for x in qs]
     keep = F.lit(False)
     for p_ in pos:
@@ -157,9 +162,7 @@ def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequen
     if any(not 0 <= q <= 1 for q in qs):
         raise ValueError("quantiles must be in [0, 1]")
     vals = df.select(*group_by, value).where(F.col(value).isNotNull())
-    counts = vals.groupBy(*group_by).agg(F.count(F.lit(1)).alias("__q_n"))
-    ranked = row_number_by(vals, group_by, [F.col(value)], out="__q_rn")
-    j = ranked.join(counts, list(group_by), "inner") if group_by else ranked.crossJoin(F.broadcast(counts))
+    j = row_number_by(vals, group_by, [F.col(value)], out="__q_rn", count_col="__q_n")
     outs = []
     for q, name in zip(qs, names):
         h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))
@@ -178,9 +181,11 @@ def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequen
 
 
 def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column | str],
-                 cols: Sequence[str], prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
+                 cols: Sequence[str], prefix: str = "cum_", num_partitions: int | None = None,
+                 total_prefix: str | None = None) -> DataFrame:
     """Inclusive running sums of ``cols`` per group in ``order_by`` order, distributed.
 
+    ``total_prefix`` also attaches each group's grand totals from the slice table.
     Same slicing as ``row_number_by``: range partitions give contiguous slices,
     a window sums inside each (partition, group) slice -- bounded by the slice
     size -- and a broadcast table of slice totals (<= partitions + groups rows)
@@ -195,7 +200,11 @@ def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     local = ranged.select("*", *[F.sum(c).over(w_local).alias(f"__loc_{c}") for c in cols])
     tot = ranged.groupBy(_PID, *partition_by).agg(*[F.sum(c).alias(f"__tot_{c}") for c in cols])
     w_off = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*partition_by)
+    extra = [F.sum(f"__tot_{c}").over(w_all).alias(f"{total_prefix}{c}") for c in cols] if total_prefix else []
     off = tot.select(_PID, *partition_by,
-                     *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in cols])
+                     *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in cols], *extra)
     j = local.join(F.broadcast(off), [_PID, *partition_by], "inner")
-    return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in cols])
+    totals = [F.col(f"{total_prefix}{c}") for c in cols] if total_prefix else []
+    return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in cols],
+                    *totals)

@@ -265,9 +265,8 @@ def classification_metrics(scored: DataFrame, score_col: str = "fraud_score", la
     lab = F.col(label_col).cast("long")
     per = scored.groupBy(*g, F.col(score_col).alias("__s")).agg(
         F.sum(lab).alias("pos"), (F.count(F.lit(1)) - F.sum(lab)).alias("neg"))
-    cum = running_sums(per, g, [F.col("__s").desc()], ["pos", "neg"])
-    tot = per.groupBy(*g).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = cum.join(tot, g, "inner") if g else attach_scalars(cum, tot)
+    j = running_sums(per, g, [F.col("__s").desc()], ["pos", "neg"], total_prefix="tot_").withColumnsRenamed(
+        {"tot_pos": "P", "tot_neg": "N"})
     prec_t = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     ap_term = F.try_divide(F.col("pos"), F.col("P")) * prec_t
     tpr, tpr0 = F.try_divide(F.col("cum_pos"), F.col("P")), F.try_divide(F.col("cum_pos") - F.col("pos"), F.col("P"))
