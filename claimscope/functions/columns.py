@@ -67,12 +67,25 @@ def round_doubles(df: DataFrame, digits: int = 6, cols: Iterable[str] | None = N
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType) and (names is None or f.name in names):
-            out.append(F.round(F.col(f.name), digits).alias(f.name))
+            out.append(round_double(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
 
 
+def round_double(c: Column, digits: int) -> Column:
+    """Round a double half away from zero at ``digits`` on its binary value:
+    ``round(x * 10^d) / 10^d``.
+
+    ``F.round(x, d)`` rounds the shortest decimal text of ``x``, so a non-dyadic
+    value such as 56615.1271275 rounds up there but down in engines that scale
+    first.  Scaling first, then rounding an exact .5 away from zero, then dividing
+    gives the same double in Spark and in SQL engines that use this definition.
+    """
+    mod = float(10 ** digits)
+    return F.round(c * F.lit(mod), 0) / F.lit(mod)
+
+
 def typed_null(dtype: T.DataType | str) -> Column:
     return F.lit(None).cast(dtype)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import count_if, pct2
+from ..functions.columns import count_if, pct2, round_double
 from ..functions.ranking import latest_per, top_k
 
 
@@ -39,21 +39,22 @@ def latest_predictions(preds: DataFrame, models: Sequence[str] | None = None) ->
 
 # X2 -----------------------------------------------------------------------------
 def latest_metrics(runs: DataFrame, metrics: DataFrame, types: Sequence[str], names: Sequence[str],
-                   digits: int = 4) -> DataFrame:
+                   digits: int | None = 4) -> DataFrame:
     """Metrics of the latest run per model type, long form, rounded."""
     lr = latest_runs(runs, types=types).select("model_type", "run_id")
     m = metrics.where(F.col("metric_name").isin(*names))
     return m.join(F.broadcast(lr), "run_id").select(
-        "model_type", "metric_name", F.round("metric_value", digits).alias("metric_value"))
+        "model_type", "metric_name",
+        (round_double(F.col("metric_value"), digits) if digits is not None else F.col("metric_value")).alias("metric_value"))
 
 
 # X3 -----------------------------------------------------------------------------
 def metric_pivot(runs: DataFrame, metrics: DataFrame, types: Sequence[str], names: Sequence[str],
                  digits: int = 4) -> DataFrame:
     """One row per metric, one column per model type (max handles repeated rows)."""
-    long = latest_metrics(runs, metrics, types, names, digits=15)
+    long = latest_metrics(runs, metrics, types, names, digits=None)
     wide = long.groupBy("metric_name").pivot("model_type", list(types)).agg(F.max("metric_value"))
-    return wide.select("metric_name", *[F.round(F.col(t), digits).alias(t) for t in types])
+    return wide.select("metric_name", *[round_double(F.col(t), digits).alias(t) for t in types])
 
 
 # X4 -----------------------------------------------------------------------------
@@ -98,7 +99,7 @@ def score_on_confirmed(preds: DataFrame, feedback: DataFrame, models: Sequence[s
     conf = feedback.where(F.col("confirmed_fraud")).select("provider_id").distinct()
     lp = latest_predictions(preds, models).join(conf, "provider_id", "left_semi")
     return lp.groupBy("model_name").agg(F.count(F.lit(1)).alias("confirmed_fraud_scored"),
-                                        F.round(F.avg("fraud_score"), 4).alias("avg_fraud_score"),
+                                        round_double(F.avg("fraud_score"), 4).alias("avg_fraud_score"),
                                         count_if(F.col("risk_category") == "HIGH").alias("high_risk_count"))
 
 
