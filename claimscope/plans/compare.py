@@ -111,9 +111,9 @@ def q_x9(spark, sf_dir):
 
 
 @register("x9_recent_runs", ctes(**RUNS) + "SELECT " + ", ".join(RUN_COLS)
-          + " FROM runs ORDER BY created_at DESC, run_id DESC LIMIT 5")
+          + " FROM runs ORDER BY created_at DESC, run_id DESC LIMIT 10")
 def q_x9b(spark, sf_dir):
-    return cp.run_history(ad.experiment_runs(spark, sf_dir), None, 5)
+    return cp.run_history(ad.experiment_runs(spark, sf_dir), None, 10)
 
 
 @register("x9_metric_history", ctes(metrics=ad.EXPERIMENT_METRICS_SQL)
