@@ -50,3 +50,21 @@ def test_append_history(spark):
     n = spark.createDataFrame([("m", 2, "PASS")], "model_name string, total_rows long, monitoring_status string")
     out = io.append_history(h, n).collect()
     assert len(out) == 2 and {r.monitoring_status for r in out} == {None, "PASS"}
+
+
+def test_read_table_csv_declared_schema_failfast(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    from claimscope.sources.schemas import read_table
+    path = io.shared_path(spark, f"test-s1-{uuid.uuid4().hex[:8]}")
+    good = spark.createDataFrame([("c1", "p1", 10.5), ("c2", "p2", 3.25)], "claim_id string, provider_id string, amt double")
+    good.coalesce(1).write.option("header", "true").csv(path + "/good")
+    schema = T.StructType([T.StructField("claim_id", T.StringType()), T.StructField("provider_id", T.StringType()),
+                           T.StructField("amt", T.DoubleType())])
+    rows = sorted(tuple(r) for r in read_table(spark, path + "/good", schema, "csv").collect())
+    assert rows == [("c1", "p1", 10.5), ("c2", "p2", 3.25)]
+    bad = spark.createDataFrame([("c3", "p3", "not-a-number")], "claim_id string, provider_id string, amt string")
+    bad.coalesce(1).write.option("header", "true").csv(path + "/bad")
+    with pytest.raises(Exception):
+        read_table(spark, path + "/bad", schema, "csv").collect()
