@@ -158,32 +158,42 @@ def q_c8b(spark, sf_dir):
 
 
 # C7
-C7_SQL = ctes(**pf.FEATURE_CTES, b=pm.BATCH_SQL, m=means_sql(pm.IF_FEATURES), runs=ad.EXPERIMENT_RUNS_SQL,
-              rawc=ad.raw_classes_sql("isolation_forest")) + f""",
-lr AS ({LATEST_CLASSES_SQL.format(m='isolation_forest')}),
+def c7_sql(model: str, positive: str) -> str:
+    yes, no = sc.CLASS_REASON[model]
+    return ctes(**pf.FEATURE_CTES, b=pm.BATCH_SQL, m=means_sql(pm.IF_FEATURES), runs=ad.EXPERIMENT_RUNS_SQL,
+                rawc=ad.raw_classes_sql(model)) + f""",
+lr AS ({LATEST_CLASSES_SQL.format(m=model)}),
 jf AS (SELECT CAST(lr.provider_id AS VARCHAR) AS provider_id,
-         CAST(CASE WHEN TRY_CAST(lr.prediction AS INTEGER) = -1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS fraud_score, b.* EXCLUDE (provider_id)
+         CAST(CASE WHEN TRY_CAST(lr.prediction AS INTEGER) = {int(positive)} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS fraud_score,
+         b.* EXCLUDE (provider_id)
        FROM lr JOIN b ON CAST(lr.provider_id AS VARCHAR) = b.provider_id),
 rc AS ({reasons_sql('jf', 'm', pm.IF_FEATURES, 'zero', ('provider_id', 'fraud_score'))}),
-e AS (SELECT experiment_id, run_id, experiment_name FROM runs WHERE model_type = 'isolation_forest'
+e AS (SELECT experiment_id, run_id, experiment_name FROM runs WHERE model_type = '{model}'
       ORDER BY created_at DESC, run_id DESC LIMIT 1)
-SELECT DATE '{PRED_DATE}' AS prediction_date, rc.provider_id, e.experiment_id, e.run_id, 'isolation_forest' AS model_name,
+SELECT DATE '{PRED_DATE}' AS prediction_date, rc.provider_id, e.experiment_id, e.run_id, '{model}' AS model_name,
   e.experiment_name, rc.fraud_score,
   CAST(ROW_NUMBER() OVER (ORDER BY rc.fraud_score DESC, rc.provider_id) AS BIGINT) AS risk_rank,
   CASE WHEN rc.fraud_score = 1.0 THEN 'HIGH' ELSE 'LOW' END AS risk_category,
-  CASE WHEN rc.fraud_score = 1.0 THEN 'Isolation Forest identified provider as anomalous'
-       ELSE 'Isolation Forest identified provider as normal' END AS reason,
+  CASE WHEN rc.fraud_score = 1.0 THEN '{yes}' ELSE '{no}' END AS reason,
   TIMESTAMP '{CREATED}' AS created_at, rc.reason_1, rc.reason_2, rc.reason_3
 FROM rc CROSS JOIN e
 """
 
 
-def curated_classes(spark, sf_dir):
+C7_SQL = c7_sql("isolation_forest", "-1")
+
+
+def curated_classes(spark, sf_dir, model="isolation_forest", positive="-1"):
     feats = pf.fixture_features(spark, sf_dir)
     batch = sc.batch_input(feats, pm.IF_FEATURES)
     means = sc.train_means(feats.where("dataset_split = 'TRAIN'"), pm.IF_FEATURES)
-    return sc.curate_classes(latest_run_classes(spark, sf_dir), ad.experiment_runs(spark, sf_dir),
-                             "isolation_forest", "-1", batch, means, pm.IF_FEATURES, PRED_DATE, CREATED)
+    return sc.curate_classes(latest_run_classes(spark, sf_dir, model), ad.experiment_runs(spark, sf_dir),
+                             model, positive, batch, means, pm.IF_FEATURES, PRED_DATE, CREATED)
+
+
+@register("c7_curate_classes_random_forest", c7_sql("random_forest", "1"))
+def q_c7_rf(spark, sf_dir):
+    return curated_classes(spark, sf_dir, "random_forest", "1")
 
 
 @register("c7_curate_classes", C7_SQL)
