@@ -167,22 +167,25 @@ def top_providers(summary: DataFrame, col: str, n: int = 10, id_col: str = "prov
 
 
 # V12
-def describe_features(df: DataFrame, cols: Sequence[str], pcts: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """count/mean/std/min/percentiles/max per feature, long form (one row per feature).
+def describe_features(df: DataFrame, cols: Sequence[str], pcts: Sequence[float] = (0.25, 0.5, 0.75),
+                      group_by: Sequence[str] = ()) -> DataFrame:
+    """count/mean/std/min/percentiles/max per feature (and group), long form.
 
     Moments come from one aggregate over the stacked (feature, value) rows;
     percentiles use the exact distributed ``quantile_cont``.
     """
-    _need(df, list(cols))
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], list(cols), "feature", "value")
+    _need(df, [*group_by, *cols])
+    g = list(group_by)
+    long = df.select(*g, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        g, list(cols), "feature", "value")
     long = materialize(long)  # feeds moments and quantiles; never recompute the source twice
-    moments = long.groupBy("feature").agg(
+    keys = [*g, "feature"]
+    moments = long.groupBy(*keys).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
     names = [f"p{int(round(q * 100))}" for q in pcts]
-    qs = quantile_cont(long, ["feature"], "value", list(pcts), names)
-    return moments.join(qs, "feature", "left").select("feature", "count", "mean", "std", "min", *names, "max")
+    qs = quantile_cont(long, keys, "value", list(pcts), names)
+    return moments.join(qs, keys, "left").select(*keys, "count", "mean", "std", "min", *names, "max")
 
 
 # V13

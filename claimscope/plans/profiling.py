@@ -151,6 +151,19 @@ def q_v12(spark, sf_dir):
     return round_doubles(pr.describe_features(pr.provider_summary(ad.claims(spark, sf_dir)), pr.SUMMARY_FEATURES), 6)
 
 
+SCORE_PCTS = (0.50, 0.75, 0.90, 0.95, 0.99)
+
+
+@register("v12_describe_scores", ctes(preds=ad.RAW_PREDICTIONS_SQL) + "SELECT run_id, 'fraud_score' AS feature, "
+          "COUNT(fraud_score) AS count, ROUND(AVG(fraud_score), 6) AS mean, ROUND(STDDEV_SAMP(fraud_score), 6) AS std, "
+          "ROUND(MIN(fraud_score), 6) AS min, " + ", ".join(
+              f"ROUND(quantile_cont(fraud_score, {q}), 6) AS p{int(round(q * 100))}" for q in SCORE_PCTS)
+          + ", ROUND(MAX(fraud_score), 6) AS max FROM preds GROUP BY run_id")
+def q_v12s(spark, sf_dir):
+    out = pr.describe_features(ad.raw_predictions(spark, sf_dir), ["fraud_score"], SCORE_PCTS, group_by=["run_id"])
+    return round_doubles(out, 6)
+
+
 @register("v13_snapshot_uniqueness", pf.F5_SQL.replace("SELECT p.provider_id AS entity_id", ", f AS (SELECT p.provider_id AS entity_id", 1)
           .rstrip() + ")\nSELECT dataset_split, COUNT(*) AS provider_rows, COUNT(DISTINCT provider_id) AS providers, "
           "MIN(feature_timestamp) AS feature_timestamp FROM f GROUP BY dataset_split")
