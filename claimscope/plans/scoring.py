@@ -74,6 +74,26 @@ def q_c3(spark, sf_dir):
     return sc.prediction_completeness(pm.batch_input(spark, sf_dir), raw)
 
 
+def _latest_xgb_raw(spark, sf_dir):
+    runs = ad.experiment_runs(spark, sf_dir).where("model_type = 'xgboost'")
+    latest = runs.agg(F.max_by("run_id", F.struct("created_at", "run_id")).alias("run_id"))
+    return ad.raw_predictions(spark, sf_dir).join(F.broadcast(latest), "run_id", "left_semi")
+
+
+@register("c3_completeness_failures", ctes(**pf.FEATURE_CTES, b=pm.BATCH_SQL, preds=ad.RAW_PREDICTIONS_SQL,
+                                           runs=ad.EXPERIMENT_RUNS_SQL) + """,
+raw AS (SELECT * FROM preds WHERE run_id = (SELECT run_id FROM runs WHERE model_type = 'xgboost'
+        ORDER BY created_at DESC, run_id DESC LIMIT 1)),
+bi AS (SELECT DISTINCT provider_id, TRUE AS i FROM b),
+r AS (SELECT provider_id, COUNT(*) AS n FROM raw GROUP BY provider_id),
+j AS (SELECT provider_id, CASE WHEN i AND n IS NULL THEN 'missing' WHEN i IS NULL THEN 'unexpected'
+                               WHEN n > 1 THEN 'duplicated' END AS problem
+      FROM bi FULL OUTER JOIN r USING (provider_id))
+SELECT provider_id, problem FROM j WHERE problem IS NOT NULL ORDER BY problem, provider_id LIMIT 20""")
+def q_c3f(spark, sf_dir):
+    return sc.completeness_failures(pm.batch_input(spark, sf_dir), _latest_xgb_raw(spark, sf_dir), 20)
+
+
 # C4
 @register("c4_invalid_predictions", ctes(preds=ad.RAW_PREDICTIONS_SQL) + """
 SELECT run_id, COUNT(*) AS total_rows,
