@@ -19,7 +19,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.columns import attach_scalars, count_if, validate_names
 from ..functions.ranking import quantile_cont, running_sums, top_k_per_group
@@ -343,5 +342,3 @@ def experiment_record(runs: DataFrame, name_col: str = "experiment_name", type_c
                     F.date_format(F.col(ts_col), "yyyyMMddHHmmss")).alias("run_id"),
         "*")
 
-
-_ = T

@@ -8,8 +8,6 @@ as a sort-merge (or, after AQE measures the feedback side, broadcast) join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -149,5 +147,3 @@ def point_changes(perf: DataFrame) -> DataFrame:
                               for c, b in (("precision", "baseline_precision"), ("recall", "baseline_recall"),
                                            ("f1_score", "baseline_f1"))])
 
-
-_ = Sequence
