@@ -64,6 +64,22 @@ def balanced_weights(df: DataFrame, label: str = "fraud_label", out: str = "weig
     return df.join(F.broadcast(w), label, "left")
 
 
+ROWS_PER_TRAINING_PARTITION = 1_000_000
+
+
+def _training_layout(d: DataFrame) -> DataFrame:
+    """Cache the assembled training set in ~1M-row partitions.
+
+    Tree learners make one pass per level (and per boosting round), so the input
+    is read hundreds of times: caching avoids recomputing the features, and a
+    partition count sized to the provider table avoids thousands of near-empty
+    tasks per pass.  One count of the (provider-level) training table sizes it.
+    """
+    n = d.count()
+    parts = max(1, math.ceil(n / ROWS_PER_TRAINING_PARTITION))
+    return d.repartition(parts).persist()
+
+
 def _assemble(df: DataFrame, cols: Sequence[str], out: str = "features"):
     from pyspark.ml.feature import VectorAssembler
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
@@ -75,12 +91,15 @@ def train_random_forest(train: DataFrame, cols: Sequence[str], params: Mapping =
     """Random forest with balanced class weights (``weightCol``)."""
     from pyspark.ml.classification import RandomForestClassifier
     cols = validate_names(cols)
-    d = _assemble(balanced_weights(train, label), cols).withColumn("label", F.col(label).cast("double"))
+    d = _training_layout(_assemble(balanced_weights(train, label), cols).withColumn("label", F.col(label).cast("double")))
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 numTrees=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
                                 minInstancesPerNode=int(params["min_samples_leaf"]),
                                 seed=int(params["random_state"]), featureSubsetStrategy="sqrt")
-    return rf.fit(d)
+    try:
+        return rf.fit(d)
+    finally:
+        d.unpersist()
 
 
 # T3 -----------------------------------------------------------------------------
@@ -88,13 +107,16 @@ def train_gbt(train: DataFrame, cols: Sequence[str], params: Mapping = GBT_PARAM
     """Gradient-boosted trees; positives weighted by ``scale_pos_weight``."""
     from pyspark.ml.classification import GBTClassifier
     cols = validate_names(cols)
-    d = _assemble(train, cols).withColumn("label", F.col(label).cast("double")).withColumn(
-        "weight", F.when(F.col(label) == 1, F.lit(float(params["scale_pos_weight"]))).otherwise(F.lit(1.0)))
+    d = _training_layout(_assemble(train, cols).withColumn("label", F.col(label).cast("double")).withColumn(
+        "weight", F.when(F.col(label) == 1, F.lit(float(params["scale_pos_weight"]))).otherwise(F.lit(1.0))))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         maxIter=int(params["n_estimators"]), maxDepth=int(params["max_depth"]),
                         stepSize=float(params["learning_rate"]), subsamplingRate=float(params["subsample"]),
                         featureSubsetStrategy=str(params["colsample_bytree"]), seed=int(params["random_state"]))
-    return gbt.fit(d)
+    try:
+        return gbt.fit(d)
+    finally:
+        d.unpersist()
 
 
 # T4 -----------------------------------------------------------------------------
