@@ -2,3 +2,10 @@
 
 Nothing outside this package imports it.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

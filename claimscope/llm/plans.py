@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import decontamination_report
+from .simhash import simhash_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +26,8 @@ def query(name: str, sql: str | None = None):
 @query("op8_benchmark_decontamination")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_simhash_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(table(spark, sf_dir, "documents"))
