@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import decontamination_report
 from .simhash import simhash_report
+from .substring import substring_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,3 +32,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_simhash_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(table(spark, sf_dir, "documents"))
