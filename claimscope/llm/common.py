@@ -116,3 +116,16 @@ def lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     """A list array of consecutive runs of ``values``."""
     off = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(off, pa.int32()), values)
+
+
+def text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are in ``stay`` (id, h); of rows equal in both, one."""
+    mark, key, tie = (free_name(docs.columns, c) for c in ("text_hash", "stay_id", "stay_hash"))
+    marked = docs.withColumn(mark, text_hash(text_col))
+    kept = marked.join(stay.select(F.col("id").alias(key), F.col("h").alias(tie)),
+                       F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(tie)), "left_semi")
+    return kept.dropDuplicates([id_col, mark]).select(*docs.columns)

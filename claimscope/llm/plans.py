@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import exact
 from .common import table
 from .decontaminate import decontamination_report
 from .simhash import simhash_report
@@ -37,3 +38,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_substring_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_exact_dedup", exact.ORACLE)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, shuffle_partitions, with_arrow, written
+from .common import keep_rows, shuffle_partitions, text_hash, with_arrow, written
 from .graph import components
 from .words import LOWER, texts_of, words_of
 
@@ -236,18 +236,14 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                   radius: int = RADIUS) -> DataFrame:
     """One document of each group, with its own columns: the smallest id, then the smallest text hash."""
-    mark, key, tie = (free_name(docs.columns, c) for c in ("text_hash", "stay_id", "stay_hash"))
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    hashed = docs.select(F.col(id_col).alias("id"), text_hash.alias("h"), F.col(text_col).alias("text"))
+    hashed = docs.select(F.col(id_col).alias("id"), text_hash(text_col).alias("h"), F.col(text_col).alias("text"))
     prints = written(with_fingerprint(hashed, "text", shingle, drop_text=True))
     part = written(_components(prints, radius))
     # fewest rows first: one candidate per fingerprint, then one per component
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "h")
     stay = (prints.groupBy("fp").agg(F.min(rank).alias("r")).join(part, "fp")
-            .groupBy("root").agg(F.min("r").alias("r")).select(F.col("r.id").alias(key), F.col("r.h").alias(tie)))
-    marked = docs.withColumn(mark, text_hash)
-    kept = marked.join(stay, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(mark) == F.col(tie)), "left_semi")
-    return kept.dropDuplicates([id_col, mark]).select(*docs.columns)
+            .groupBy("root").agg(F.min("r").alias("r")).select("r.id", "r.h"))
+    return keep_rows(docs, stay, id_col, text_col)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
