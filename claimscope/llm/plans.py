@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import exact
 from .common import table
 from .decontaminate import decontamination_report
+from .langid import language_report
 from .simhash import simhash_report
 from .substring import substring_report
 
@@ -43,3 +44,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_exact_dedup", exact.ORACLE)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
