@@ -27,9 +27,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = _state(e)
     for _ in range(MOST_STEPS):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # the minima are a table of their own, so that Spark can split a hub's rows in the join
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large)
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u")
         e = written(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                     .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
