@@ -56,7 +56,7 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
 
 
 def with_arrow(df: DataFrame, text: str, start: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]],
-               fields: Sequence[T.StructField], drop_text: bool = False, most_bytes: int = 4 << 20) -> DataFrame:
+               fields: Sequence[T.StructField], drop_text: bool = False, most_bytes: int = 1 << 20) -> DataFrame:
     """``df`` with the columns ``fields``, made batch by batch inside its own partitions (no shuffle).
 
     ``start()`` runs once a task and returns a function from a record batch, whose texts

@@ -72,7 +72,7 @@ def hashes(vocab: pa.Array, seed: int = 0) -> np.ndarray:
                        dtype=np.uint64, count=len(vocab))
 
 
-def parts(batch: pa.RecordBatch, text: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def parts(batch: pa.RecordBatch, text: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Zero-copy runs of rows whose texts together hold ``most_bytes`` at most (one row at least)."""
     if not batch.num_rows:
         return
