@@ -20,9 +20,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: Documents may be long: small Arrow batches bound the memory of a task, in the JVM and in Python.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            for key, value in ARROW.items():
+                spark.conf.set(key, value)
+            return fn(spark, sf_dir)
+
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
