@@ -14,6 +14,7 @@ from .langid import language_report
 from .secrets import secrets_report, vocabulary_words
 from .simhash import simhash_report
 from .substring import substring_report
+from .tokens import tokens_report
 from .toxicity import toxicity_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +74,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_token_output")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
