@@ -12,6 +12,7 @@ from .common import table
 from .decontaminate import decontamination_report
 from .langid import language_report
 from .secrets import secrets_report, vocabulary_words
+from .sentencepiece import sentencepiece_report
 from .simhash import simhash_report
 from .substring import substring_report
 from .tokens import tokens_report
@@ -79,3 +80,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_token_output")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_report(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
