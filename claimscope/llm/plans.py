@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact
+from . import exact, licenses
 from .common import table
 from .decontaminate import decontamination_report
 from .langid import language_report
@@ -85,3 +85,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_report(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op6_license_scan", licenses.ORACLE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
