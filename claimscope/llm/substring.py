@@ -97,7 +97,10 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found, mask = bit_filter(written(seeds), "h")
     free_shuffles(spark)
     wins = base.mapInArrow(lambda b: _emit_windows(b, found, mask, window, anchor), "h long, doc long, pos int")
-    owner = wins.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("h", F.col("a").alias("owner"))
+    # a table of its own: Spark can then split the rows of a very common window in the join
+    owner = written(wins.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
+                        .select("h", F.col("a").alias("owner")))
+    free_shuffles(spark)
     return wins.join(owner, "h").where("doc > owner").select("doc", "pos")
 
 
