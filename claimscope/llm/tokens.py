@@ -13,8 +13,8 @@ segments come from the segments' own token counts, first summed by shard.
 
 Edge cases: a null text is empty (the end id only).  Null document ids come first, as many as
 ``n_null`` says.  Rows that repeat an id follow each other.  No documents: no segments.  Words are
-encoded one by one; that equals encoding the whole text for tokenizers whose
-pre-tokenizer never joins characters across white space.
+encoded one by one; that equals encoding the whole text for a tokenizer that lower-cases and
+whose pre-tokenizer never joins characters across white space, or letters with others.
 """
 
 from __future__ import annotations
@@ -25,18 +25,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_folder, shuffle_partitions
-from .words import parts, texts_of, words_of
+from .words import LOWER, parts, recode, texts_of
 
 #: Set bits between two sampled positions of a select structure.
 SAMPLE = 256
 #: Ids of a segment, as a target: a segment ends with the document that reaches it.
 SEGMENT = 1 << 20
-#: Encoded words that a task remembers.
-_REMEMBER = 200_000
+#: Encoded words of a generation; a task remembers two.
+_REMEMBER = 150_000
 
 SCHEMA = ("shard int, segment int, n_docs long, n_null long, n_tokens long, width int, ids binary, "
           "end_low binary, end_high binary, end_bits int, end_sample binary, "
@@ -115,42 +116,107 @@ def _segment(shard: int, number: int, ids: np.ndarray, ends: np.ndarray, docs: l
             "doc_sample": doc.sample}
 
 
-def _encode_words(encoder, words: list[str], memory: dict) -> list[np.ndarray]:
-    new = [w for w in words if w not in memory]
-    if len(memory) + len(new) > _REMEMBER:
-        memory.clear()
-        new = words
-    for w, e in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False)):
-        memory[w] = np.array(e.ids, np.uint32)
-    return [memory[w] for w in words]
-
-
-def _encode(column: pa.Array, encoder, memory: dict, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+class _Encoder:
+    """A tokenizer that encodes a distinct word once and remembers the words of late.
+
+    Words are cut at white space, and behind an ASCII letter before any other ASCII character;
+    A-Z is lower-cased.  Both change nothing for a tokenizer that lower-cases and never
+    joins letters with other characters, unless a special token's text would be cut or made.
+    """
+
+    def __init__(self, tokenizer: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(tokenizer)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.largest = max(vocab.values())
+        self.last = np.zeros(self.largest + 1, bool)  # ids that end a word
+        self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All words of the texts, and their number per text."""
+        low = recode(texts, LOWER)
+        size = np.asarray(pc.binary_length(low), dtype=np.int64)
+        joined = b"".join(x.as_buffer() for x in low.cast(pa.binary()))
+        plain = any(t in joined for t in self.special)
+        if plain:
+            joined = b"".join(x.as_buffer() for x in texts.cast(pa.binary()))
+        raw = np.frombuffer(joined, np.uint8)
+        space = (raw == 0x20) | ((raw >= 0x09) & (raw <= 0x0D))
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = space[1:] != space[:-1]
+        if not plain:
+            letter = (raw >= 0x61) & (raw <= 0x7A)
+            cut[1:] |= letter[:-1] & ~letter[1:] & (raw[1:] < 0x80)
+        first = np.cumsum(size) - size
+        cut[first[size > 0]] = True
+        at = np.flatnonzero(cut)
+        runs = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(raw)])
+        real = ~space[at]
+        total = np.concatenate([[0], np.cumsum(real)])
+        n = total[np.searchsorted(at, first + size)] - total[np.searchsorted(at, first)]
+        return runs.filter(pa.array(real)), n
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, as little-endian 32-bit integers."""
+        new = []
+        for w in words:
+            if w not in self.now:
+                if w in self.before:
+                    self.now[w] = self.before[w]
+                else:
+                    new.append(w)
+        for at in range(0, len(new), 2000):
+            some = new[at:at + 2000]
+            self._learn([w for w in some if w.isalpha()], True)
+            self._learn([w for w in some if not w.isalpha()], False)
+        out = [self.now[w] for w in words]
+        if len(self.now) > _REMEMBER:
+            self.before, self.now = self.now, {}
+        return out
+
+    def _learn(self, words: list[str], letters: bool) -> None:
+        if letters and words:  # each word of letters ends with one id of a word's end
+            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(words):
+                for w, a, b in zip(words, [0, *ends[:-1].tolist()], ends.tolist()):
+                    self.now[w] = ids[a:b].tobytes()
+                return
+        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            self.now[w] = np.array(e.ids, "<u4").tobytes()
+
+
+def _encode(column: pa.Array, encoder: _Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the texts, each followed by the end id, and the id count of each text."""
-    w = words_of(texts_of(column))
-    made = _encode_words(encoder, w.vocab.to_pylist(), memory)
-    size = np.fromiter(map(len, made), np.int64, len(made))
-    flat = np.concatenate([*made, np.zeros(0, np.uint32)])
+    words, per_text = encoder.words(texts_of(column))
+    coded = words.dictionary_encode()
+    codes = np.asarray(coded.indices, dtype=np.int64)
+    made = encoder.ids(coded.dictionary.cast(pa.large_string()).to_pylist())
+    size = np.fromiter(map(len, made), np.int64, len(made)) // 4
+    flat = np.frombuffer(b"".join(made), "<u4")
     first = np.cumsum(size) - size
-    n = size[w.codes] if len(made) else np.zeros(0, np.int64)
+    n = size[codes] if len(codes) else codes
     total = np.concatenate([[0], np.cumsum(n)])
-    per_text = total[w.offsets[1:]] - total[w.offsets[:-1]] + 1
+    ends = np.concatenate([[0], np.cumsum(per_text)])
+    text_size = total[ends[1:]] - total[ends[:-1]] + 1
     # ids of the words in order, with a hole for the end id after every text
-    text = np.repeat(np.arange(len(w.offsets) - 1), np.diff(w.offsets))
+    text = np.repeat(np.arange(len(per_text)), per_text)
     put = np.arange(int(total[-1])) + np.repeat(text, n)
-    take = np.arange(int(total[-1])) - np.repeat(total[:-1], n) + np.repeat(first[w.codes] if len(made) else n, n)
+    take = np.arange(int(total[-1])) - np.repeat(total[:-1], n) + np.repeat(first[codes] if len(codes) else n, n)
     out = np.full(int(total[-1]) + len(per_text), end_id, np.uint32)
     out[put] = flat[take]
-    return out, per_text
+    return out, text_size
 
 
 def _segments(batches, tokenizer: str, end_id: int, segment: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
-    from tokenizers import Tokenizer
 
-    encoder = Tokenizer.from_str(tokenizer)
-    width = 2 if max(encoder.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else 4
-    memory: dict = {}
+    encoder = _Encoder(tokenizer)
+    width = 2 if max(encoder.largest, end_id) < 1 << 16 else 4
     shard = TaskContext.get().partitionId()
     number, ids, sizes, docs, held = 0, [], [], [], 0
 
@@ -158,8 +224,8 @@ def _segments(batches, tokenizer: str, end_id: int, segment: int) -> Iterator[pa
         return _rows([_segment(shard, number, np.concatenate(ids), np.cumsum(np.concatenate(sizes)), docs, width)])
 
     for batch in batches:
-        for part in parts(batch, "text"):
-            made, size = _encode(part.column(1), encoder, memory, end_id)
+        for part in parts(batch, "text", 4 << 20):
+            made, size = _encode(part.column(1), encoder, end_id)
             ids.append(made)
             sizes.append(size)
             docs += part.column(0).to_pylist()
