@@ -10,7 +10,7 @@ task.  ``row_number_by`` avoids that:
    ``partition_index << 33 | position`` after ``sortWithinPartitions``);
 3. aggregate (partition, group) -> first id and row count.  That table has at most
    ``partitions + groups`` rows; an exclusive running sum over it gives each
-   slice's offset within its group, joined back as a broadcast.
+   slice's offset within its group, joined back (Spark broadcasts it when it is small).
 
 The result equals ``row_number() over (partition by g order by o)`` with a total
 order (callers end every ordering with an id column).
@@ -18,7 +18,6 @@ order (callers end every ordering with an id column).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,8 +58,8 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
     if count_col:
         tot = Window.partitionBy(*partition_by)
         slices = slices.withColumn(count_col, F.sum("__rk_cnt").over(tot))
-    # slices holds <= partitions + groups rows: a proven bound, safe to broadcast.
-    joined = ranged.join(F.broadcast(slices.drop("__rk_cnt")), [_PID, *partition_by], "inner")
+    # slices holds <= partitions + groups rows; groups may be many, so the join strategy is Spark's choice
+    joined = ranged.join(slices.drop("__rk_cnt"), [_PID, *partition_by], "inner")
     rn = (F.col(_MID) - F.col("__rk_first") + F.col("__rk_off") + F.lit(1)).cast("long")
     return joined.withColumn(out, rn).drop(_PID, _MID, "__rk_first", "__rk_off")
 
@@ -76,12 +75,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -101,9 +96,14 @@ def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int, rank_col: str
 
 def top_k_per_group(df: DataFrame, group_by: Sequence[str], order_by: Sequence[Column | str], k: int,
                     rank_col: str = "rn") -> DataFrame:
-    """Top-k rows of every group; ``row_number_by`` keeps a hot group off a single task."""
-    ranked = row_number_by(df, group_by, order_by, out=rank_col)
-    return ranked.where(F.col(rank_col) <= k)
+    """Top-k rows of every group.
+
+    ``row_number() <= k`` is planned with a group limit on both sides of the shuffle: a
+    task sends at most ``k`` rows of a group, however many it has.
+    """
+    w = Window.partitionBy(*group_by).orderBy(*_sort_cols(order_by))
+    return (df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
+              .withColumn(rank_col, F.col(rank_col).cast("long")))
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) -> DataFrame:
@@ -122,60 +122,60 @@ def latest_per(df: DataFrame, keys: Sequence[str], order_desc: Sequence[str]) ->
     return agg.select(*[F.col("__lp")[c].alias(c) for c in cols])
 
 
+def _positions(df: DataFrame, group_by: Sequence[str], value: str) -> tuple[DataFrame, Column]:
+    """Distinct values with their last 1-based position ``__q_hi``, count ``__q_c`` and the group's ``__q_n``.
+
+    Values are counted before they are ordered, so a value that most rows share is one
+    row.  Also returns a test: does position ``p`` fall on this value?
+    """
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*group_by, value)
+                .agg(F.count(F.lit(1)).alias("__q_c")))
+    j = running_sums(counts, group_by, [F.col(value)], ["__q_c"], prefix="__q_hi", total_prefix="__q_n")
+    j = j.withColumnsRenamed({"__q_hi__q_c": "__q_hi", "__q_n__q_c": "__q_n"})
+    return j, lambda p: (F.col("__q_hi") - F.col("__q_c") < p) & (p <= F.col("__q_hi"))
+
+
 def quantile_disc(df: DataFrame, group_by: Sequence[str], value: str, q: float | Sequence[float],
                   out: str | Sequence[str]) -> DataFrame:
     """Exact discrete quantile(s) per group: the value at 1-based position ceil(q * n).
 
-    Same definition as DuckDB ``quantile_disc`` / SQL ``PERCENTILE_DISC``.  Built on
-    ``row_number_by`` so a group with most rows is sorted by many tasks; only the
-    rows at the wanted positions reach the final (tiny) aggregate.
+    Same definition as DuckDB ``quantile_disc`` / SQL ``PERCENTILE_DISC``.  Distinct values
+    are ordered by many tasks; only those at the wanted positions reach the final aggregate.
     """
     qs = [q] if isinstance(q, (int, float)) else list(q)
     outs = [out] if isinstance(out, str) else list(out)
     if any(not 0 <= x <= 1 for x in qs):
         raise ValueError("q must be in [0, 1]")
-    vals = df.select(*group_by, value).where(F.col(value).isNotNull())
-    joined = row_number_by(vals, group_by, [F.col(value)], out="__q_rn", count_col="__q_n")
+    j, at = _positions(df, group_by, value)
     pos = [F.greatest(F.ceil(F.lit(float(x)) * F.col("__q_n")), F.lit(1)) for x in qs]
     keep = F.lit(False)
-    for p_ in pos:
-        keep = keep | (F.col("__q_rn") == p_)
-    aggs = [F.max(F.when(F.col("__q_rn") == p_, F.col(value))).alias(o) for p_, o in zip(pos, outs)]
-    sel = joined.where(keep)
+    for p in pos:
+        keep = keep | at(p)
+    aggs = [F.max(F.when(at(p), F.col(value))).alias(o) for p, o in zip(pos, outs)]
+    sel = j.where(keep)
     return sel.groupBy(*group_by).agg(*aggs) if group_by else sel.agg(*aggs)
 
 
-def ceil_pos(q: float, n: int) -> int:
-    return max(1, math.ceil(q * n))
-
-
 def quantile_cont(df: DataFrame, group_by: Sequence[str], value: str, qs: Sequence[float],
                   names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles per group (pandas ``quantile`` /
     ``percentile`` / DuckDB ``quantile_cont``), one column per q.
 
     position h = (n - 1) * q; result = v[floor h] + (h - floor h) * (v[ceil h] - v[floor h]).
-    Only the <= 2 rows per (group, q) at those positions survive the rank, then a
-    small aggregate assembles them; no group is ever sorted in one task.
+    Only the <= 2 distinct values per (group, q) at those positions reach the last aggregate.
     """
     names = list(names or [f"q{int(round(q * 100))}" for q in qs])
     if any(not 0 <= q <= 1 for q in qs):
         raise ValueError("quantiles must be in [0, 1]")
-    vals = df.select(*group_by, value).where(F.col(value).isNotNull())
-    j = row_number_by(vals, group_by, [F.col(value)], out="__q_rn", count_col="__q_n")
-    outs = []
+    j, at = _positions(df, group_by, value)
+    outs, keep = [], F.lit(False)
     for q, name in zip(qs, names):
         h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))
         lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        frac = h - F.floor(h)
-        v_lo = F.max(F.when(F.col("__q_rn") == lo, F.col(value)))
-        v_hi = F.max(F.when(F.col("__q_rn") == hi, F.col(value)))
-        f = F.max(frac)
-        outs.append((v_lo + f * (v_hi - v_lo)).alias(name))
-    keep = F.lit(False)
-    for q in qs:
-        h = (F.col("__q_n") - 1).cast("double") * F.lit(float(q))
-        keep = keep | (F.col("__q_rn") == F.floor(h) + 1) | (F.col("__q_rn") == F.ceil(h) + 1)
+        v_lo = F.max(F.when(at(lo), F.col(value)))
+        v_hi = F.max(F.when(at(hi), F.col(value)))
+        outs.append((v_lo + F.max(h - F.floor(h)) * (v_hi - v_lo)).alias(name))
+        keep = keep | at(lo) | at(hi)
     sel = j.where(keep)
     return sel.groupBy(*group_by).agg(*outs) if group_by else sel.agg(*outs)
 
@@ -188,7 +188,7 @@ def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     ``total_prefix`` also attaches each group's grand totals from the slice table.
     Same slicing as ``row_number_by``: range partitions give contiguous slices,
     a window sums inside each (partition, group) slice -- bounded by the slice
-    size -- and a broadcast table of slice totals (<= partitions + groups rows)
+    size -- and a table of slice totals (<= partitions + groups rows)
     supplies each slice's offset.  ``order_by`` must be a total order.
     """
     spark = df.sparkSession
@@ -204,7 +204,7 @@ def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     extra = [F.sum(f"__tot_{c}").over(w_all).alias(f"{total_prefix}{c}") for c in cols] if total_prefix else []
     off = tot.select(_PID, *partition_by,
                      *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in cols], *extra)
-    j = local.join(F.broadcast(off), [_PID, *partition_by], "inner")
+    j = local.join(off, [_PID, *partition_by], "inner")
     totals = [F.col(f"{total_prefix}{c}") for c in cols] if total_prefix else []
     return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in cols],
                     *totals)

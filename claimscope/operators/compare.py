@@ -62,7 +62,7 @@ def tier_share(preds: DataFrame, models: Sequence[str] | None = None) -> DataFra
     """Risk tier counts and percent per model for each model's latest run."""
     lp = latest_predictions(preds, models)
     c = lp.groupBy("model_name", "risk_category").agg(F.count(F.lit(1)).alias("provider_count"))
-    t = lp.groupBy("model_name").agg(F.count(F.lit(1)).alias("__t"))
+    t = c.groupBy("model_name").agg(F.sum("provider_count").alias("__t"))
     return c.join(t, "model_name").select("model_name", "risk_category", "provider_count",
                                           pct2("provider_count", "__t").alias("provider_pct"))
 
@@ -80,7 +80,7 @@ def rank_matrix(preds: DataFrame, models: Sequence[str], k: int = 20) -> DataFra
     aggs = [F.max(F.when(F.col("model_name") == m, F.col("risk_rank"))).alias(f"{m}_rank") for m in models]
     aggs += [F.max(F.when(F.col("model_name") == m, F.col("fraud_score"))).alias(f"{m}_score") for m in models]
     wide = sub.groupBy("provider_id").agg(*aggs)
-    best = F.least(*[F.coalesce(F.col(f"{m}_rank"), F.lit(9999)) for m in models])
+    best = F.least(*[F.col(f"{m}_rank") for m in models], F.lit(None).cast("long"))  # skips missing ranks
     return wide.withColumn("best_rank", best.cast("long"))
 
 

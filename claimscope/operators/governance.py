@@ -27,8 +27,14 @@ GATE_METRICS = ("pr_auc", "precision", "recall", "f1_score")
 
 
 def _latest_value(df: DataFrame, value: str, ts: str, alias: str) -> DataFrame:
-    """1-row frame: ``value`` of the newest row by ``ts`` (NULL when ``df`` is empty)."""
-    return df.agg(F.max_by(F.col(value), F.col(ts)).alias(alias))
+    """1-row frame: ``value`` of the newest row by ``ts`` (NULL when ``df`` is empty); of rows
+    with one time the smallest value, so ALERT comes before PASS."""
+    last = df.groupBy(ts).agg(F.min(value).alias("__v"))
+    return last.agg(F.max_by(F.col("__v"), F.col(ts)).alias(alias))
+
+
+def _of_model(df: DataFrame, model_name: str) -> DataFrame:
+    return df.where(F.col("model_name") == model_name)
 
 
 def _feature_alerts(drift: DataFrame, ts: str = "monitoring_timestamp") -> DataFrame:
@@ -43,13 +49,17 @@ def _feature_alerts(drift: DataFrame, ts: str = "monitoring_timestamp") -> DataF
 def retraining_trigger(feedback: DataFrame, dq: DataFrame, drift: DataFrame, pred_drift: DataFrame,
                        check_ts, model_name: str = "provider_fraud_model", new_label_threshold: int = 20
                        ) -> DataFrame:
-    """G1: label counts and latest monitor statuses -> retraining_required + reason text."""
+    """G1: label counts and the model's latest monitor statuses -> retraining_required + reason text.
+
+    All three monitors are read for ``model_name`` only; a model without monitor rows has no alert.
+    """
     if check_ts is None:
         raise ValueError("pass check_ts explicitly")
     lab = F.col("confirmed_fraud").cast("int")
     labels = feedback.where(lab.isNotNull()).agg(
         F.count(F.lit(1)).alias("labeled_provider_count"), count_if(lab == 1).alias("confirmed_fraud_count"),
         count_if(lab == 0).alias("confirmed_normal_count"))
+    dq, drift, pred_drift = (_of_model(x, model_name) for x in (dq, drift, pred_drift))
     dq1 = _latest_value(dq, "monitoring_status", "monitoring_timestamp", "dq_status")
     fd1 = _feature_alerts(drift)
     pd1 = _latest_value(pred_drift, "status", "check_date", "pd_status")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach_scalars, count_if, pct2
-from ..functions.ranking import top_k, top_k_per_group
+from ..functions.ranking import materialize, top_k, top_k_per_group
 from .performance import COMPLETED, RUN_KEYS, expected_version
 
 
@@ -53,6 +53,11 @@ def investigation_queue(preds: DataFrame, state: DataFrame, state_key: str, capa
                       F.lit(queue_created_at).cast("timestamp").alias("queue_created_at"))
 
 
+def completed(feedback: DataFrame) -> DataFrame:
+    """The cases that have an outcome."""
+    return feedback.where(F.col("investigation_result").isin(*COMPLETED))
+
+
 # I2 -----------------------------------------------------------------------------
 def queue_summary(queue: DataFrame) -> DataFrame:
     """Queued count and lowest/highest score per run."""
@@ -63,16 +68,16 @@ def queue_summary(queue: DataFrame) -> DataFrame:
 
 # I3 / I4 ------------------------------------------------------------------------
 def open_queue(queue: DataFrame, feedback: DataFrame, keys: Sequence[str] = ("provider_id",)) -> DataFrame:
-    """Queue entries with no feedback on ``keys`` (left anti join)."""
-    return queue.join(feedback.select(*keys).distinct(), list(keys), "left_anti")
+    """Queue entries with no completed outcome on ``keys`` (left anti join)."""
+    return queue.join(completed(feedback).select(*keys).distinct(), list(keys), "left_anti")
 
 
 # I5 -----------------------------------------------------------------------------
 def next_cases(preds: DataFrame, feedback: DataFrame, n: int) -> DataFrame:
-    """Per run, the ``n`` best-ranked providers without feedback on (provider, run, version)."""
+    """Per run, the ``n`` best-ranked providers without an outcome on (provider, run, version)."""
     if n < 1:
         raise ValueError("n must be >= 1")
-    open_ = preds.join(feedback.select("provider_id", "run_id", "model_version"),
+    open_ = preds.join(completed(feedback).select("provider_id", "run_id", "model_version"),
                        ["provider_id", "run_id", "model_version"], "left_anti")
     return top_k_per_group(open_, RUN_KEYS, [F.col("risk_rank"), F.col("provider_id")], n,
                            rank_col="case_order").select("provider_id", *RUN_KEYS, "fraud_score", "risk_rank",
@@ -89,7 +94,7 @@ def exploration_sample(preds: DataFrame, feedback: DataFrame, model_name: str, t
     latest = p.groupBy("run_id").agg(F.max("created_at").alias("ts")).agg(
         F.max_by("run_id", F.struct("ts", "run_id")).alias("run_id"))
     cand = (p.join(F.broadcast(latest), "run_id", "left_semi")
-             .join(feedback.select("provider_id").distinct(), "provider_id", "left_anti")
+             .join(completed(feedback).select("provider_id").distinct(), "provider_id", "left_anti")
              .where(F.col("risk_category") == tier))
     key = F.md5(F.concat_ws(":", F.col("provider_id"), F.lit(str(seed))))
     top = top_k(cand.withColumn("__k", key), [F.col("__k"), F.col("provider_id")], n, rank_col="exploration_random_rank")
@@ -99,9 +104,9 @@ def exploration_sample(preds: DataFrame, feedback: DataFrame, model_name: str, t
 
 # I7 -----------------------------------------------------------------------------
 def outcome_share(feedback: DataFrame) -> DataFrame:
-    """Outcome counts with percent of reviewed (1-row total, broadcast)."""
-    c = feedback.groupBy("investigation_result").agg(F.count(F.lit(1)).alias("provider_count"))
-    t = feedback.agg(F.count(F.lit(1)).alias("__t"))
+    """Outcome counts with percent of reviewed; the total is the sum of the counts."""
+    c = completed(feedback).groupBy("investigation_result").agg(F.count(F.lit(1)).alias("provider_count"))
+    t = c.agg(F.sum("provider_count").alias("__t"))
     return attach_scalars(c, t).select("investigation_result", "provider_count",
                                               pct2("provider_count", "__t").alias("pct_of_reviewed"))
 
@@ -110,7 +115,7 @@ def outcome_share(feedback: DataFrame) -> DataFrame:
 def fraud_yield(feedback: DataFrame) -> DataFrame:
     """I8: reviewed, confirmed fraud/normal, yield percent and confirmed dollars."""
     cf = F.col("confirmed_fraud")
-    a = feedback.agg(F.count(F.lit(1)).alias("providers_reviewed"), count_if(cf).alias("confirmed_fraud"),
+    a = completed(feedback).agg(F.count(F.lit(1)).alias("providers_reviewed"), count_if(cf).alias("confirmed_fraud"),
                      count_if(~cf).alias("confirmed_normal"), count_if(cf.isNotNull()).alias("__n"),
                      F.round(F.sum("fraud_amount"), 2).cast("decimal(18,2)").alias("confirmed_fraud_amount"))
     return a.select("providers_reviewed", "confirmed_fraud", "confirmed_normal",
@@ -154,7 +159,8 @@ def latest_scored_run(preds: DataFrame) -> DataFrame:
 
 
 def _ranked_with_truth(preds: DataFrame, truth: DataFrame, run: DataFrame, max_k: int):
-    p = preds.join(F.broadcast(run), RUN_KEYS, "left_semi").join(truth, "provider_id", "inner")
+    # read twice (population and top k): one table of the run's providers
+    p = materialize(preds.join(F.broadcast(run), RUN_KEYS, "left_semi").join(truth, "provider_id", "inner"))
     pop = p.agg(F.count(F.lit(1)).alias("total_providers"),
                 F.sum("fraud_label").cast("long").alias("total_fraud_providers"),
                 F.avg("fraud_label").alias("fraud_prevalence"))

@@ -61,23 +61,18 @@ def balanced_weights(df: DataFrame, label: str = "fraud_label", out: str = "weig
     tot = df.agg(F.count(F.lit(1)).alias("__n"))
     k = cls.agg(F.count(F.lit(1)).alias("__k"))
     w = attach_scalars(attach_scalars(cls, tot), k).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label, "left")
+    return df.join(w, label, "left")
 
 
-ROWS_PER_TRAINING_PARTITION = 1_000_000
+def _training_layout(d: DataFrame, id_col: str = "provider_id") -> DataFrame:
+    """Cache the assembled training set, dealt by provider id into the session's shuffle partitions.
 
-
-def _training_layout(d: DataFrame) -> DataFrame:
-    """Cache the assembled training set in ~1M-row partitions.
-
-    Tree learners make one pass per level (and per boosting round), so the input
-    is read hundreds of times: caching avoids recomputing the features, and a
-    partition count sized to the provider table avoids thousands of near-empty
-    tasks per pass.  One count of the (provider-level) training table sizes it.
+    Tree learners make one pass per level (and per boosting round), so the input is read
+    hundreds of times: caching avoids recomputing the features.  The layout depends on the
+    ids and the session only, so a fitted model does not change with the size of the table.
     """
-    n = d.count()
-    parts = max(1, math.ceil(n / ROWS_PER_TRAINING_PARTITION))
-    return d.repartition(parts).persist()
+    n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return d.repartition(n, id_col).sortWithinPartitions(id_col).persist()
 
 
 def _assemble(df: DataFrame, cols: Sequence[str], out: str = "features"):
@@ -176,6 +171,16 @@ def _build_tree(pdf: pd.DataFrame, cols: Sequence[str], seed: int, height_limit:
     return pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth"])
 
 
+_HASHES = 1 << 63
+#: Nodes of a forest that are collected and broadcast at most.
+MOST_NODES = 5_000_000
+
+
+def sample_cut(psi: int, n: int) -> int:
+    """Largest hash of a candidate: four times as many candidates as samples are expected at any ``n``."""
+    return min(_HASHES - 1, max(1, _HASHES * 4 * psi // n))
+
+
 def fit_isolation_forest(train: DataFrame, cols: Sequence[str], params: Mapping = IF_PARAMS,
                          id_col: str = "provider_id") -> DataFrame:
     """Tree table of an isolation forest fitted on ``train`` (standardised features)."""
@@ -184,11 +189,10 @@ def fit_isolation_forest(train: DataFrame, cols: Sequence[str], params: Mapping
     if n == 0:
         raise ValueError("empty training data")
     psi = min(max_samples, n)
-    rate = min(1.0, 4.0 * psi / n)
-    cut = int(rate * 1_000_000)
-    h = lambda t: F.abs(F.xxhash64(F.col(id_col).cast("string"), F.lit(seed), t)) % 1_000_000
-    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: h(t) < cut) if rate < 1 else \
-        F.sequence(F.lit(0), F.lit(n_trees - 1))
+    cut = sample_cut(psi, n)
+    # a row is a candidate of tree t when its 63-bit hash for t is below the cut
+    trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
+                     lambda t: F.xxhash64(F.col(id_col).cast("string"), F.lit(seed), t).bitwiseAND(F.lit(_HASHES - 1)) <= cut)
     cand = train.select(id_col, *cols, F.explode(trees).alias("tree")).withColumn(
         "__h", F.xxhash64(F.col(id_col).cast("string"), F.lit(seed + 1), F.col("tree")))
     sample = top_k_per_group(cand, ["tree"], [F.col("__h"), F.col(id_col)], psi, rank_col="__r")
@@ -196,16 +200,28 @@ def fit_isolation_forest(train: DataFrame, cols: Sequence[str], params: Mapping
     cols = list(cols)
     return sample.select("tree", *cols).groupBy("tree").applyInPandas(
         lambda pdf: _build_tree(pdf, cols, seed, limit), schema=_TREE_SCHEMA).withColumn(
-        "psi", F.lit(psi))
+        "psi", F.lit(psi)).withColumn("n_trees", F.lit(n_trees))
 
 
 def forest_model(forest: DataFrame):
-    """Collect a fitted tree table into arrays (bounded: n_trees x (2^(limit+1) - 1) nodes)."""
-    nodes = forest.orderBy("tree", "node").collect()
+    """Collect a fitted tree table into arrays.
+
+    The table has at most n_trees x (2^(limit+1) - 1) nodes; more than ``MOST_NODES`` is an
+    error, as is a tree that is missing or was built from fewer than psi rows.
+    """
+    nodes = forest.orderBy("tree", "node").limit(MOST_NODES + 1).collect()
     if not nodes:
         raise ValueError("empty forest")
+    if len(nodes) > MOST_NODES:
+        raise ValueError(f"more than {MOST_NODES} nodes: lower n_estimators or max_samples")
     psi = int(nodes[0]["psi"])
     n_trees = max(r["tree"] for r in nodes) + 1
+    leaves: dict[int, int] = {}
+    for r in nodes:
+        if r["feature"] < 0:
+            leaves[r["tree"]] = leaves.get(r["tree"], 0) + r["size"]
+    if len(leaves) != int(nodes[0]["n_trees"]) or any(k != psi for k in leaves.values()):
+        raise ValueError("a tree is missing or has fewer rows than the sample size")
     size = max(r["node"] for r in nodes) + 1
     feat = np.full((n_trees, size), -1, dtype=np.int64)
     thr = np.zeros((n_trees, size))
@@ -292,20 +308,19 @@ def classification_metrics(scored: DataFrame, score_col: str = "fraud_score", la
     ap_term = F.try_divide(F.col("pos"), F.col("P")) * prec_t
     tpr, tpr0 = F.try_divide(F.col("cum_pos"), F.col("P")), F.try_divide(F.col("cum_pos") - F.col("pos"), F.col("P"))
     fpr, fpr0 = F.try_divide(F.col("cum_neg"), F.col("N")), F.try_divide(F.col("cum_neg") - F.col("neg"), F.col("N"))
-    curve = (j.groupBy(*g) if g else j).agg(F.sum(ap_term).alias("average_precision"),
-                                            F.sum((fpr - fpr0) * (tpr + tpr0) / 2.0).alias("roc_auc"))
-    pred = F.col(score_col) >= threshold
-    y = F.col(label_col) == 1
-    cm = (scored.groupBy(*g) if g else scored).agg(
-        F.count(F.lit(1)).alias("n"), count_if(y).alias("positives"), count_if(pred & y).alias("tp"),
-        count_if(pred & ~y).alias("fp"), count_if(~pred & y).alias("fn"))
+    # the confusion counts come from the same rows: the cases are read once
+    pred = F.col("__s") >= threshold
+    some = lambda c: F.sum(F.when(c[0], F.col(c[1])).otherwise(0)).cast("long")
+    cm = (j.groupBy(*g) if g else j).agg(
+        F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("positives"),
+        some((pred, "pos")).alias("tp"), some((pred, "neg")).alias("fp"), some((~pred, "pos")).alias("fn"),
+        F.sum(ap_term).alias("average_precision"), F.sum((fpr - fpr0) * (tpr + tpr0) / 2.0).alias("roc_auc"))
     p = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))).otherwise(0.0)
     r = F.when(F.col("tp") + F.col("fn") > 0, F.col("tp") / (F.col("tp") + F.col("fn"))).otherwise(0.0)
-    cm = cm.select(*g, "n", "positives", p.alias("precision"), r.alias("recall"))
-    cm = cm.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
-                                          2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-                       .otherwise(0.0))
-    return cm.join(curve, g, "left") if g else attach_scalars(cm, curve)
+    cm = cm.select(*g, "n", "positives", p.alias("precision"), r.alias("recall"), "average_precision", "roc_auc")
+    return cm.withColumn("f1_score", F.when(F.col("precision") + F.col("recall") > 0,
+                                            2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
+                         .otherwise(0.0))
 
 
 # T7 -----------------------------------------------------------------------------

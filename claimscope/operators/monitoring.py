@@ -118,10 +118,13 @@ def quality_by_column(features: DataFrame, rules: Mapping[str, Mapping] = DEFAUL
 
 
 # M3 ---------------------------------------------------------------------------
-def data_quality_expected(features: DataFrame, expected_rows: int, rules: Mapping[str, Mapping] = DEFAULT_RULES,
+def data_quality_expected(features: DataFrame, expected_rows: int | DataFrame, rules: Mapping[str, Mapping] = DEFAULT_RULES,
                           feature_cols: Sequence[str] | None = None, model_name: str = "isolation_forest",
                           monitoring_ts=None) -> DataFrame:
-    """M3: strict quality of a batch input with an expected row count -> FAIL/PASS."""
+    """M3: strict quality of a batch input with an expected row count -> FAIL/PASS.
+
+    ``expected_rows``: a number, or a 1-row frame with a column ``expected_rows``.
+    """
     cols = list(feature_cols or rules.keys())
     nulls, invalid = _rule_conditions(cols, rules)
     agg = features.agg(F.count(F.lit(1)).alias("total_rows"),
@@ -129,7 +132,11 @@ def data_quality_expected(features: DataFrame, expected_rows: int, rules: Mappin
                        _sum_counts(nulls).alias("null_feature_values"),
                        _sum_counts(invalid).alias("invalid_feature_values"))
     dup = F.col("total_rows") - F.col("unique_providers")
-    status = (F.when(F.col("total_rows") != expected_rows, "FAIL").when(dup > 0, "FAIL")
+    if isinstance(expected_rows, DataFrame):
+        agg, want = attach_scalars(agg, expected_rows), F.col("expected_rows")
+    else:
+        want = F.lit(expected_rows)
+    status = (F.when(F.col("total_rows") != want, "FAIL").when(dup > 0, "FAIL")
                .when(F.col("null_feature_values") > 0, "FAIL").when(F.col("invalid_feature_values") > 0, "FAIL")
                .otherwise("PASS"))
     return agg.select(_ts(monitoring_ts).alias("monitoring_timestamp"), F.lit(model_name).alias("model_name"),
@@ -285,8 +292,8 @@ def prediction_drift(preds: DataFrame, monitoring_ts=None, psi_alert: float = 0.
                .when(psi_c >= psi_watch, "WATCH").otherwise("PASS"))
     # Alert reason texts of the prediction-drift monitor.
     reason = (F.when(F.col("baseline_run_id").isNull(), "No previous scored run exists for the same model version.")
-               .when(psi_c >= psi_alert, "Prediction score PSI exceeded 0.20.")
-               .when(shift >= mean_alert, "Mean fraud score shifted by at least 0.10.")
+               .when(psi_c >= psi_alert, f"Prediction score PSI exceeded {psi_alert:.2f}.")
+               .when(shift >= mean_alert, f"Mean fraud score shifted by at least {mean_alert:.2f}.")
                .when(psi_c >= psi_watch, "Prediction score PSI is in the watch range.")
                .otherwise("Prediction score distribution is stable."))
     return f.select(ts.alias("check_date"), ts.alias("monitoring_timestamp"), "model_name", "model_version",

@@ -34,8 +34,7 @@ def approved_version(state: DataFrame, preds: DataFrame, feedback: DataFrame) ->
     p = preds.select("provider_id", "run_id", "model_version", "model_name")
     f = (feedback.where(F.col("investigation_result").isin(*COMPLETED))
                  .select("provider_id", "run_id", "model_version", F.col("model_name").alias("f_model"), "created_at"))
-    # the state table has one row per deployed model key: broadcast is size-safe
-    j = (p.join(F.broadcast(s), (p.model_name == s.s_model) & (p.run_id == s.s_run), "inner")
+    j = (p.join(s, (p.model_name == s.s_model) & (p.run_id == s.s_run), "inner")
           .join(f, ["provider_id", "run_id", "model_version"], "inner")
           .where((F.col("f_model") == F.col("s_model"))
                  & (F.col("s_expected").isNull() | (F.col("model_version") == F.col("s_expected")))))
@@ -78,6 +77,12 @@ def confusion(matched: DataFrame) -> DataFrame:
         count_if((pf == 0) & (af == 0)).alias("true_negative"), count_if((pf == 0) & (af == 1)).alias("false_negative"))
 
 
+def with_all_runs(conf: DataFrame, preds: DataFrame) -> DataFrame:
+    """P2 for every scored run: a run without a matched case has zero counts (P4 then says INSUFFICIENT_DATA)."""
+    counts = [c for c in conf.columns if c not in RUN_KEYS]
+    return preds.select(*RUN_KEYS).distinct().join(conf, RUN_KEYS, "left").na.fill(0, counts)
+
+
 # P3 -----------------------------------------------------------------------------
 def investigation_summary(feedback: DataFrame) -> DataFrame:
     """Reviewed, confirmed fraud/normal, yield and confirmed dollars per run."""

@@ -117,11 +117,11 @@ def duplicate_count(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 def value_share(df: DataFrame, col: str) -> DataFrame:
     """V8: value counts with percent of all rows.
 
-    The total is a 1-row aggregate cross-joined as a broadcast, not a
-    ``sum() over ()`` window (which would pull every group into one task).
+    The total is the sum of the counts (one scan), a 1-row frame joined as a broadcast,
+    not a ``sum() over ()`` window (which would pull every group into one task).
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("claim_count"))
-    total = df.agg(F.count(F.lit(1)).alias("__total"))
+    counts = materialize(df.groupBy(col).agg(F.count(F.lit(1)).alias("claim_count")))
+    total = counts.agg(F.sum("claim_count").alias("__total"))
     return attach_scalars(counts, total).select(
         col, "claim_count", pct2("claim_count", "__total").alias("claim_pct"))
 

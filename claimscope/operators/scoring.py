@@ -107,8 +107,9 @@ def completeness_failures(batch: DataFrame, raw: DataFrame, n: int = 20) -> Data
 
 # C4 -----------------------------------------------------------------------------
 def invalid_predictions(raw: DataFrame, col: str = "prediction", group_by: Sequence[str] = ()) -> DataFrame:
-    """C4: rows whose raw prediction is present but does not parse as a number."""
-    bad = F.col(col).try_cast("double").isNull() & F.col(col).isNotNull()
+    """C4: rows whose raw prediction is present but is no number (text, or NaN)."""
+    number = F.col(col).try_cast("double")
+    bad = (number.isNull() | F.isnan(number)) & F.col(col).isNotNull()
     g = raw.groupBy(*group_by) if group_by else raw
     return g.agg(F.count(F.lit(1)).alias("total_rows"), count_if(bad).alias("invalid_predictions"))
 
@@ -132,15 +133,16 @@ def risk_tier(score: Column) -> Column:
 def curate_predictions(raw: DataFrame, prediction_col: str = "prediction",
                        lineage: Sequence[str] = ("prediction_date", "experiment_id", "run_id", "model_name",
                                                  "model_version", "created_at")) -> DataFrame:
-    """Parse, rank by (score desc, provider) within each run, tier and reason.
+    """Parse, rank by (score desc, provider) within each scored run, tier and reason.
 
-    ``risk_rank`` is exact and computed without funnelling a run into one task.
+    A scored run is (model, version, run).  Predictions that C4 counts as invalid are left
+    out.  ``risk_rank`` is exact and computed without funnelling a run into one task.
     """
     lineage = list(lineage)
     parsed = raw.select(*lineage, F.col("provider_id").cast("string").alias("provider_id"),
                         F.col(prediction_col).try_cast("double").alias("fraud_score")
-                        ).where(F.col("fraud_score").isNotNull())
-    ranked = row_number_by(parsed, ["run_id"], [F.col("fraud_score").desc(), F.col("provider_id")], out="risk_rank")
+                        ).where(F.col("fraud_score").isNotNull() & ~F.isnan("fraud_score"))
+    ranked = row_number_by(parsed, ["model_name", "model_version", "run_id"], [F.col("fraud_score").desc(), F.col("provider_id")], out="risk_rank")
     tier = risk_tier(F.col("fraud_score"))
     reason = F.when(tier == "HIGH", TIER_REASON["HIGH"]).when(tier == "MEDIUM", TIER_REASON["MEDIUM"]) \
               .otherwise(TIER_REASON["LOW"])
@@ -215,7 +217,7 @@ def curate_classes(raw: DataFrame, runs: DataFrame, model_type: str, positive: s
 
 # C9 -----------------------------------------------------------------------------
 def anomaly_tiers(scored: DataFrame, k: int = 50, flag_col: str = "suspicious_flag",
-                  group_by: Sequence[str] = ("run_id",)) -> DataFrame:
+                  group_by: Sequence[str] = ("model_name", "model_version", "run_id")) -> DataFrame:
     """Flagged -> HIGH; else rank <= k -> MEDIUM; else LOW (vectorised, no row apply)."""
     ranked = row_number_by(scored, list(group_by), [F.col("fraud_score").desc(), F.col("provider_id")],
                            out="risk_rank")

@@ -72,7 +72,7 @@ def q_x4(spark, sf_dir):
 @register("x5_rank_matrix", ctes(**CUR, **_lp_sql(MODELS)) + "SELECT provider_id, " + ", ".join(
     f"MAX(CASE WHEN model_name = '{m}' THEN risk_rank END) AS {m}_rank" for m in MODELS) + ", " + ", ".join(
     f"MAX(CASE WHEN model_name = '{m}' THEN fraud_score END) AS {m}_score" for m in MODELS)
-    + ", CAST(LEAST(" + ", ".join(f"COALESCE(MAX(CASE WHEN model_name = '{m}' THEN risk_rank END), 9999)" for m in MODELS)
+    + ", CAST(LEAST(" + ", ".join(f"MAX(CASE WHEN model_name = '{m}' THEN risk_rank END)" for m in MODELS)
     + ") AS BIGINT) AS best_rank FROM lp GROUP BY provider_id HAVING " + " OR ".join(
     f"MAX(CASE WHEN model_name = '{m}' THEN risk_rank END) <= 20" for m in MODELS))
 def q_x5(spark, sf_dir):

@@ -10,12 +10,15 @@ from ..operators import models as mdl
 from ..operators import performance as pe
 from ..operators import scoring as sc
 from ..sources import adapters as ad
+from ..sources import io
 from . import features as pf
 from . import monitoring as pm
 from . import performance as pp
 from .catalog import ctes, register
 
 MATCHED = ctes(**pp.BASE)
+#: Boosting rounds of the model that c2_score registers (t3 trains all rounds).
+C2_ROUNDS = 20
 
 
 def _train_test(spark, sf_dir, cols):
@@ -39,16 +42,34 @@ def q_t1(spark, sf_dir):
     return mdl.training_readiness(pf.fixture_features(spark, sf_dir), fe.RF_FEATURES)
 
 
+def _forest(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir, fe.RF_FEATURES)
+    return mdl.train_random_forest(train, fe.RF_FEATURES), test
+
+
 @register("t2_random_forest_scores")
 def q_t2(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir, fe.RF_FEATURES)
-    model = mdl.train_random_forest(train, fe.RF_FEATURES)
+    model, test = _forest(spark, sf_dir)
     return sc.score(sc.batch_input(test, fe.RF_FEATURES, split=None), model, fe.RF_FEATURES)
 
 
+# C2 scores registered models: fitted once, saved, loaded again by a step that knows only the path
+def _reloaded(spark, model):
+    path = io.shared_path(spark, "claimscope/model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 @register("c2_score")
 def q_c2(spark, sf_dir):
-    return q_t2(spark, sf_dir)
+    forest, test = _forest(spark, sf_dir)
+    train, test_gbt = _train_test(spark, sf_dir, fe.XGB_FEATURES)
+    boosted = mdl.train_gbt(train, fe.XGB_FEATURES, {**mdl.GBT_PARAMS, "n_estimators": C2_ROUNDS})
+    parts = [sc.score(sc.batch_input(data, cols, split=None), _reloaded(spark, model), cols)
+             .withColumn("model_name", F.lit(name))
+             for name, model, data, cols in (("random_forest", forest, test, fe.RF_FEATURES),
+                                             ("xgboost", boosted, test_gbt, fe.XGB_FEATURES))]
+    return parts[0].unionByName(parts[1])
 
 
 @register("t3_gbt_scores")
@@ -124,8 +145,8 @@ def q_t7(spark, sf_dir):
 
 @register("t8_feature_importance")
 def q_t8(spark, sf_dir):
-    train, _ = _train_test(spark, sf_dir, fe.RF_FEATURES)
-    return mdl.feature_importance(mdl.train_random_forest(train, fe.RF_FEATURES), fe.RF_FEATURES, spark)
+    model, _ = _forest(spark, sf_dir)
+    return mdl.feature_importance(model, fe.RF_FEATURES, spark)
 
 
 @register("t9_anomaly_metrics", ctes(preds=ad.RAW_PREDICTIONS_SQL) + """

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from ..functions.columns import round_doubles
+from ..functions.ranking import materialize
 from ..operators import performance as pe
 from ..sources import adapters as ad
 from .catalog import ctes, register
 
 EVAL_TS = "2024-02-01 00:00:00"
 CAP = 15
+WIDE_CAP = 40  # above the floor of 20 cases, so that a status is judged
 
 MATCHED_SQL = """
 SELECT p.model_name, p.model_version, p.run_id, p.provider_id, p.fraud_score,
@@ -108,10 +110,34 @@ def _perf(spark, sf_dir, conf):
     return round_doubles(out, 9)
 
 
-@register("p4_performance_degradation", ctes(**BASE, conf=CONF_SQL.format(src="matched"),
-                                             metrics=ad.EXPERIMENT_METRICS_SQL) + PERF_SQL.format(ts=EVAL_TS))
+COUNTS = ("evaluated_cases", "confirmed_fraud_cases", "confirmed_normal_cases", "true_positive", "false_positive",
+          "true_negative", "false_negative")
+ALL_RUNS_SQL = ("SELECT model_name, model_version, run_id, " + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in COUNTS)
+                + " FROM (SELECT DISTINCT model_name, model_version, run_id FROM preds) LEFT JOIN matched_runs "
+                  "USING (model_name, model_version, run_id)")
+
+
+def _all_runs(spark, sf_dir):
+    preds = materialize(ad.raw_predictions(spark, sf_dir))
+    return pe.with_all_runs(pe.confusion(pe.matched_cases(preds, ad.feedback(spark, sf_dir))), preds)
+
+
+P4_BASE = ctes(**BASE, matched_runs=CONF_SQL.format(src="matched"), conf=ALL_RUNS_SQL, metrics=ad.EXPERIMENT_METRICS_SQL)
+
+
+@register("p4_performance_degradation", P4_BASE + PERF_SQL.format(ts=EVAL_TS))
 def q_p4(spark, sf_dir):
-    return _perf(spark, sf_dir, pe.confusion(_matched(spark, sf_dir)))
+    return _perf(spark, sf_dir, _all_runs(spark, sf_dir))
+
+
+# percentage points next to the relative changes
+@register("p4_point_changes", P4_BASE.rstrip() + ", perf AS (" + PERF_SQL.format(ts=EVAL_TS) + """)
+SELECT model_name, model_version, run_id, monitoring_status, ROUND(precision - baseline_precision, 6) AS precision_point_change,
+  ROUND(recall - baseline_recall, 6) AS recall_point_change, ROUND(f1_score - baseline_f1, 6) AS f1_score_point_change FROM perf""")
+def q_p4_points(spark, sf_dir):
+    out = pe.point_changes(_perf(spark, sf_dir, _all_runs(spark, sf_dir)))
+    return round_doubles(out.select("model_name", "model_version", "run_id", "monitoring_status", "precision_point_change",
+                                    "recall_point_change", "f1_score_point_change"), 6)
 
 
 CAPPED_SQL = f"""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY model_name, model_version, run_id
@@ -127,3 +153,10 @@ def q_p5(spark, sf_dir):
                                         metrics=ad.EXPERIMENT_METRICS_SQL) + PERF_SQL.format(ts=EVAL_TS))
 def q_p5perf(spark, sf_dir):
     return _perf(spark, sf_dir, pe.confusion(pe.capped_cases(_matched(spark, sf_dir), CAP)))
+
+
+@register("p5_capped_performance_above_floor", ctes(**BASE, capped=CAPPED_SQL.replace(f"rn <= {CAP}", f"rn <= {WIDE_CAP}"),
+                                                    conf=CONF_SQL.format(src="capped"),
+                                                    metrics=ad.EXPERIMENT_METRICS_SQL) + PERF_SQL.format(ts=EVAL_TS))
+def q_p5wide(spark, sf_dir):
+    return _perf(spark, sf_dir, pe.confusion(pe.capped_cases(_matched(spark, sf_dir), WIDE_CAP)))

@@ -97,7 +97,7 @@ def q_c3f(spark, sf_dir):
 # C4
 @register("c4_invalid_predictions", ctes(preds=ad.RAW_PREDICTIONS_SQL) + """
 SELECT run_id, COUNT(*) AS total_rows,
-  COUNT(*) FILTER (WHERE TRY_CAST(CAST(fraud_score AS VARCHAR) AS DOUBLE) IS NULL AND fraud_score IS NOT NULL) AS invalid_predictions
+  COUNT(*) FILTER (WHERE fraud_score IS NOT NULL AND COALESCE(isnan(TRY_CAST(CAST(fraud_score AS VARCHAR) AS DOUBLE)), TRUE)) AS invalid_predictions
 FROM preds GROUP BY run_id""")
 def q_c4(spark, sf_dir):
     return sc.invalid_predictions(raw_output(spark, sf_dir), group_by=["run_id"])
@@ -115,12 +115,12 @@ def q_c5(spark, sf_dir):
 # C6
 CURATED_SQL = """
 SELECT prediction_date, experiment_id, run_id, model_name, model_version, provider_id, fraud_score,
-  CAST(ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY fraud_score DESC, provider_id) AS BIGINT) AS risk_rank,
+  CAST(ROW_NUMBER() OVER (PARTITION BY model_name, model_version, run_id ORDER BY fraud_score DESC, provider_id) AS BIGINT) AS risk_rank,
   CASE WHEN fraud_score >= 0.80 THEN 'HIGH' WHEN fraud_score >= 0.50 THEN 'MEDIUM' ELSE 'LOW' END AS risk_category,
   CASE WHEN fraud_score >= 0.80 THEN 'Very high model fraud probability'
        WHEN fraud_score >= 0.50 THEN 'Elevated model fraud probability' ELSE 'Below investigation threshold' END AS reason,
   created_at
-FROM preds WHERE fraud_score IS NOT NULL
+FROM preds WHERE fraud_score IS NOT NULL AND NOT isnan(fraud_score)
 """
 
 
@@ -223,14 +223,14 @@ def q_c7(spark, sf_dir):
 
 # C9
 @register("c9_anomaly_tiers", ctes(preds=ad.RAW_PREDICTIONS_SQL) + """
-SELECT run_id, provider_id, fraud_score, suspicious_flag, risk_rank,
+SELECT model_name, model_version, run_id, provider_id, fraud_score, suspicious_flag, risk_rank,
   CASE WHEN suspicious_flag = 1 THEN 'HIGH' WHEN risk_rank <= 50 THEN 'MEDIUM' ELSE 'LOW' END AS risk_category
-FROM (SELECT run_id, provider_id, fraud_score, CASE WHEN fraud_score >= 0.5 THEN 1 ELSE 0 END AS suspicious_flag,
-        CAST(ROW_NUMBER() OVER (PARTITION BY run_id ORDER BY fraud_score DESC, provider_id) AS BIGINT) AS risk_rank
+FROM (SELECT model_name, model_version, run_id, provider_id, fraud_score, CASE WHEN fraud_score >= 0.5 THEN 1 ELSE 0 END AS suspicious_flag,
+        CAST(ROW_NUMBER() OVER (PARTITION BY model_name, model_version, run_id ORDER BY fraud_score DESC, provider_id) AS BIGINT) AS risk_rank
       FROM preds WHERE model_name = 'isolation_forest')""")
 def q_c9(spark, sf_dir):
     p = ad.raw_predictions(spark, sf_dir).where("model_name = 'isolation_forest'").select(
-        "run_id", "provider_id", "fraud_score",
+        "model_name", "model_version", "run_id", "provider_id", "fraud_score",
         F.when(F.col("fraud_score") >= 0.5, 1).otherwise(0).alias("suspicious_flag"))
     return sc.anomaly_tiers(p, 50)
 
@@ -247,9 +247,9 @@ def q_c10(spark, sf_dir):
 
 
 # C11: parity of the current scored run against its baseline run (M6)
-@register("c11_score_parity", ctes(**{k: pm.RUNS_SQL[k] for k in ("preds", "runs", "cur", "base")}) + """,
-a AS (SELECT p.provider_id, p.fraud_score FROM preds p JOIN cur USING (run_id)),
-b AS (SELECT p.provider_id, p.fraud_score FROM preds p JOIN base USING (run_id)),
+@register("c11_score_parity", pm._chain("preds", "scored", "now", "before").rstrip() + """,
+a AS (SELECT provider_id, fraud_score FROM preds, now WHERE run_id = x.r),
+b AS (SELECT provider_id, fraud_score FROM preds, before WHERE run_id = y.r),
 j AS (SELECT a.fraud_score AS sa, b.fraud_score AS sb FROM a FULL OUTER JOIN b USING (provider_id)),
 g AS (SELECT COUNT(*) FILTER (WHERE sa IS NOT NULL AND sb IS NOT NULL) AS matched_providers,
         COUNT(*) FILTER (WHERE sb IS NULL) AS only_in_a, COUNT(*) FILTER (WHERE sa IS NULL) AS only_in_b,

@@ -112,17 +112,13 @@ def q_s5(spark, sf_dir):
     return round_doubles(out, 6)
 
 
-# Date-partitioned, provider-clustered write; read back one date (partition pruning)
-S6_DATE = dt.date(2001, 8, 31)
-
-
+# Date-partitioned, provider-clustered write; every date is read back
 @register("s6_write_partitioned", ctes(**pf.hist_ctes(pf.BACKFILL_DATES)) + "SELECT "
           + pf.rounded_select(pf.HIST_COLS, 6, pf.HIST_DOUBLES)
-          + f", CAST(feature_timestamp AS DATE) AS feature_date FROM hist WHERE CAST(feature_timestamp AS DATE) = {pf._d(S6_DATE)}")
+          + ", CAST(feature_timestamp AS DATE) AS feature_date FROM hist")
 def q_s6(spark, sf_dir):
     hist = fe.snapshot_backfill(ad.claims(spark, sf_dir), pf.BACKFILL_DATES)
-    tag = sf_dir.rstrip("/").split("/")[-1]
-    path = io.shared_path(spark, f"claimscope/provider_feature_history_{tag}")
+    path = io.shared_path(spark, "claimscope/provider_feature_history")
     io.write_partitioned(hist, path)
-    back = spark.read.parquet(path).where(F.col("feature_date") == F.lit(S6_DATE))
+    back = spark.read.parquet(path)
     return round_doubles(back.select(*pf.HIST_COLS, "feature_date"), 6)

@@ -16,6 +16,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when their frames do
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,12 +39,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only set one when unset (tests, local)."""
+    """The folder named by ``spark.checkpoint.dir``, which all executors must share.
+
+    Only a local master, whose one process needs nothing shared, may go without: it gets
+    a folder below the system's temporary one.  A cluster without the setting is an error.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
+    if not current:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
+        current = os.path.join(tempfile.gettempdir(), f"claimscope-{spark.sparkContext.applicationId}")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="claimscope-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    return current

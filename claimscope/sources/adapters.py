@@ -34,7 +34,7 @@ FEEDBACK_MODEL = "xgboost"
 RUN_EPOCH = "2024-01-01 00:00:00"
 RUN_DAYS = 10
 CONFIRM_ABOVE = 100
-INVESTIGATED_MIN_EVENTS = 5  # a (provider, run) is investigated when it has >= 5 error events
+COMPLETED_MIN_EVENTS = 5  # a case is completed at >= 5 error events, and pending before that
 FIXTURE_DATA_MONTH = dt.date(2001, 9, 1)
 FIXTURE_TRAIN_MONTHS = 6
 FIXTURE_TEST_MONTHS = 3
@@ -135,22 +135,26 @@ def raw_classes(spark: SparkSession, sf_dir: str, model_name: str = "isolation_f
 
 
 def feedback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Investigator outcomes per (provider, run) attached to the xgboost model."""
+    """One case per (provider, run) with an error event, attached to the xgboost model.
+
+    Every case is a row; those with too few events are ``PENDING`` and have no outcome yet.
+    """
     ev = read(spark, sf_dir, "events").where(F.col("event_type") == FEEDBACK_EVENT)
     g = (ev.select(F.col("user_id"), _run_no(F.col("ts")).alias("run_no"), F.col("value"),
                    F.col("value").cast("decimal(18,2)").alias("v"), F.col("ts"))
            .groupBy("user_id", "run_no")
            .agg(F.max("value").alias("mx"), F.sum("v").alias("s"), F.max("ts").alias("last_ts"),
-                F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") >= INVESTIGATED_MIN_EVENTS))
-    confirmed = F.col("mx") > CONFIRM_ABOVE
+                F.count(F.lit(1)).alias("n")))
+    done = F.col("n") >= COMPLETED_MIN_EVENTS
+    confirmed = F.when(done, F.col("mx") > CONFIRM_ABOVE)
     return g.select(
         F.concat_ws("-", F.lit("INV"), F.col("user_id").cast("string"), F.col("run_no").cast("string")).alias("investigation_id"),
         F.col("user_id").cast("string").alias("provider_id"),
         F.lit(f"{FEEDBACK_MODEL}:1").alias("model_version"),
-        F.when(confirmed, F.lit("CONFIRMED_FRAUD")).otherwise(F.lit("CONFIRMED_NORMAL")).alias("investigation_result"),
+        F.when(~done, F.lit("PENDING")).when(confirmed, F.lit("CONFIRMED_FRAUD"))
+         .otherwise(F.lit("CONFIRMED_NORMAL")).alias("investigation_result"),
         confirmed.alias("confirmed_fraud"),
-        F.when(confirmed, F.col("s")).otherwise(F.lit(0)).cast("decimal(18,2)").alias("fraud_amount"),
+        F.when(done, F.when(confirmed, F.col("s")).otherwise(F.lit(0))).cast("decimal(18,2)").alias("fraud_amount"),
         F.col("last_ts").cast("date").alias("investigation_date"),
         F.lit("synthetic_team").alias("investigator"),
         F.col("last_ts").cast("timestamp").alias("created_at"),
@@ -253,9 +257,9 @@ SELECT
   'INV-' || CAST(user_id AS VARCHAR) || '-' || CAST(run_no AS VARCHAR) AS investigation_id,
   CAST(user_id AS VARCHAR) AS provider_id,
   'xgboost:1' AS model_version,
-  CASE WHEN mx > 100 THEN 'CONFIRMED_FRAUD' ELSE 'CONFIRMED_NORMAL' END AS investigation_result,
-  mx > 100 AS confirmed_fraud,
-  CAST(CASE WHEN mx > 100 THEN s ELSE 0 END AS DECIMAL(18,2)) AS fraud_amount,
+  CASE WHEN n < 5 THEN 'PENDING' WHEN mx > 100 THEN 'CONFIRMED_FRAUD' ELSE 'CONFIRMED_NORMAL' END AS investigation_result,
+  CASE WHEN n >= 5 THEN mx > 100 END AS confirmed_fraud,
+  CAST(CASE WHEN n < 5 THEN NULL WHEN mx > 100 THEN s ELSE 0 END AS DECIMAL(18,2)) AS fraud_amount,
   CAST(last_ts AS DATE) AS investigation_date,
   'synthetic_team' AS investigator,
   CAST(last_ts AS TIMESTAMP) AS created_at,
@@ -263,9 +267,9 @@ SELECT
   'xgboost' AS model_name
 FROM (
   SELECT user_id, {_RUN_NO} AS run_no, MAX(value) AS mx,
-         SUM(CAST(value AS DECIMAL(18,2))) AS s, MAX(ts) AS last_ts
+         SUM(CAST(value AS DECIMAL(18,2))) AS s, MAX(ts) AS last_ts, COUNT(*) AS n
   FROM events WHERE event_type = 'error'
-  GROUP BY 1, 2 HAVING COUNT(*) >= 5
+  GROUP BY 1, 2
 ) g
 """
 
@@ -304,7 +308,7 @@ def claims_window_sql(start: dt.date | None = None, end: dt.date | None = None)
 # ---------------------------------------------------------------------------
 # Governance and experiment-tracking tables derived from the run table.
 # ---------------------------------------------------------------------------
-RESOURCE_PREFIX = "projects/demo/locations/us-central1/models/"
+RESOURCE_PREFIX = "registry/models/"
 STATE_KEY_PREFIX = "provider_fraud_"
 
 

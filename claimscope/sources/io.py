@@ -9,6 +9,7 @@ the cluster names -- never a machine-local temporary folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,12 +47,16 @@ def replace_slice(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str]) -> DataFrame:
     """S5 (MERGE): matched keys -> only ``update_cols`` take the source value;
     unmatched source rows are inserted (all target columns, missing ones NULL);
-    unmatched target rows are kept.  One full outer join on the keys.
+    unmatched target rows are kept.  One full outer join on the keys.  As in a MERGE, a
+    key that the source holds twice is an error.
     """
     keys, update_cols = list(keys), list(update_cols)
     bad = [c for c in update_cols if c in keys]
     if bad:
         raise ValueError(f"cannot update key columns {bad}")
+    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(*keys).head(1)
+    if twice:
+        raise ValueError(f"the source holds a key more than once: {twice[0].asDict()}")
     t = target.select(*keys, *[F.col(c).alias(f"__t_{c}") for c in target.columns if c not in keys],
                       F.lit(True).alias("__t"))
     src_cols = [c for c in source.columns if c not in keys]
@@ -75,27 +80,29 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
 
 
 # S6 -----------------------------------------------------------------------------
-def partition_layout(df: DataFrame, ts_col: str, cluster_col: str, date_col: str = "feature_date") -> DataFrame:
+def partition_layout(df: DataFrame, ts_col: str, cluster_col: str, date_col: str = "feature_date",
+                     files_per_date: int = 4) -> DataFrame:
     """S6 layout: a physical date partition column and rows clustered by entity
     inside each file (``sortWithinPartitions``), so readers prune by date and
-    skip row groups by entity."""
+    skip row groups by entity.  A date's rows go to ``files_per_date`` tasks by a hash of the
+    entity, so one daily snapshot is not written by a single task."""
+    if files_per_date < 1:
+        raise ValueError("files_per_date must be >= 1")
     d = df.withColumn(date_col, F.to_date(F.col(ts_col)))
-    return d.repartition(date_col).sortWithinPartitions(date_col, cluster_col)
+    part = F.pmod(F.xxhash64(cluster_col), F.lit(files_per_date))
+    n = max(files_per_date, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return d.repartition(n, F.col(date_col), part).sortWithinPartitions(date_col, cluster_col)
 
 
 def write_partitioned(df: DataFrame, path: str, ts_col: str = "feature_timestamp", cluster_col: str = "provider_id",
-                      date_col: str = "feature_date") -> None:
+                      date_col: str = "feature_date", files_per_date: int = 4) -> None:
     """Write by date partition; only the dates present in ``df`` are replaced
     (dynamic partition overwrite), like ``CREATE OR REPLACE`` of one snapshot."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    partition_layout(df, ts_col, cluster_col, date_col).write.mode("overwrite").partitionBy(date_col).parquet(path)
+    (partition_layout(df, ts_col, cluster_col, date_col, files_per_date).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's ``spark.checkpoint.dir`` (shared storage)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        from ..session import ensure_checkpoint_dir
-        base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}"
+    """A new folder under the cluster's ``spark.checkpoint.dir`` (shared storage)."""
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
