@@ -147,7 +147,10 @@ def _joined(spans: Column) -> Column:
 def secrets_report(docs: DataFrame, words: Sequence[str]) -> DataFrame:
     """One row per document with the digest columns of the contract."""
     got = scan_secrets(docs.select("doc_id", "text"), words, drop_text=True)
-    n = {k: F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS}
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    n = {kind: count(kind) for kind in KINDS}
     base = F.filter("secrets", lambda s: s["kind"] != "guess")
     return got.select("doc_id", n["assign"], n["access"], n["hex"], sha256_hex(_joined(base)).alias("base_sha256"),
                       _joined(F.col("secrets")).alias("spans"), n["guess"])
