@@ -46,6 +46,7 @@ _NEXT = {(a, b) for row in _ROWS for a, b in zip(row, row[1:])}
 _LEET = str.maketrans("013457@$!", "oleastasi")
 _DATE = re.compile(r"(?:19|20)\d\d[-/.]?[01]\d[-/.]?[0-3]\d|[0-3]?\d[-/.][01]?\d[-/.](?:(?:19|20)\d\d|\d\d)|[0-3]\d[01]\d(?:19|20)\d\d|(?:19|20)\d\d")
 _LONGEST_WORD = 24
+_LONGEST_PERIOD = 16
 
 
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
@@ -62,6 +63,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
         pair = (low[i - 1], low[i])
         if pair in _NEXT or pair[::-1] in _NEXT:
             walk[i] = walk[i - 1] + 1
+    times = [[0] * (n + 1) for _ in range(_LONGEST_PERIOD + 1)]  # repeats of a period that end here
     best = [0.0] + [math.inf] * n
     for end in range(1, n + 1):
         cost = best[end - 1] + 1.0  # brute force: ten guesses a character
@@ -82,9 +84,10 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
         if walk[end - 1] >= 2:
             for k in range(2, walk[end - 1] + 1):
                 cost = min(cost, best[end - 1 - k] + 1.7 + math.log10(k + 1) + 0.3)
-        for period in range(1, min(16, end // 2) + 1):  # the part before, once more
+        for period in range(1, min(_LONGEST_PERIOD, end // 2) + 1):  # the part before, once or more
             if value[end - period:end] == value[end - 2 * period:end - period]:
-                cost = min(cost, best[end - period] + 0.3)
+                times[period][end] = k = times[period][end - period] + 1
+                cost = min(cost, best[end - k * period] + math.log10(k + 1) + 0.3)
         best[end] = cost
     return best[n]
 

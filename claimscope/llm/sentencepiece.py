@@ -13,8 +13,8 @@ Encoding, for the distinct words of blocks of documents:
    the longer piece stays.  Unknown characters become byte pieces (or the unknown id).
 6. The words' ids return to their blocks, which put their documents together.
 
-A word is encoded once per zone (``ZONE`` blocks), and a zone bounds the places collected for it,
-so a word that stands in every document is no unbounded group.
+A word is encoded once per zone (the blocks of ``ZONE`` tasks), and a zone bounds the places
+collected for it, so a word that stands in every document is no unbounded group.
 
 The result is the library's for a unigram model.  The scores of a BPE model (the public
 32k model is one) are used in the same way: the segmentation has the best total score, which
@@ -41,11 +41,17 @@ from .words import parts, texts_of
 
 #: Text of a block, in bytes.
 BLOCK_BYTES = 16 << 20
-#: Blocks of a zone.
+#: Tasks whose blocks are a zone.
 ZONE = 4096
+#: A place is task << 36 | block of the task << 24 | word of the block.
+_WORD_BITS, _TASK_SHIFT = 24, 36
+#: Lattice partitions per shuffle partition: the edges of a partition's words are sorted in memory.
+SPREAD = 4
 #: Pieces of a vocabulary at most: what is broadcast.
 MOST_PIECES = 1 << 20
 _MARK = "▁"
+#: Bytes of an id on its way back to its block.
+_ID_BYTES = 3
 #: What an unknown character costs beside the smallest score, fixed in the library.
 _UNKNOWN_PENALTY = 10.0
 
@@ -114,7 +120,9 @@ def _blocks(batches, block_bytes: int):
     for whole in _gathered(batches, block_bytes):
         words, n = _units(whole.column(2))
         coded = words.dictionary_encode()
-        yield (task << 24) | number, whole, n, coded
+        if number >> (_TASK_SHIFT - _WORD_BITS) or len(coded.dictionary) >> _WORD_BITS:
+            raise ValueError("too many blocks in a task, or words in a block")
+        yield task << _TASK_SHIFT | number << _WORD_BITS, whole, n, coded
         number += 1
 
 
@@ -136,20 +144,35 @@ def _emit_words(batches, block_bytes: int):
         words = coded.dictionary
         for at in range(0, len(words), 50_000):
             some = words.slice(at, 50_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(some), block)), pa.array(np.arange(at, at + len(some)), pa.int32()), some.cast(pa.large_string()).cast(pa.string())],
-                names=["block", "w", "word"])
+            yield pa.RecordBatch.from_arrays([pa.array(block + np.arange(at, at + len(some))), some.cast(pa.large_string()).cast(pa.string())],
+                                             names=["place", "word"])
+
+
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes as four planes of bytes, compressed."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return pa.Codec("zstd", 6).compress(planes, asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=4 * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, n).T).reshape(-1).view("<u4").astype(np.int64)
 
 
 def _emit_blocks(batches, block_bytes: int):
     for block, whole, n, coded in _blocks(batches, block_bytes):
-        codes = pa.compress(np.asarray(coded.indices, dtype=np.uint32).tobytes(), codec="zstd", asbytes=True)
+        # frequent words get small numbers, which compress; `number` gives a word's place back
+        codes = np.asarray(coded.indices, dtype=np.int64)
+        order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
+        number = np.empty_like(order)
+        number[order] = np.arange(len(order))
+        codes, names = _packed(number[codes]), _packed(order)
         one = lambda x: pa.array([x])
         yield pa.RecordBatch.from_arrays(
             [one(block), one(whole.column(0).to_pylist()).cast(pa.list_(pa.int64())), one(whole.column(1).to_pylist()).cast(pa.list_(pa.int64())),
-             pa.array([n.tolist()], pa.list_(pa.int32())), pa.array([codes], pa.binary()), pa.array([len(coded)], pa.int64()),
-             pa.array([len(coded.dictionary)], pa.int64())],
-            names=["block", "ids", "h", "n", "codes", "n_codes", "n_words"])
+             pa.array([n.tolist()], pa.list_(pa.int32())), pa.array([codes], pa.binary()), pa.array([names], pa.binary()),
+             pa.array([len(coded)], pa.int64()), pa.array([len(coded.dictionary)], pa.int64())],
+            names=["block", "ids", "h", "n", "codes", "names", "n_codes", "n_words"])
 
 
 def lattice(words: DataFrame, pieces: Pieces, keys: list[str], carried: str) -> DataFrame:
@@ -211,15 +234,17 @@ def _assemble(key, words: pa.Table, blocks: pa.Table) -> pa.Table:
     block = blocks.to_pylist()[0] if blocks.num_rows else None
     if block is None or words.num_rows != block["n_words"] or blocks.num_rows != 1:
         raise RuntimeError("a block's words and documents differ: the input is not the same when read again")
-    codes = np.frombuffer(pa.decompress(block["codes"], decompressed_size=4 * block["n_codes"], codec="zstd", asbytes=True), np.uint32).astype(np.int64)
-    ids = words.column("ids").combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    size = np.zeros(words.num_rows, np.int64)
-    first = np.zeros(words.num_rows, np.int64)
-    w = words.column("w").to_numpy()
-    off = np.asarray(ids.offsets, dtype=np.int64)
+    codes = _unpacked(block["names"], block["n_words"])[_unpacked(block["codes"], block["n_codes"])]
+    column = words.column("ids").combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.large_binary())
+    off = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] // _ID_BYTES if len(column) else np.zeros(1, np.int64)
+    raw = np.frombuffer(column.buffers()[2], np.uint8) if len(column) else np.zeros(0, np.uint8)
+    raw = raw[:int(off[-1]) * _ID_BYTES].reshape(-1, _ID_BYTES).astype(np.int64)
+    flat = (raw << np.arange(8 * (_ID_BYTES - 1), -1, -8)).sum(axis=1)
+    size, first = np.zeros(words.num_rows, np.int64), np.zeros(words.num_rows, np.int64)
+    w = words.column("place").to_numpy() & ((1 << _WORD_BITS) - 1)
     size[w], first[w] = np.diff(off), off[:-1]
-    flat = ids.values.to_numpy(zero_copy_only=False)
     n = size[codes]
     total = np.concatenate([[0], np.cumsum(n)])
     text_end = total[np.cumsum(np.array(block["n"], np.int64))] if block["n"] else np.zeros(0, np.int64)
@@ -239,15 +264,17 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = rows.mapInArrow(lambda b: _emit_words(b, block_bytes), "block long, w int, word string")
-    blocks = rows.mapInArrow(lambda b: _emit_blocks(b, block_bytes),
-                             "block long, ids array<long>, h array<long>, n array<int>, codes binary, n_codes long, n_words long")
+    words = rows.mapInArrow(lambda b: _emit_words(b, block_bytes), "place long, word string")
+    blocks = rows.mapInArrow(lambda b: _emit_blocks(b, block_bytes), "block long, ids array<long>, h array<long>, n array<int>, "
+                             "codes binary, names binary, n_codes long, n_words long")
     keys = ["word", "zone"]
-    # a block's number is its task and its place there: the zone is the task's, ZONE tasks together
-    placed = (words.withColumn("zone", F.expr(f"cast(shiftright(block, 24) div {ZONE} as int)"))
-                   .groupBy(*keys).agg(F.collect_list(F.struct("block", "w")).alias("places")))
+    placed = (words.withColumn("zone", F.expr(f"cast(shiftright(place, {_TASK_SHIFT}) div {ZONE} as int)"))
+                   .repartition(SPREAD * n, *keys).groupBy(*keys).agg(F.collect_list("place").alias("places")))
     coded = encode_words(placed, pieces, keys, "places")
-    back = coded.select(F.explode("places").alias("p"), "ids").select("p.block", "p.w", "ids")
+    # MOST_PIECES ids fit into _ID_BYTES bytes
+    packed = F.unhex(F.array_join(F.transform("ids", lambda i: F.lpad(F.hex(i), 2 * _ID_BYTES, "0")), ""))
+    back = coded.select("places", packed.alias("ids")).select(F.explode("places").alias("place"), "ids").withColumn(
+        "block", F.expr(f"shiftleft(shiftright(place, {_WORD_BITS}), {_WORD_BITS})"))
     return (back.repartition(n, "block").groupBy("block").cogroup(blocks.repartition(n, "block").groupBy("block"))
                 .applyInArrow(_assemble, "id long, h long, n_tokens long, ids array<int>")
                 .withColumnRenamed("id", id_col))
