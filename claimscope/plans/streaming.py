@@ -11,15 +11,14 @@ from ..streaming import short_term as st
 from .catalog import ctes, register
 
 WATERMARK_DAYS = 2
-STREAM_SQL = ctes(claims=ad.CLAIMS_SQL) + f""",
+STREAM_SQL = ctes(claims=ad.CLAIMS_SQL) + """,
 x AS (SELECT CAST(c.service_date + INTERVAL (k.k) DAY AS DATE) AS snapshot_date, c.*
       FROM claims c CROSS JOIN range(0, 7) k(k)),
 s AS (SELECT snapshot_date, provider_id, COUNT(*) AS claim_count_7d,
         SUM(is_high_acuity_em) / COUNT(*) AS high_acuity_pct_7d, SUM(is_referral) / COUNT(*) AS referral_rate_7d,
         CAST(SUM(total_paid_amount) AS DOUBLE) / COUNT(total_paid_amount) AS avg_paid_per_claim_7d,
         SUM(member_provider_distance) / COUNT(member_provider_distance) AS avg_member_provider_distance_7d
-      FROM x WHERE snapshot_date <= (SELECT MAX(service_date) FROM claims) - INTERVAL {WATERMARK_DAYS + 1} DAY
-      GROUP BY 1, 2),
+      FROM x GROUP BY 1, 2),
 b AS (SELECT snapshot_date, AVG(high_acuity_pct_7d) AS e7 FROM s GROUP BY 1)
 SELECT s.snapshot_date, provider_id, claim_count_7d, ROUND(high_acuity_pct_7d, 6) AS high_acuity_pct_7d,
   ROUND(referral_rate_7d, 6) AS referral_rate_7d, ROUND(avg_paid_per_claim_7d, 6) AS avg_paid_per_claim_7d,
@@ -31,8 +30,8 @@ FROM s JOIN b USING (snapshot_date)
 
 @register("f7_short_term_stream", STREAM_SQL)
 def q_stream(spark, sf_dir):
-    """Claims are landed as files, consumed by the stream (availableNow), and the
-    finalised daily snapshots are read back from the sink."""
+    """Claims are landed as files and consumed by the stream (availableNow); the finished daily
+    snapshots are read back from the sink, and open dates are completed from the claims."""
     base = io.shared_path(spark, f"claimscope/short-term-stream-{uuid.uuid4().hex[:12]}")
     claims = ad.claims(spark, sf_dir)
     claims.write.mode("overwrite").parquet(f"{base}/claims")
@@ -40,4 +39,4 @@ def q_stream(spark, sf_dir):
                                  watermark=f"{WATERMARK_DAYS} days")
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/snapshots").select("snapshot_date", "provider_id", *st.MEASURES)
-    return round_doubles(out, 6)
+    return round_doubles(st.complete(spark.read.parquet(f"{base}/claims"), out), 6)

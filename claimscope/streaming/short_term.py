@@ -17,11 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
+from ..functions.ranking import materialize
 
 MEASURES = ["claim_count_7d", "high_acuity_pct_7d", "referral_rate_7d", "avg_paid_per_claim_7d",
             "avg_member_provider_distance_7d", "high_acuity_oe_ratio_7d"]
 
 
+def _sums() -> list:
+    return [F.count(F.lit(1)).alias("claim_count_7d"),
+            F.sum("is_high_acuity_em").cast("long").alias("__ha"),
+            F.sum("is_referral").cast("long").alias("__ref"),
+            F.sum("total_paid_amount").alias("__paid"), F.count("total_paid_amount").alias("__npaid"),
+            F.sum("member_provider_distance").alias("__dist"),
+            F.count("member_provider_distance").alias("__ndist")]
+
+
 def window_sums(claims: DataFrame, days: int = 7, watermark: str = "2 days") -> DataFrame:
     """Per (snapshot_date, provider) sums over the trailing ``days`` (streaming-safe:
     only stateful aggregation, finalised by the watermark)."""
@@ -32,13 +42,7 @@ def window_sums(claims: DataFrame, days: int = 7, watermark: str = "2 days") ->
     g = (claims.select("provider_id", ts.alias("service_ts"), "is_high_acuity_em", "is_referral",
                        "total_paid_amount", "member_provider_distance")
                .withWatermark("service_ts", watermark)
-               .groupBy(w.alias("w"), "provider_id")
-               .agg(F.count(F.lit(1)).alias("claim_count_7d"),
-                    F.sum("is_high_acuity_em").cast("long").alias("__ha"),
-                    F.sum("is_referral").cast("long").alias("__ref"),
-                    F.sum("total_paid_amount").alias("__paid"), F.count("total_paid_amount").alias("__npaid"),
-                    F.sum("member_provider_distance").alias("__dist"),
-                    F.count("member_provider_distance").alias("__ndist")))
+               .groupBy(w.alias("w"), "provider_id").agg(*_sums()))
     return g.select(F.date_sub(F.to_date(F.col("w.end")), 1).alias("snapshot_date"), "provider_id", "claim_count_7d",
                     "__ha", "__ref", "__paid", "__npaid", "__dist", "__ndist")
 
@@ -58,6 +62,25 @@ def finalize_measures(sums: DataFrame) -> DataFrame:
         safe_div("high_acuity_pct_7d", "__e7").alias("high_acuity_oe_ratio_7d"))
 
 
+def complete(claims: DataFrame, snapshots: DataFrame, days: int = 7) -> DataFrame:
+    """Every daily snapshot: those the stream finished, and all others from the claims.
+
+    A date is made anew when the stream has not finished it (the watermark never passes
+    the last days) or when the claims of its window are more than the stream counted (claims
+    that came after the watermark).  So the result does not depend on the order of the files.
+    """
+    later = F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("__k")
+    per_day = claims.groupBy("service_date").agg(F.count(F.lit(1)).alias("__n"))
+    due = (per_day.select("service_date", "__n", later).select(F.date_add("service_date", F.col("__k")).alias("snapshot_date"), "__n")
+                  .groupBy("snapshot_date").agg(F.sum("__n").alias("__due")))
+    seen = snapshots.groupBy("snapshot_date").agg(F.sum("claim_count_7d").alias("__seen"))
+    redo = materialize(due.join(seen, "snapshot_date", "left").where(F.coalesce("__seen", F.lit(0)) != F.col("__due"))
+                          .select("snapshot_date"))
+    sums = (claims.select("*", later).withColumn("snapshot_date", F.date_add("service_date", F.col("__k")))
+                  .join(redo, "snapshot_date", "left_semi").groupBy("snapshot_date", "provider_id").agg(*_sums()))
+    return snapshots.join(redo, "snapshot_date", "left_anti").unionByName(finalize_measures(sums).select(*snapshots.columns))
+
+
 def run_short_term_stream(spark: SparkSession, source_path: str, schema, sink_path: str, checkpoint_path: str,
                           days: int = 7, watermark: str = "2 days", available_now: bool = True):
     """Start the stream: parquet claims folder -> finalised daily 7-day snapshots

@@ -47,3 +47,13 @@ def test_stream_restart_is_incremental_and_duplicate_free(spark):
     assert got.join(exp, ["snapshot_date", "provider_id"], "left_anti").count() == 0
     assert got.join(exp.where(d <= F.lit(dt.date(2024, 1, 27))), ["snapshot_date", "provider_id", "claim_count_7d"],
                     "inner").count() == got.count()
+    # completion: open dates come from the claims, and so do dates with claims that came too late
+    late = _claims(spark, dt.date(2024, 1, 3), 1, ("p9",))
+    late.write.mode("append").parquet(src)
+    st.run_short_term_stream(spark, src, first.schema, sink, ckpt).awaitTermination()
+    every = allc.unionByName(late)
+    done = st.complete(every, spark.read.parquet(sink).select("snapshot_date", "provider_id", *st.MEASURES))
+    want = (every.crossJoin(spark.range(7).withColumnRenamed("id", "k"))
+                 .withColumn("snapshot_date", F.date_add("service_date", F.col("k").cast("int")))
+                 .groupBy("snapshot_date", "provider_id").agg(F.count(F.lit(1)).alias("claim_count_7d")))
+    assert sorted(done.select("snapshot_date", "provider_id", "claim_count_7d").collect()) == sorted(want.collect())
