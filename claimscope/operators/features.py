@@ -202,6 +202,11 @@ def long_term_snapshot(claims: DataFrame, snapshot_date: dt.date, months: int =
     return snapshot_backfill(claims, [snapshot_date], months, days)
 
 
+def month_ends(claims: DataFrame) -> DataFrame:
+    """The ``snapshot_date`` frame of a full backfill: the end of every month with a claim."""
+    return claims.select(F.last_day("service_date").alias("snapshot_date")).distinct()
+
+
 def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, months: int = 6,
                       days: int = 7) -> DataFrame:
     """many long-term snapshots at once.
@@ -225,13 +230,13 @@ def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, m
     d = F.col("snapshot_date")
     start = _long_term_start(d, months)
     # Binned range join: each date is exploded into the month buckets its window
-    # touches (months + 1 rows per date, bounded by the date list -> broadcast);
+    # touches (months + 1 rows per date; Spark broadcasts them when they are few);
     # claims join on their own month bucket with a hash join, then the exact range
     # is applied.  Cost is O(claims x matching dates), not O(claims x all dates).
     month_idx = lambda c: F.year(c) * 12 + F.month(c)
     bins = dates.select("snapshot_date", F.explode(F.sequence(month_idx(start), month_idx(d))).alias("__bucket"))
     j = (claims.withColumn("__bucket", month_idx(F.col("service_date")))
-               .join(F.broadcast(bins), "__bucket", "inner")
+               .join(bins, "__bucket", "inner")
                .where(F.col("service_date").between(start, d)).drop("__bucket"))
     recent = F.col("service_date").between(F.date_sub(d, days - 1), d)
     prov = j.groupBy("snapshot_date", "provider_id").agg(
@@ -250,11 +255,11 @@ def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, m
         F.avg(F.when(recent, F.col("member_provider_distance"))).alias("avg_member_provider_distance_7d"),
     )
     prov = materialize(prov)
-    # one baseline row per snapshot date: bounded by the date list, broadcast
+    # one baseline row per snapshot date
     base = prov.groupBy("snapshot_date").agg(
         F.avg("high_acuity_pct").alias("expected_high_acuity_pct"),
         F.avg("high_acuity_pct_7d").alias("expected_high_acuity_pct_7d"))
-    out = prov.join(F.broadcast(base), "snapshot_date", "inner")
+    out = prov.join(base, "snapshot_date", "inner")
     return out.select(
         F.col("provider_id").alias("entity_id"), "provider_id",
         _snapshot_ts(F.col("snapshot_date")).alias("feature_timestamp"),
@@ -275,7 +280,8 @@ def latest_as_of(history: DataFrame, as_of: dt.date, key: str = "entity_id", ts:
     """
     from ..functions.ranking import latest_per
     h = history.where((F.to_date(F.col(ts)) <= F.lit(as_of)) & F.col(not_null_col).isNotNull())
-    return latest_per(h, [key], [ts])
+    # rows of one time: the last in column order, so that the choice is always the same
+    return latest_per(h, [key], [ts, *[c for c in history.columns if c not in (key, ts)]])
 
 
 # --------------------------------------------------------------------------- F7

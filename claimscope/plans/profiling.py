@@ -28,12 +28,12 @@ def q_v1(spark, sf_dir):
     return pr.load_counts(ad.claims(spark, sf_dir))
 
 
-@register("v2_split_summary", ctes(claims=pf.CLAIMS_W, split=pf.SPLIT_SQL) + """
+@register("v2_split_summary", ctes(claims=ad.CLAIMS_SQL, split=pf.FULL_SPLIT_SQL) + """
 SELECT dataset_split, MIN(service_date) AS min_service_date, MAX(service_date) AS max_service_date,
   COUNT(*) AS claim_count, COUNT(DISTINCT provider_id) AS provider_count, COUNT(DISTINCT member_id) AS member_count
 FROM split GROUP BY dataset_split""")
 def q_v2(spark, sf_dir):
-    return pr.split_summary(fe.assign_split(pf.window_claims(spark, sf_dir), pf.B))
+    return pr.split_summary(pf.full_split(ad.claims(spark, sf_dir)))
 
 
 @register("v3_cohort_rate", CL + f"""
@@ -162,12 +162,11 @@ def q_v12s(spark, sf_dir):
     return round_doubles(out, 6)
 
 
-@register("v13_snapshot_uniqueness", pf.F5_SQL.replace("SELECT p.provider_id AS entity_id", ", f AS (SELECT p.provider_id AS entity_id", 1)
+@register("v13_snapshot_uniqueness", pf.F5_SQL.replace("SELECT provider_id AS entity_id", ", f AS (SELECT provider_id AS entity_id", 1)
           .rstrip() + ")\nSELECT dataset_split, COUNT(*) AS provider_rows, COUNT(DISTINCT provider_id) AS providers, "
           "MIN(feature_timestamp) AS feature_timestamp FROM f GROUP BY dataset_split")
 def q_v13(spark, sf_dir):
-    df = fe.provider_features_median(fe.assign_split(pf.window_claims(spark, sf_dir), pf.B))
-    return pr.snapshot_uniqueness(df)
+    return pr.snapshot_uniqueness(fe.provider_features_median(pf.full_split(ad.claims(spark, sf_dir))))
 
 
 @register("v14_cohort_assertions", CL + " UNION ALL ".join(
