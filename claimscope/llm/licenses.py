@@ -1,17 +1,19 @@
 """License scans by Dice coefficient over word bigrams, with DataFrame functions only.
 
-A text is cut into units: its lines, the sentences of its lines, and its paragraphs (parts
-between blank lines).  A unit's normal form has A-Z in lower case and every run of other ASCII
-characters than letters and digits as one space.  Unit and template are sets of word bigrams;
-2 |U and T| / (|U| + |T|) of ``SIMILAR`` or more is a match.
+The normal form has A-Z in lower case and every run of other ASCII characters than letters
+and digits as one space; line ends stay, and sentence ends (``.``, ``!`` or ``?`` before a space or tab)
+are marked.  A text's units are its lines, the sentences of its lines, and its paragraphs (parts
+between lines without words).  A template is the set of its word bigrams; a unit's bigrams count
+with repeats.  2 |U and T| / (|U| + |T|) of ``SIMILAR`` or more is a match.
 
-A match needs |U| between |T| s / (2 - s) and |T| (2 - s) / s, where s is ``SIMILAR``: only templates
-within these bounds are compared, and units with fewer or more words than any
-template allows get no bigrams.  A row is worked on where it is read: nothing is shuffled, and
-the templates are a constant of the plan.
+A match needs |U| between |T| s / (2 - s) and |T| (2 - s) / s, where s is ``SIMILAR``, and |U| is one
+less than the unit's words: units too short or too long for every template are dropped before
+bigrams are made, and a unit is compared with templates within these bounds only.  A row is
+worked on where it is read: nothing is shuffled, and the templates are a constant of the plan.
 
 Edge cases: a null or empty text has no units.  Equal units of a text count once.  Repeated rows
-are judged one by one.  A unit of one word has no bigram and matches nothing.
+are judged one by one.  A unit of one word has no bigram and matches nothing.  U+0001 in a text ends
+a sentence.
 """
 
 from __future__ import annotations
@@ -49,8 +51,10 @@ TEMPLATES = (
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_SENTENCE = r"[.!?]+[\x20\t]+"
-_PARAGRAPH = r"\n[\x20\t]*\n"
+# as above, but for the line feed and the sentence mark
+_WITHIN = r"[\x00\x02-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
+_SENTENCE = r"[.!?]+[\x20\x09]+"
+_MARK = "\x01"
 
 
 def _bigrams(text: str) -> list[str]:
@@ -71,22 +75,20 @@ def license_matches(text: Column, similar: float = SIMILAR, templates: Sequence[
     """Array of (license, dice), one for every matching pair of unit and template."""
     sized = _sizes(similar, templates)
     least, most = min(t[2] for t in sized), max(t[3] for t in sized)
-    # a word has 1 character at least; a unit may repeat bigrams, so its words are not bounded by `most`
     low = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    lines = F.split(low, "\n")
-    sentences = F.flatten(F.transform(lines, lambda x: F.split(x, _SENTENCE)))
-    units = F.array_distinct(F.transform(F.concat(lines, sentences, F.split(low, _PARAGRAPH)),
-                                         lambda u: F.trim(F.regexp_replace(u, _OTHER, " "))))
-    words = F.filter(F.transform(units, lambda u: F.split(u, " ")), lambda w: F.size(w) > least)
-    grams = F.transform(words, lambda w: F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.concat_ws(" ", F.get(w, i - 1), F.get(w, i)))))
+    form = F.regexp_replace(F.regexp_replace(low, _SENTENCE, _MARK), _WITHIN, " ")
+    lines = F.split(form, "\n")
+    sentences = F.split(form, f"[\n{_MARK}]")
+    paragraphs = F.split(form, f"\n[{_MARK} ]*\n")
+    words = F.transform(F.concat(lines, sentences, paragraphs), lambda u: F.filter(F.split(u, f"[{_MARK} \n]+"), lambda w: w != ""))
+    near = F.array_distinct(F.filter(words, lambda w: F.size(w).between(least + 1, most + 1)))
+    grams = F.transform(near, lambda w: F.transform(F.slice(w, 2, F.size(w) - 1), lambda x, i: F.concat(F.get(w, i), F.lit(" "), x)))
     known = F.array(*[F.struct(F.lit(name).alias("license"), F.array(*map(F.lit, g)).alias("grams"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
                       for name, g, lo, hi in sized])
-    near = F.filter(grams, lambda g: (F.size(g) >= least) & (F.size(g) <= most))
-    pairs = F.flatten(F.transform(near, lambda g: F.transform(
+    pairs = F.flatten(F.transform(grams, lambda g: F.transform(
         F.filter(known, lambda t: F.size(g).between(t["lo"], t["hi"])),
         lambda t: F.struct(t["license"].alias("license"),
-                           (F.size(F.array_intersect(g, t["grams"])) * 2.0 / (F.size(g) + F.size(t["grams"]))).alias("dice")))))
+                           (F.size(F.array_intersect(t["grams"], g)) * 2.0 / (F.size(g) + F.size(t["grams"]))).alias("dice")))))
     return F.filter(pairs, lambda p: p["dice"] >= similar)
 
 
@@ -114,14 +116,15 @@ WITH template(license, t) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})"
 tw AS (SELECT row_number() OVER () AS k, license, string_split(trim(regexp_replace(lower(t), '{_OTHER}', ' ', 'g')), ' ') AS w FROM template),
 tg AS (SELECT DISTINCT k, license, w[i] || ' ' || w[i + 1] AS g FROM (SELECT k, license, w, unnest(range(1, len(w))) AS i FROM tw)),
 tn AS (SELECT k, license, count(*) AS n FROM tg GROUP BY ALL),
-d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS low FROM documents),
-line AS (SELECT r, unnest(string_split(low, chr(10))) AS u FROM d),
-unit AS (SELECT r, u FROM line UNION ALL SELECT r, unnest(regexp_split_to_array(u, '{_SENTENCE}')) FROM line
-         UNION ALL SELECT r, unnest(regexp_split_to_array(low, '{_PARAGRAPH}')) FROM d),
-form AS (SELECT DISTINCT r, trim(regexp_replace(u, '{_OTHER}', ' ', 'g')) AS u FROM unit),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_replace(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '{_SENTENCE}', chr(1), 'g'), '{_WITHIN}', ' ', 'g') AS form FROM documents),
+unit AS (SELECT r, unnest(string_split(form, chr(10))) AS u FROM d
+         UNION ALL SELECT r, unnest(regexp_split_to_array(form, '[\n\x01]')) FROM d
+         UNION ALL SELECT r, unnest(regexp_split_to_array(form, '\n[\x01 ]*\n')) FROM d),
+form AS (SELECT DISTINCT r, trim(regexp_replace(u, '[\x01 \n]+', ' ', 'g')) AS u FROM unit),
 uw AS (SELECT r, u, string_split(u, ' ') AS w FROM form),
+un AS (SELECT r, u, len(w) - 1 AS n FROM uw),
 ug AS (SELECT DISTINCT r, u, w[i] || ' ' || w[i + 1] AS g FROM (SELECT r, u, w, unnest(range(1, len(w))) AS i FROM uw)),
-un AS (SELECT r, u, count(*) AS n FROM ug GROUP BY ALL),
 pair AS (SELECT r, u, k, count(*) AS c FROM ug JOIN tg USING (g) GROUP BY ALL),
 hit AS (SELECT r, license, c * 2.0::DOUBLE / (un.n + tn.n) AS dice FROM pair JOIN un USING (r, u) JOIN tn USING (k)
         WHERE c * 2.0::DOUBLE / (un.n + tn.n) >= {SIMILAR})
