@@ -368,11 +368,19 @@ TRAINING_THRESHOLD = 0.4
 SCORE_METRICS = ["provider_count", "flagged_provider_count", "alert_rate", "mean_score", "max_score"]
 
 
-def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def experiment_metrics(spark: SparkSession, sf_dir: str, preds: DataFrame | None = None,
+                       cases: DataFrame | None = None) -> DataFrame:
     """Long metric rows per run: score summary of every run plus precision / recall /
-    F1 at the training threshold for runs with investigator feedback."""
+    F1 at the training threshold for runs with investigator feedback.
+
+    ``preds`` and ``cases`` (predictions joined to outcomes) are read several times: they are
+    tables, made here unless the caller has them.
+    """
+    from ..functions.ranking import materialize
     from ..operators.performance import confusion, matched_cases
-    p = raw_predictions(spark, sf_dir)
+    p = preds if preds is not None else materialize(raw_predictions(spark, sf_dir))
+    m = cases if cases is not None else materialize(matched_cases(p, feedback(spark, sf_dir)))
+    m = m.withColumn("predicted_fraud", F.when(F.col("fraud_score") >= TRAINING_THRESHOLD, 1).otherwise(0))
     s = p.groupBy("experiment_id", "run_id").agg(
         F.count(F.lit(1)).cast("double").alias("provider_count"),
         F.count_if(F.col("fraud_score") >= 0.5).cast("double").alias("flagged_provider_count"),
@@ -380,7 +388,7 @@ def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("created_at").alias("created_at"))
     s = s.withColumn("alert_rate", F.col("flagged_provider_count") / F.col("provider_count"))
     long1 = s.unpivot(["experiment_id", "run_id", "created_at"], SCORE_METRICS, "metric_name", "metric_value")
-    conf = confusion(matched_cases(p, feedback(spark, sf_dir), TRAINING_THRESHOLD))
+    conf = confusion(m)
     tp, fp, fn = F.col("true_positive"), F.col("false_positive"), F.col("false_negative")
     c = conf.select("run_id", F.when(tp + fp > 0, tp / (tp + fp)).otherwise(0.0).alias("precision"),
                     F.when(tp + fn > 0, tp / (tp + fn)).otherwise(0.0).alias("recall"))
@@ -388,8 +396,7 @@ def experiment_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         2.0 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
                      .otherwise(0.0))
     from ..operators.models import classification_metrics
-    ap = classification_metrics(matched_cases(p, feedback(spark, sf_dir), TRAINING_THRESHOLD),
-                                group_by=["run_id"]).select("run_id", F.col("average_precision").alias("pr_auc"))
+    ap = classification_metrics(m, group_by=["run_id"]).select("run_id", F.col("average_precision").alias("pr_auc"))
     c = c.join(ap, "run_id", "left")
     runs_meta = s.select("experiment_id", "run_id", "created_at")
     long2 = c.join(runs_meta, "run_id").unpivot(["experiment_id", "run_id", "created_at"],
