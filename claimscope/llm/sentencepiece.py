@@ -221,9 +221,9 @@ def encode_words(words: DataFrame, pieces: Pieces, keys: list[str], carried: str
     fold, walk = viterbi(longest)
     found = lattice(words, pieces, keys, carried).withColumn("path", fold).withColumn("raw", walk)
     if pieces.bytes_from >= 0:  # -p: the character that ends at position p, as bytes
-        spelled = F.expr(f"""flatten(transform(raw, i -> if(i >= 0, array(i),
+        spelled = F.expr(f"""if(not exists(raw, i -> i < 0), raw, flatten(transform(raw, i -> if(i >= 0, array(i),
             transform(sequence(1, octet_length(substring(word, -i, 1))),
-                      k -> cast(conv(substring(hex(substring(word, -i, 1)), 2 * k - 1, 2), 16, 10) as int) + {pieces.bytes_from}))))""")
+                      k -> cast(conv(substring(hex(substring(word, -i, 1)), 2 * k - 1, 2), 16, 10) as int) + {pieces.bytes_from})))))""")
     else:
         spelled = F.expr(f"transform(raw, i -> if(i >= 0, i, {pieces.unknown}))")
     return found.select(*keys, carried, spelled.alias("ids"))
