@@ -59,11 +59,19 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str], order_by: Sequence
         tot = Window.partitionBy(*partition_by)
         slices = slices.withColumn(count_col, F.sum("__rk_cnt").over(tot))
     # slices holds <= partitions + groups rows; groups may be many, so the join strategy is Spark's choice
-    joined = ranged.join(slices.drop("__rk_cnt"), [_PID, *partition_by], "inner")
+    joined = _join_slices(ranged, slices.drop("__rk_cnt"), partition_by)
     rn = (F.col(_MID) - F.col("__rk_first") + F.col("__rk_off") + F.lit(1)).cast("long")
     return joined.withColumn(out, rn).drop(_PID, _MID, "__rk_first", "__rk_off")
 
 
+def _join_slices(rows: DataFrame, slices: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their (partition, group) slice; a NULL group key is a group."""
+    keys = [_PID, *partition_by]
+    right = slices.withColumnsRenamed({c: f"__s_{c}" for c in keys})
+    on = [rows[c].eqNullSafe(right[f"__s_{c}"]) for c in keys]
+    return rows.join(right, on, "inner").drop(*[f"__s_{c}" for c in keys])
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable eager checkpoint under ``spark.checkpoint.dir`` (shared storage).
 
@@ -204,7 +212,7 @@ def running_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[
     extra = [F.sum(f"__tot_{c}").over(w_all).alias(f"{total_prefix}{c}") for c in cols] if total_prefix else []
     off = tot.select(_PID, *partition_by,
                      *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0)).alias(f"__off_{c}") for c in cols], *extra)
-    j = local.join(off, [_PID, *partition_by], "inner")
+    j = _join_slices(local, off, partition_by)
     totals = [F.col(f"{total_prefix}{c}") for c in cols] if total_prefix else []
     return j.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in cols],
                     *totals)

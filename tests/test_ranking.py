@@ -60,3 +60,10 @@ def test_top_k_per_group_and_latest(spark, skewed):
     lat = {r.g: r.id for r in latest_per(skewed, ["g"], ["s", "id"]).collect()}
     exp1 = pdf.sort_values(["g", "s", "id"], ascending=[True, False, False]).groupby("g").head(1)
     assert lat == dict(zip(exp1.g, exp1.id))
+
+
+def test_null_group_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), ("a", 2)], "g string, v int")
+    assert sorted((r.g or "", r.v, r.rn) for r in row_number_by(df, ["g"], [F.col("v")], "rn").collect()) == [("", 1, 1), ("", 3, 2), ("a", 2, 1)]
+    assert sorted((r.g or "", r.cum_v) for r in running_sums(df, ["g"], [F.col("v")], ["v"]).collect()) == [("", 1), ("", 4), ("a", 2)]
+    assert {r.g: r.m for r in quantile_disc(df, ["g"], "v", 0.5, "m").collect()} == {None: 1, "a": 2}
