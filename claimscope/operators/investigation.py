@@ -46,7 +46,7 @@ def investigation_queue(preds: DataFrame, state: DataFrame, state_key: str, capa
         raise ValueError("pass queue_created_at explicitly")
     run = production_run(state, preds, state_key)
     p = preds.join(F.broadcast(run), RUN_KEYS, "left_semi")
-    top = top_k(p, [F.col("fraud_score").desc(), F.col("provider_id")], capacity, rank_col="investigation_rank")
+    top = top_k(p.where(F.col("fraud_label").isNotNull()), [F.col("fraud_score").desc(), F.col("provider_id")], capacity, rank_col="investigation_rank")
     return top.select("provider_id", "experiment_id", "run_id", "model_name", "model_version", "fraud_score",
                       "risk_rank", "risk_category", "reason", "investigation_rank",
                       _queue_priority(F.col("investigation_rank")).alias("investigation_priority"),
@@ -160,11 +160,13 @@ def latest_scored_run(preds: DataFrame) -> DataFrame:
 
 def _ranked_with_truth(preds: DataFrame, truth: DataFrame, run: DataFrame, max_k: int):
     # read twice (population and top k): one table of the run's providers
-    p = materialize(preds.join(F.broadcast(run), RUN_KEYS, "left_semi").join(truth, "provider_id", "inner"))
-    pop = p.agg(F.count(F.lit(1)).alias("total_providers"),
+    # a prediction without truth can't be judged: it is left out of the ranking and counted
+    p = materialize(preds.join(F.broadcast(run), RUN_KEYS, "left_semi").join(truth, "provider_id", "left"))
+    pop = p.agg(F.count("fraud_label").alias("total_providers"),
+                count_if(F.col("fraud_label").isNull()).alias("providers_without_truth"),
                 F.sum("fraud_label").cast("long").alias("total_fraud_providers"),
                 F.avg("fraud_label").alias("fraud_prevalence"))
-    top = top_k(p, [F.col("fraud_score").desc(), F.col("provider_id")], max_k, rank_col="rank_position")
+    top = top_k(p.where(F.col("fraud_label").isNotNull()), [F.col("fraud_score").desc(), F.col("provider_id")], max_k, rank_col="rank_position")
     return top, pop
 
 
@@ -201,7 +203,8 @@ def metrics_at_k(preds: DataFrame, truth: DataFrame, ks: Sequence[int] = (10, 20
                     prec.alias("precision_at_k"),
                     F.try_divide(F.col("fraud_captured"), F.col("total_fraud_providers")).alias("recall_at_k"),
                     F.try_divide(prec, F.col("fraud_prevalence")).alias("lift_at_k"),
-                    "confirmed_fraud_dollars_captured", "fraud_prevalence", "total_fraud_providers", "total_providers")
+                    "confirmed_fraud_dollars_captured", "fraud_prevalence", "total_fraud_providers", "total_providers",
+                    "providers_without_truth")
 
 
 def dollars_at_k(preds: DataFrame, truth: DataFrame, feedback: DataFrame, ks: Sequence[int] = (10, 20, 50)
