@@ -133,6 +133,9 @@ class _Encoder:
         self.last = np.zeros(self.largest + 1, bool)  # ids that end a word
         self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # for plain ASCII words the steps before the merges change nothing (tried out here)
+        self.plain = all([t.id for t in self.tokenizer.model.tokenize(w)] == self.tokenizer.encode(w, add_special_tokens=False).ids
+                         for w in ("a", "the", "zebra", "qxzwv", "internationally"))
         self.now: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -171,6 +174,12 @@ class _Encoder:
                     new.append(w)
         for at in range(0, len(new), 2000):
             some = new[at:at + 2000]
+            if self.plain:
+                merge = self.tokenizer.model.tokenize
+                for w in some:
+                    if w.isascii() and w.isalpha() and w.islower():
+                        self.now[w] = np.array([t.id for t in merge(w)], "<u4").tobytes()
+                some = [w for w in some if w not in self.now]
             self._learn([w for w in some if w.isalpha()], True)
             self._learn([w for w in some if not w.isalpha()], False)
         out = [self.now[w] for w in words]
