@@ -35,9 +35,10 @@ def normal(text: Column) -> Column:
 
 def surviving_keys(rows: DataFrame) -> DataFrame:
     """(len, pre) that two rows or more share; only rows whose length repeats are grouped by prefix hash."""
-    lengths = rows.groupBy("len").agg(F.sum("copies").alias("n")).where("n > 1").select("len")
-    return (rows.join(lengths, "len", "left_semi").groupBy("len", "pre").agg(F.sum("copies").alias("n"))
-                .where("n > 1").select("len", "pre"))
+    # tables of their own, so that Spark can split the rows of a common length or prefix in the joins
+    lengths = written(rows.groupBy("len").agg(F.sum("copies").alias("n")).where("n > 1").select("len"))
+    return written(rows.join(lengths, "len", "left_semi").groupBy("len", "pre").agg(F.sum("copies").alias("n"))
+                       .where("n > 1").select("len", "pre"))
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, prefix: int) -> DataFrame:
@@ -50,8 +51,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, prefix: int) -> DataFra
     rows = written(read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("copies")))
     marked = rows.join(surviving_keys(rows).withColumn("alive", F.lit(True)), ["len", "pre"], "left")
     order = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("n"), F.col("id"), F.col("h"))
-    groups = (marked.where("alive").groupBy("text_sha256")
-              .agg(F.sum("copies").alias("size"), F.min(order).alias("first")))
+    groups = written(marked.where("alive").groupBy("text_sha256")
+                           .agg(F.sum("copies").alias("size"), F.min(order).alias("first")))
     named = marked.join(groups, "text_sha256", "left")
     single = F.col("size").isNull()
     return named.select("id", "h", F.when(single, F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
