@@ -7,8 +7,8 @@ k-means); a text gets the language of the centroid with the largest cosine and i
 when that cosine is below the language's limit (its distance is too large).
 
 Counts: documents and document frequencies cover all training rows.  The centroids are
-fitted on a sample of about ``SAMPLE`` distinct texts per language, chosen by text hash; that
-bound is the operator's parameter ``sample``.
+fitted on a sample of ``SAMPLE`` distinct texts per language (all, if it has no more), those with
+the smallest mixed hashes; that bound is the operator's parameter ``sample``.  Copies count once.
 
 Edge cases: a text that is null or has no letter is ``und``, score 0 and rejected, as is
 every text when nothing was learned.  Training rows with a null language are not used.  Ties
@@ -87,9 +87,23 @@ def _frequencies(batches, dims: int):
     yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(np.concatenate([[total], df[slot[1:]]]))], names=["slot", "n"])
 
 
-def _clusters(table: pa.Table, clusters: int, reject: float) -> pa.Table:
+def _first_texts(batches):
+    """The first row of every (lang, h) of a task."""
+    seen = set()
+    for batch in batches:
+        new = []
+        for i, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            if key not in seen:
+                seen.add(key)
+                new.append(i)
+        if new:
+            yield batch.take(pa.array(new))
+
+
+def _clusters(table: pa.Table, clusters: int, sample: int, reject: float) -> pa.Table:
     """Spherical k-means of one language's sample, with k-means++ starts from a fixed seed."""
-    x = np.stack([np.frombuffer(v, np.float32) for v in sorted(table.column("v").to_pylist())])
+    order = np.lexsort((table.column("h").to_numpy(), table.column("m").to_numpy()))[:sample]
+    x = np.stack([np.frombuffer(table.column("v")[int(i)].as_buffer(), np.float32) for i in order])
     rng = np.random.default_rng(0)
     chosen = [int(rng.integers(len(x)))]
     near = x @ x[chosen[0]]
@@ -124,24 +138,27 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", dims:
     for k, n in counts.items():
         have[k] = n
     idf = (np.log((1 + total) / (1 + have)) + 1).astype(np.float32)
-    # the share of each language's rows that gives about `sample` texts
-    langs = rows.groupBy("lang").count().collect()
+    # equal texts have equal hashes: copies neither fill a sample nor lower its share
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    langs = rows.select("lang", "h").distinct().groupBy("lang").count().collect()
     if not langs:
         return {"idf": idf, "langs": [], "c": np.zeros((0, dims), np.float32), "low": np.zeros(0)}
-    share = F.create_map(*[F.lit(v) for r in langs for v in (r["lang"], min(1.0, sample / r["count"]))])
-    h = F.xxhash64("text")
-    picked = rows.withColumn("h", h).where(F.pmod(h, F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30))
-    # equal texts have equal hashes: one of them is enough, so copies can't fill a sample
-    picked = picked.dropDuplicates(["lang", "h"]).select("lang", "text")
+    # ten standard deviations above `sample`; _clusters takes the smallest of them
+    wanted = sample + 10 * (sample + 1) ** 0.5
+    share = F.create_map(*[F.lit(v) for r in langs for v in (r["lang"], min(1.0, wanted / r["count"]))])
+    mixed = F.pmod(F.xxhash64("h"), F.lit(1 << 30))
+    picked = rows.withColumn("m", mixed).where(F.col("m") < F.element_at(share, F.col("lang")) * (1 << 30)).select("lang", "h", "m", "text")
+    # one row a task before the shuffle, so the copies of a text stay where they are read
+    picked = picked.mapInArrow(_first_texts, picked.schema).dropDuplicates(["lang", "h"])
 
     def vectors():
         def made(part):
-            out = [v.tobytes() for _, c in _counts(texts_of(part.column(1)), dims) for v in _vectors(c, idf)]
+            out = [v.tobytes() for _, c in _counts(texts_of(part.column(3)), dims) for v in _vectors(c, idf)]
             return [pa.array(out, pa.binary())]
         return made
 
     vecs = with_arrow(picked, "text", vectors, [T.StructField("v", T.BinaryType())], drop_text=True)
-    made = vecs.groupBy("lang").applyInArrow(lambda t: _clusters(t, clusters, reject), "lang string, c binary, low double").toArrow().sort_by("lang")
+    made = vecs.groupBy("lang").applyInArrow(lambda t: _clusters(t, clusters, sample, reject), "lang string, c binary, low double").toArrow().sort_by("lang")
     return {"idf": idf, "langs": made.column("lang").to_pylist(), "low": made.column("low").to_numpy(),
             "c": np.stack([np.frombuffer(c, np.float32) for c in made.column("c").to_pylist()])}
 

@@ -148,6 +148,21 @@ def test_language_edge_cases(spark):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_language_sample_counts_distinct_texts(spark):
+    def text(i, letters):
+        return " ".join("".join(np.random.default_rng([i, k]).choice(list(letters), 5)) for k in range(30))
+    rows = [(0, text(0, "abcde"), "aa")] * 3000  # one page, 3,000 copies
+    rows += [(0, text(0, "fghij"), "bb")] * 3000 + [(i, text(i, "fghij"), "bb") for i in range(1, 61)]
+    rows += [(i, text(i, "klmno"), "cc") for i in range(60)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, sample=50)
+    assert sorted(set(model["langs"])) == ["aa", "bb", "cc"]
+    assert [model["langs"].count(l) for l in ("aa", "bb", "cc")] == [1, 4, 4]
+    got = {r.lang: (r.lang_pred, r.rejected) for r in langid.identify(docs.dropDuplicates(["lang"]), model).select("lang", "guess.*").collect()}
+    assert got == {l: (l, False) for l in ("aa", "bb", "cc")}
+    assert langid.fit(docs.where("lang = 'aa'"), sample=1)["langs"] == ["aa"]  # one text, many copies
+
+
 # toxicity -----------------------------------------------------------------------
 def toxic_frames(spark, n=900):
     rng = np.random.default_rng(5)
