@@ -4,15 +4,20 @@ A text becomes lower case, everything that is an ASCII non-letter a space, runs
 one space.  Its byte 2-grams and 3-grams are hashed to ``DIMS`` dimensions; the vector is
 (1 + ln tf) * idf, scaled to length one.  Each language has ``CLUSTERS`` centroids (spherical
 k-means); a text gets the language of the centroid with the largest cosine and is rejected
-when that cosine is below the language's limit (its distance is too large).
+when that cosine is 0 or below the language's limit (its distance is too large).
+
+The limit is the ``REJECT`` quantile of the cosines of the language's own sampled texts to centroids fitted
+without them (``FOLDS`` parts, each held out once), so about that share of new texts of a learned
+language is rejected wrongly.  Below 1 / ``REJECT`` texts it lies between 0 and the smallest cosine, in
+proportion to their number; a lone text is compared with itself.
 
 Counts: documents and document frequencies cover all training rows.  The centroids are
 fitted on a sample of ``SAMPLE`` distinct texts per language (all, if it has no more), those with
 the smallest mixed hashes; that bound is the operator's parameter ``sample``.  Copies count once.
 
 Edge cases: a text that is null or has no letter is ``und``, score 0 and rejected, as is
-every text when nothing was learned.  Training rows with a null language are not used.  Ties
-go to the language that sorts first.
+every text when nothing was learned.  Training rows with a null language or a text without a
+letter are not used.  Ties go to the language that sorts first.
 """
 
 from __future__ import annotations
@@ -30,8 +35,12 @@ from .words import parts, recode, texts_of
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 2000
-#: A language's limit is this share of the smallest cosine of its sample.
-REJECT = 0.2
+#: Share of a learned language's own new texts that its limit rejects.
+REJECT = 0.005
+#: Parts of a sample, each compared with centroids of the others.
+FOLDS = 5
+#: A letter, for Java's regular expressions and Arrow's.
+_LETTER = r"\p{L}"
 UNKNOWN = "und"
 _ROWS = 256
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -100,10 +109,8 @@ def _first_texts(batches):
             yield batch.take(pa.array(new))
 
 
-def _clusters(table: pa.Table, clusters: int, sample: int, reject: float) -> pa.Table:
-    """Spherical k-means of one language's sample, with k-means++ starts from a fixed seed."""
-    order = np.lexsort((table.column("h").to_numpy(), table.column("m").to_numpy()))[:sample]
-    x = np.stack([np.frombuffer(table.column("v")[int(i)].as_buffer(), np.float32) for i in order])
+def _centroids(x: np.ndarray, clusters: int) -> np.ndarray:
+    """Spherical k-means, with k-means++ starts from a fixed seed."""
     rng = np.random.default_rng(0)
     chosen = [int(rng.integers(len(x)))]
     near = x @ x[chosen[0]]
@@ -120,7 +127,25 @@ def _clusters(table: pa.Table, clusters: int, sample: int, reject: float) -> pa.
             if (of == k).any():
                 m = x[of == k].sum(axis=0)
                 c[k] = m / max(float(np.sqrt(m @ m)), 1e-12)
-    limit = float((x @ c.T).max(axis=1).min()) * reject
+    return c
+
+
+def _limit(x: np.ndarray, clusters: int, reject: float) -> float:
+    """The cosine below which a share ``reject`` of texts like those of ``x`` lies, none of them compared with its own centroids."""
+    cos = np.ones(1)
+    if len(x) > 1:
+        cos, fold = np.zeros(len(x)), np.arange(len(x)) % min(FOLDS, len(x))
+        for k in range(min(FOLDS, len(x))):
+            cos[fold == k] = (x[fold == k] @ _centroids(x[fold != k], clusters).T).max(axis=1)
+    # a new text is equally likely between any two of them; a cosine is never below 0
+    return float(np.interp(reject * (len(cos) + 1), np.arange(len(cos) + 1), np.append(0.0, np.sort(cos))))
+
+
+def _clusters(table: pa.Table, clusters: int, sample: int, reject: float) -> pa.Table:
+    """Centroids and limit of one language's sample."""
+    order = np.lexsort((table.column("h").to_numpy(), table.column("m").to_numpy()))[:sample]
+    x = np.stack([np.frombuffer(table.column("v")[int(i)].as_buffer(), np.float32) for i in order])
+    c, limit = _centroids(x, clusters), _limit(x, clusters, reject)
     lang = table.column("lang")[0].as_py()
     return pa.table({"lang": pa.array([lang] * len(c), pa.string()), "c": pa.array([k.astype(np.float32).tobytes() for k in c], pa.binary()),
                      "low": pa.array([limit] * len(c), pa.float64())})
@@ -129,7 +154,7 @@ def _clusters(table: pa.Table, clusters: int, sample: int, reject: float) -> pa.
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", dims: int = DIMS, clusters: int = CLUSTERS,
         sample: int = SAMPLE, reject: float = REJECT) -> dict:
     """A model of bounded size: idf, and per language its centroids and its limit."""
-    rows = train.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = train.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(_LETTER)).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     df = rows.select("text").mapInArrow(lambda b: _frequencies(b, dims), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     counts = {r.slot: r.n for r in df}
@@ -178,7 +203,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", out: str = "g
 
         def made(part):
             texts = texts_of(part.column(part.schema.get_field_index(text_col)))
-            letters = np.asarray(pc.match_substring_regex(texts, r"\p{L}"))
+            letters = np.asarray(pc.match_substring_regex(texts, _LETTER))
             best, score = np.full(len(texts), -1), np.zeros(len(texts))
             if len(m["langs"]):
                 for at, c in _counts(texts, len(m["idf"])):
@@ -187,7 +212,7 @@ def identify(docs: DataFrame, model: dict, text_col: str = "text", out: str = "g
                     score[at:at + len(c)] = cos.max(axis=1)
             best = np.where(letters, best, -1)
             score = np.where(best >= 0, np.clip(score, 0.0, 1.0), 0.0)
-            return [pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array(score < low[best])],
+            return [pa.StructArray.from_arrays([pa.array(names[best].tolist(), pa.string()), pa.array(score), pa.array((score < low[best]) | (score <= 0))],
                                                names=[f.name for f in _GUESS])]
         return made
 

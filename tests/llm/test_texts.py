@@ -1,5 +1,6 @@
 """Token ids, pieces, languages, toxicity, licences, secrets and the pipeline."""
 
+import base64
 import re
 import struct
 import zlib
@@ -163,6 +164,29 @@ def test_language_sample_counts_distinct_texts(spark):
     assert langid.fit(docs.where("lang = 'aa'"), sample=1)["langs"] == ["aa"]  # one text, many copies
 
 
+def test_language_rejects_what_it_did_not_learn(spark):
+    words = {"en": "the of and to in that is was he for it with as his on be at by had not are but from or have an they which one you were",
+             "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach"}
+
+    def text(i, lang):
+        rng = np.random.default_rng([i, len(words[lang])])
+        return " ".join(rng.choice(words[lang].split(), int(rng.integers(5, 60))))
+    rows = [(i, text(i, l), l) for i in range(500) for l in words] + [(0, t, l) for t in ("", "12 -- !!") for l in words]
+    rows += [(0, "qx", l) for l in words]  # one odd text does not set the limit
+    model = langid.fit(frame(spark, rows, "doc_id long, text string, lang string"))
+    assert all(0.1 < x < 0.9 for x in model["low"])
+    rng = np.random.default_rng(7)
+    strange = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz     "), 800)), base64.b64encode(rng.bytes(900)).decode(),
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+               "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler."]
+    got = {r.doc_id: r.rejected for r in langid.identify(frame(spark, list(enumerate(strange))), model).select("doc_id", "guess.rejected").collect()}
+    assert all(got[i] for i in range(len(strange)))
+    lone = langid.fit(frame(spark, [(1, "kato", "aa")], "doc_id long, text string, lang string"))
+    assert [r.rejected for r in langid.identify(frame(spark, [(1, "kato"), (2, "zzz")]), lone).select("guess.rejected").collect()] == [False, True]
+    lost = [langid.identify(frame(spark, [(i, text(i, l)) for i in range(1000, 1500)]), model).where("guess.rejected").count() for l in words]
+    assert max(lost) <= 10  # 0.5 % of 500 expected
+
+
 # toxicity -----------------------------------------------------------------------
 def toxic_frames(spark, n=900):
     rng = np.random.default_rng(5)
