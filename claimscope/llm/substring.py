@@ -20,8 +20,9 @@ Windows are compared by a 64-bit hash.
 
 Edge cases: a null text has no words.  A document of fewer words than a window keeps all.
 Rows that repeat an id are one document to the comparison (the smallest id owns a window;
-rows of one id never remove words from each other) and are all returned.  A null id comes
-after every other id; rows with null ids count as one document.
+rows of one id never remove words from each other) and are all returned, each without its own
+text's repeats: positions belong to an id and a text (by its 64-bit hash, carried for the ids with
+several texts).  A null id comes after every other id; rows with null ids count as one document.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, free_name, free_shuffles, maybe_in, with_arrow, written
+from .common import bit_filter, free_name, free_shuffles, maybe_in, text_hash, with_arrow, written
 from .words import gram_hashes, hashes, inside, parts, texts_of, words_of
 
 #: Words of a window, the shortest repeat that is removed.
@@ -76,32 +77,49 @@ def _emit_anchors(batches, window: int, anchor: int):
             yield pa.RecordBatch.from_arrays([pa.array(least[new].view(np.int64)), pa.array(doc[new])], names=["h", "doc"])
 
 
-def _emit_windows(batches, seeds, mask: int, window: int, anchor: int):
+def _tags(several, mask: int, id_hash: pa.Array, own: pa.Array, one: pa.Array) -> np.ndarray:
+    """Entries of ``own`` for rows whose id may have several texts, of ``one`` for the others."""
+    may = maybe_in(several.value, mask, id_hash.to_numpy().view(np.uint64))
+    return np.where(may, own.to_numpy(), one.to_numpy())
+
+
+def _emit_windows(batches, seeds, mask: int, several, id_mask: int, window: int, anchor: int):
     for batch in batches:
         for part in parts(batch, "text"):
             w, ok, win, least = _anchors(part.column(1), window, anchor)
+            tag = _tags(several, id_mask, part.column(2), part.column(3), pa.array(np.zeros(part.num_rows, np.int64)))
             at = np.flatnonzero(ok & maybe_in(seeds.value, mask, least)) if len(ok) else np.zeros(0, np.int64)
             text = np.searchsorted(w.offsets, at, side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(win[at].view(np.int64)), pa.array(np.asarray(part.column(0))[text]),
-                 pa.array((at - w.offsets[text]).astype(np.int32))], names=["h", "doc", "pos"])
+                [pa.array(win[at].view(np.int64)), pa.array(np.asarray(part.column(0))[text]), pa.array(tag[text]),
+                 pa.array((at - w.offsets[text]).astype(np.int32))], names=["h", "doc", "tag", "pos"])
+
+
+def ids_with_several_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
+    """A ``bit_filter`` over the hashes of ids whose rows differ in their text."""
+    ids = docs.select(_id(id_col).alias("id"), text_hash(text_col).alias("t")).groupBy("id").agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    return bit_filter(written(ids.where("a <> b").select(F.xxhash64("id").alias("h"))), "h")
 
 
-def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+def repeated_windows(docs: DataFrame, several, id_mask: int, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                      anchor: int = ANCHOR) -> DataFrame:
-    """(doc, pos): windows that also start in a document with a smaller id, positions in words."""
+    """(doc, tag, pos): windows that also start in a document with a smaller id, positions in words.
+
+    ``several`` and ``id_mask`` are those of ``ids_with_several_texts``; ``tag`` is the text's hash for these ids, else 0.
+    """
     spark = docs.sparkSession
     base = docs.select(_id(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     seeds = (base.mapInArrow(lambda b: _emit_anchors(b, window, anchor), "h long, doc long")
                  .groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("h"))
     found, mask = bit_filter(written(seeds), "h")
     free_shuffles(spark)
-    wins = base.mapInArrow(lambda b: _emit_windows(b, found, mask, window, anchor), "h long, doc long, pos int")
+    tagged = base.select("id", "text", F.xxhash64("id").alias("id_hash"), text_hash("text").alias("text_hash"))
+    wins = tagged.mapInArrow(lambda b: _emit_windows(b, found, mask, several, id_mask, window, anchor), "h long, doc long, tag long, pos int")
     # a table of its own: Spark can then split the rows of a very common window in the join
     owner = written(wins.groupBy("h").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b")
                         .select("h", F.col("a").alias("owner")))
     free_shuffles(spark)
-    return wins.join(owner, "h").where("doc > owner").select("doc", "pos")
+    return wins.join(owner, "h").where("doc > owner").select("doc", "tag", "pos")
 
 
 def _cut(text: str, starts, window: int, texts: bool) -> tuple:
@@ -141,21 +159,29 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     anchor: int = ANCHOR, out: str = "cut", texts: bool = True, drop_text: bool = False) -> DataFrame:
     """``docs`` with a struct column ``out``: words, removed words, hash and text of what is kept, removed runs."""
     spark = docs.sparkSession
-    key, at, owner_h = (free_name(docs.columns, c) for c in ("doc_key", "starts", "doc_hash"))
-    starts = written(repeated_windows(docs, id_col, text_col, window, anchor)
-                     .groupBy("doc").agg(F.collect_list("pos").alias(at)).withColumnRenamed("doc", key))
+    key, at, tag, flag = (free_name(docs.columns, c) for c in ("doc_key", "starts", "doc_tag", "maybe"))
+    id_h, text_h, one_h, own_h = extra = [free_name(docs.columns, c) for c in ("id_hash", "text_hash", "one_hash", "own_hash")]
+    several, id_mask = ids_with_several_texts(docs, id_col, text_col)
+    free_shuffles(spark)
+    # a set: equal rows have equal positions
+    starts = written(repeated_windows(docs, several, id_mask, id_col, text_col, window, anchor)
+                     .groupBy("doc", "tag").agg(F.collect_set("pos").alias(at)).withColumnsRenamed({"doc": key, "tag": tag}))
     free_shuffles(spark)
-    hit, mask = bit_filter(starts.select(F.xxhash64(key).alias("h")), "h")
-    keyed = docs.withColumn(key, _id(id_col)).withColumn(owner_h, F.xxhash64(key))
-    flag = free_name([*keyed.columns], "maybe")
+    hit, mask = bit_filter(starts.select(F.xxhash64(key, tag).alias("h")), "h")
+    keyed = (docs.withColumn(key, _id(id_col)).withColumn(id_h, F.xxhash64(key)).withColumn(text_h, text_hash(text_col))
+                 .withColumn(one_h, F.xxhash64(key, F.lit(0).cast("long"))).withColumn(own_h, F.xxhash64(key, text_h)))
 
     def start():
-        return lambda part: [pa.array(maybe_in(hit.value, mask, part.column(part.schema.get_field_index(owner_h)).to_numpy().view(np.uint64)))]
+        def made(part):
+            ids, text, one, own = (part.column(part.schema.get_field_index(c)) for c in extra)
+            of_row = _tags(several, id_mask, ids, text, pa.array(np.zeros(part.num_rows, np.int64)))
+            return [pa.array(maybe_in(hit.value, mask, _tags(several, id_mask, ids, own, one).view(np.uint64))), pa.array(of_row)]
+        return made
 
-    marked = with_arrow(keyed, text_col, start, [T.StructField(flag, T.BooleanType())]).drop(owner_h)
+    marked = with_arrow(keyed, text_col, start, [T.StructField(flag, T.BooleanType()), T.StructField(tag, T.LongType())]).drop(*extra)
     columns = [c for c in docs.columns if not (drop_text and c == text_col)]
     whole = _with_cuts(marked.where(~F.col(flag)).select(*docs.columns), text_col, None, out, window, texts, drop_text)
-    joined = marked.where(F.col(flag)).drop(flag).join(starts, key, "left").drop(key)
+    joined = marked.where(F.col(flag)).drop(flag).join(starts, [key, tag], "left").drop(key, tag)
     some = _with_cuts(joined, text_col, at, out, window, texts, drop_text)
     return whole.select(*columns, out).unionByName(some.select(*columns, out))
 

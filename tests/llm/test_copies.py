@@ -147,6 +147,15 @@ def test_substring_repeated_and_null_ids(spark):
     assert got == [(False, 0), (False, 0), (True, 15), (True, 15)]
 
 
+def test_substring_equal_and_null_ids_with_other_texts(spark):
+    part, other, last = (" ".join(f"{c}{i}" for i in range(40)) for c in "pqr")
+    rows = [(1, part), (2, "x " + part), (2, other), (2, "x " + part), (None, last), (None, "y y " + part), (None, "z " + other), (None, None)]
+    got = substring.substring_dedup(frame(spark, [(i, t, 0) for i, t in rows], "doc_id long, text string, doc_tag int"))
+    want = [(1, part), (2, "x"), (2, other), (2, "x"), (None, last), (None, "y y"), (None, "z"), (None, "")]
+    assert sorted(map(repr, ((r.doc_id, r.cut.kept_text) for r in got.collect()))) == sorted(map(repr, want))
+    assert set(got.columns) == {"doc_id", "text", "doc_tag", "cut"}
+
+
 # benchmark ------------------------------------------------------------------------
 def contamination(docs, items):
     windows = {}
