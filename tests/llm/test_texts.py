@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -213,6 +214,19 @@ def test_toxicity_separates_and_holds_out(spark):
     assert got[9001].score == got[9002].score < 0.5 and got[9003].predicted == 1
 
 
+def test_toxicity_counts_the_language_over_all_documents(spark):
+    docs, labels = toxic_frames(spark, 400)
+    rest = [(10_000 + i, f"word{i % 80} vile0 zeta word{(i * 7) % 80} zeta") for i in range(300)]
+    train, tune = F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 4, F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 4
+    models = [toxicity.fit(d, labels, train, tune) for d in (docs, docs.unionByName(frame(spark, rest)))]
+    zeta, vile = (np.uint64(xxhash.xxh64_intdigest(w.encode())) for w in ("zeta", "vile0"))
+    assert [zeta in m.words for m in models] == [False, True]
+    alone, shared = (m.evidence[np.searchsorted(m.words, vile) + 2] for m in models)
+    assert shared < alone  # it follows more words in the language, so it says less
+    at = np.searchsorted(models[1].words, zeta) + 2
+    assert models[1].evidence[at] == 0  # no labelled row has it
+
+
 def test_toxicity_never_reads_held_out_labels(spark):
     docs, labels = toxic_frames(spark, 400)
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
