@@ -44,3 +44,18 @@ def test_curated_rank_ties_and_tiers(spark):
     assert "p4" not in out                                          # unparseable score is dropped
     assert (out["p1"].risk_rank, out["p2"].risk_rank, out["p3"].risk_rank) == (1, 2, 3)
     assert out["p1"].risk_category == "HIGH" and out["p3"].risk_category == "MEDIUM"
+
+
+def test_queue_needs_no_label_column(spark):
+    from claimscope.operators.investigation import investigation_queue, open_queue, queue_summary
+
+    preds = spark.sql("""
+        SELECT concat('P', id) AS provider_id, 'e' AS experiment_id, 'r1' AS run_id, 'xgboost' AS model_name,
+          'xgboost:7' AS model_version, id / 10.0D AS fraud_score, 10 - id AS risk_rank, 'LOW' AS risk_category,
+          'none' AS reason, timestamp'2024-01-01' AS created_at FROM range(10)""")
+    state = spark.sql("SELECT 'k' AS model_name, 'xgboost' AS approved_model_type, 'r1' AS approved_run_id, 'models/7' AS approved_model_resource")
+    queue = investigation_queue(preds, state, "k", 3, "2024-02-01 00:00:00")
+    assert [(r.provider_id, r.investigation_rank) for r in queue.orderBy("investigation_rank").collect()] == [("P9", 1), ("P8", 2), ("P7", 3)]
+    assert queue_summary(queue).collect()[0].investigation_count == 3
+    done = spark.sql("SELECT 'P9' AS provider_id, 'CONFIRMED_FRAUD' AS investigation_result UNION ALL SELECT 'P8', 'PENDING'")
+    assert {r.provider_id for r in open_queue(queue, done).collect()} == {"P8", "P7"}
