@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact, licenses
+from . import clustering, exact, licenses
 from .common import table
 from .decontaminate import decontamination_report
 from .langid import language_report
@@ -92,6 +92,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
+@query("op11_centroid_clustering", clustering.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters_report(table(spark, sf_dir, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
