@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import clustering, exact, licenses
+from . import clustering, collocations, exact, licenses
 from .common import table
 from .decontaminate import decontamination_report
 from .langid import language_report
@@ -97,6 +97,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.clusters_report(table(spark, sf_dir, "embeddings"))
 
 
+@query("op12_phrase_collocations", collocations.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
