@@ -11,6 +11,7 @@ from . import clustering, collocations, exact, licenses
 from .common import table
 from .decontaminate import decontamination_report
 from .langid import language_report
+from .packing import packing_report
 from .secrets import secrets_report, vocabulary_words
 from .sentencepiece import sentencepiece_report
 from .simhash import simhash_report
@@ -102,6 +103,11 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@query("op13_best_fit_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
