@@ -1,6 +1,7 @@
 """Token ids, pieces, languages, toxicity, licences, secrets and the pipeline."""
 
 import base64
+import random
 import re
 import struct
 import zlib
@@ -301,21 +302,94 @@ def test_base_spans():
 
 
 def brute_cost(value, ranks):
-    """Cheapest segmentation by trying every cut, words and single characters only."""
+    """Cheapest segmentation by trying every part of every length."""
+    low, leet = value.lower(), str.maketrans("013457@$!", "oleastasi")
+    rows = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0123456789")
+    date = re.compile(r"(?:19|20)\d\d[-/.]?[01]\d[-/.]?[0-3]\d|[0-3]?\d[-/.][01]?\d[-/.](?:(?:19|20)\d\d|\d\d)|[0-3]\d[01]\d(?:19|20)\d\d|(?:19|20)\d\d")
     best = [0.0] + [9e9] * len(value)
     for e in range(1, len(value) + 1):
         for s in range(e):
-            best[e] = min(best[e], best[s] + (np.log10(ranks[value[s:e]] + 1) + 0.3 if e - s >= 3 and value[s:e] in ranks else 1.0 * (e - s)))
+            part, word, costs = value[s:e], low[s:e], [float(e - s)]
+            twist = 0.0 if part == word else 0.3 if part[1:] == word[1:] or part.isupper() else 0.1 * len(part)
+            if e - s >= 3 and word in ranks:
+                costs.append(np.log10(ranks[word] + 1) + twist + 0.3)
+            elif e - s >= 3 and word.translate(leet) in ranks:
+                costs.append(np.log10(ranks[word.translate(leet)] + 1) + twist + 0.8)
+            m = date.match(value, s)
+            if m and m.end() == e:
+                costs.append(2.4 if e - s == 4 else 4.9)
+            if e - s >= 3 and any(word in r or word[::-1] in r for r in rows):
+                costs.append(2.0 + np.log10(e - s))
+            best[e] = min(best[e], best[s] + min(costs))
+        for p in range(1, e // 2 + 1):
+            unit, k = value[e - p:e], 0
+            if any(unit == unit[:q] * (p // q) for q in range(1, p) if p % q == 0):
+                continue
+            while e - (k + 2) * p >= 0 and value[e - (k + 2) * p:e - (k + 1) * p] == unit:
+                k += 1
+            if k:
+                best[e] = min(best[e], best[e - k * p] + np.log10(k + 1) + 0.3)
     return best[-1]
 
 
 def test_guess_cost():
-    for value in ("correcthorse", "xqjzkv", "housexq", "tablechairqz"):
+    for value in ("correcthorse", "xqjzkv", "housexq", "tablechairqz", "Tr0ub4dor&3", "PASSWORD2019-03-14", "qwertyuiop0987654321", "abcabcabcabd"):
         assert secrets.guess_cost(value, RANKS) == pytest.approx(brute_cost(value, RANKS))
+    rng = random.Random(11)
+    parts = ["ab", "a", "password", "P4ssw0rd", "qwerty", "fdsa", "321", "1999", "12/03/2020", "house", "X", "9", "é", "abcde", "-", "aab", "İ"]
+    for _ in range(1500):
+        value = "".join(rng.choice(parts) * rng.choice([1, 1, 1, 2, 3, 5]) for _ in range(rng.randint(1, 6)))
+        if len(value.lower()) == len(value):
+            assert secrets.guess_cost(value, RANKS) == pytest.approx(brute_cost(value, RANKS)), value
     cost = {v: secrets.guess_cost(v, RANKS) for v in ("password", "qwertyuiop", "aaaaaaaaaaaa", "abcabcabcabc", "2019-03-14", "kX9#vQ2!mZ7$")}
     assert all(c < 8 for v, c in cost.items() if v[0] != "k") and cost["kX9#vQ2!mZ7$"] >= secrets.STRONG
 
 
+def test_repeats_are_all_maximal_ones():
+    rng = random.Random(4)
+    for _ in range(800):
+        value = "".join(rng.choice("ab" if rng.random() < .7 else "abc") for _ in range(rng.randint(0, 60)))
+        want = set()
+        for p in range(1, len(value) // 2 + 1):
+            i = 0
+            while i + p < len(value):
+                j = i
+                while j + p < len(value) and value[j] == value[j + p]:
+                    j += 1
+                unit = value[i:i + p]
+                if j - i >= p and not any(unit == unit[:q] * (p // q) for q in range(1, p) if p % q == 0):
+                    want.add((i, j + p, p))
+                i = j + 1
+        assert set(secrets.repeats(value)) == want and len(secrets.repeats(value)) == len(want), value
+
+
+@pytest.mark.parametrize("value", ["ab" * 80000, "abcdefghijklmnopqrstuvwxyz" * 6000, "1234567890" * 16000, "a" * 160000, "kX9vQ2mZ7w" * 16000])
+def test_long_values_end(value):
+    import time
+    t = time.time()
+    assert secrets.guess_cost(value, RANKS) < 18
+    assert time.time() - t < 30
+
+
+def test_secret_query_equals_brute_force(spark):
+    """Every span of the query, with plain patterns and the brute-force cost."""
+    folder = "/root/testdata/sf0.01"
+    documents = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    base = {"assign": (r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+            "access": ("AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), "hex": ("[0-9a-f]+", lambda m: len(m[0]) >= 24)}
+    context = re.compile(r"""(?ai)(?:passw(?:or)?d|pwd|passphrase|passcode|secret|token|credentials?|api_?key|access_?key|private_?key|auth)["']?[\x20\t]*"""
+                         r"""(?::=|=>|[:=]|\bis\b)[\x20\t]*(?:"([^"\r\n]{6,})"|'([^'\r\n]{6,})'|([^\s"']{6,}))""")
+    want = {}
+    for i, text in documents:
+        spans = [(m.start(), k, kind, m.end()) for k, (kind, (p, ok)) in enumerate(base.items()) for m in re.finditer(p, text) if ok(m)]
+        for m in context.finditer(text):
+            if brute_cost(m[m.lastindex], RANKS) >= secrets.STRONG:
+                spans.append((m.start(m.lastindex), 3, "guess", m.end(m.lastindex)))
+        want[i] = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(spans))
+    got = {r.doc_id: r.spans for r in QUERIES["op7_secret_scan"](spark, folder).collect()}
+    assert got == want and any(want.values())
+
+
 def test_secret_scan(spark):
     rows = [(1, 'password = "kX9#vQ2!mZ7$"'), (2, "password: changeme"), (3, None), (4, ""), (5, "token=" + "ab" * 80000),
             (6, "no secret here, the token is lost"), (1, "secret=aaaaaaaa")]
