@@ -13,9 +13,11 @@ import calendar
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.asof import as_of_join
 from ..functions.columns import attach_scalars, count_if, flag_rate, money_avg, money_avg_cents, safe_div
 from ..functions.ranking import materialize, quantile_disc
 
@@ -207,14 +209,75 @@ def month_ends(claims: DataFrame) -> DataFrame:
     return claims.select(F.last_day("service_date").alias("snapshot_date")).distinct()
 
 
+#: Additive measures of a claim: name -> column.  Flags are counted, amounts summed.
+_ADDED = {"high_acuity": "is_high_acuity_em", "em_99214": "is_99214", "em_99215": "is_99215", "referral": "is_referral",
+          "eye": "is_eye_procedure", "paid": "total_paid_amount", "distance": "member_provider_distance"}
+# measure -> what it is the mean of; the recent ones are the same means over fewer days
+_LONG_OF = {"high_acuity_pct": "high_acuity", "pct_99214": "em_99214", "pct_99215": "em_99215", "referral_rate": "referral",
+            "eye_procedure_pct": "eye", "avg_paid_per_claim": "paid", "avg_member_provider_distance": "distance"}
+_RECENT_OF = {"high_acuity_pct_7d": "high_acuity", "referral_rate_7d": "referral", "avg_paid_per_claim_7d": "paid",
+              "avg_member_provider_distance_7d": "distance"}
+
+
+def daily_partials(claims: DataFrame) -> DataFrame:
+    """Sums and counts per (provider, day): every window's measures follow from them.
+
+    Doubles are summed per day and kept to nine decimals, so that differences of running sums
+    are exact from there on.
+    """
+    aggs = [F.count(F.lit(1)).alias("claims")]
+    for name, c in _ADDED.items():
+        total = F.sum(c)
+        if isinstance(claims.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            total = total.cast("decimal(28,9)")
+        aggs += [total.alias(f"sum_{name}"), F.count(c).alias(f"n_{name}")]
+    return claims.groupBy("provider_id", "service_date").agg(*aggs)
+
+
+def _additive(daily: DataFrame) -> list[str]:
+    return [c for c in daily.columns if c not in ("provider_id", "service_date")]
+
+
+def _mean(total: Column, n: Column) -> Column:
+    return F.try_divide(total.cast("double"), n.cast("double"))
+
+
+def snapshots_from_daily(daily: DataFrame, dates: DataFrame, months: int = 6, days: int = 7) -> DataFrame:
+    """Measures of the trailing ``months`` and ``days`` per (snapshot_date, provider) with a claim in the long one.
+
+    A provider's running sums over its days are looked up at the ends of each window and
+    subtracted: every partial is read once, however long the windows are and however many of them it is in.
+    A provider's group has one row per day and three per snapshot date.
+    """
+    d = F.col("snapshot_date")
+    all_dates = dates.agg(F.array_sort(F.collect_set("snapshot_date")).alias("__dates"))  # one row: the snapshot dates
+    spans = daily.groupBy("provider_id").agg(F.min("service_date").alias("__first"), F.max("service_date").alias("__last"))
+    within = F.filter("__dates", lambda x: (x >= F.col("__first")) & (_long_term_start(x, months) <= F.col("__last")))
+    pairs = attach_scalars(spans, all_dates).select("provider_id", F.explode(within).alias("snapshot_date"))
+    ends = F.array(F.struct(d.alias("service_date"), F.lit(1).alias("__long"), F.lit(1).alias("__recent")),
+                   F.struct(F.date_sub(_long_term_start(d, months), 1).alias("service_date"), F.lit(-1).alias("__long"), F.lit(0).alias("__recent")),
+                   F.struct(F.date_sub(d, days).alias("service_date"), F.lit(0).alias("__long"), F.lit(-1).alias("__recent")))
+    asked = pairs.select("provider_id", "snapshot_date", F.inline(ends))
+    names = _additive(daily)
+    running = Window.partitionBy("provider_id").orderBy("service_date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = daily.unionByName(asked, allowMissingColumns=True).select(
+        "provider_id", "snapshot_date", "__long", "__recent", *[F.sum(c).over(running).alias(c) for c in names])
+    both = rows.where(d.isNotNull()).groupBy("provider_id", "snapshot_date").agg(
+        *[F.sum(F.col(c) * F.col("__long")).alias(c) for c in names],
+        *[F.sum(F.col(c) * F.col("__recent")).alias(f"recent_{c}") for c in names])
+    return both.where(F.col("claims") > 0).select(
+        "snapshot_date", "provider_id",
+        *[_mean(F.col(f"sum_{a}"), F.col(f"n_{a}")).alias(m) for m, a in _LONG_OF.items()],
+        F.coalesce("recent_claims", F.lit(0)).cast("long").alias("claim_count_7d"),
+        *[_mean(F.col(f"recent_sum_{a}"), F.col(f"recent_n_{a}")).alias(m) for m, a in _RECENT_OF.items()])
+
+
 def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, months: int = 6,
                       days: int = 7) -> DataFrame:
     """many long-term snapshots at once.
 
-    ``dates`` (a short list or a 1-column ``snapshot_date`` frame, bounded by the
-    number of snapshot dates) is range-joined to the claims: each claim is
-    replicated once per snapshot whose window covers it, then one hash aggregate
-    by (snapshot_date, provider) computes both horizons.
+    ``dates``: a short list or a 1-column ``snapshot_date`` frame, bounded by the number of
+    snapshot dates.  Claims are aggregated once per (provider, day); all windows come from those.
     """
     if months < 1 or days < 1:
         raise ValueError("months and days must be >= 1")
@@ -225,36 +288,14 @@ def snapshot_backfill(claims: DataFrame, dates: Sequence[dt.date] | DataFrame, m
         lo, hi = min(dates), max(dates)
         dates = spark.createDataFrame([(d,) for d in sorted(set(dates))], "snapshot_date date")
         # literal pruning of the claims scan
-        lo_bound = dt.date(*_add_months(lo, -months), 1)
+        lo_bound = min(dt.date(*_add_months(lo, -months), 1), lo - dt.timedelta(days=days))
         claims = claims.where(F.col("service_date").between(F.lit(lo_bound), F.lit(hi)))
-    d = F.col("snapshot_date")
-    start = _long_term_start(d, months)
-    # Binned range join: each date is exploded into the month buckets its window
-    # touches (months + 1 rows per date; Spark broadcasts them when they are few);
-    # claims join on their own month bucket with a hash join, then the exact range
-    # is applied.  Cost is O(claims x matching dates), not O(claims x all dates).
-    month_idx = lambda c: F.year(c) * 12 + F.month(c)
-    bins = dates.select("snapshot_date", F.explode(F.sequence(month_idx(start), month_idx(d))).alias("__bucket"))
-    j = (claims.withColumn("__bucket", month_idx(F.col("service_date")))
-               .join(bins, "__bucket", "inner")
-               .where(F.col("service_date").between(start, d)).drop("__bucket"))
-    recent = F.col("service_date").between(F.date_sub(d, days - 1), d)
-    prov = j.groupBy("snapshot_date", "provider_id").agg(
-        flag_rate("is_high_acuity_em").alias("high_acuity_pct"),
-        flag_rate("is_99214").alias("pct_99214"),
-        flag_rate("is_99215").alias("pct_99215"),
-        flag_rate("is_referral").alias("referral_rate"),
-        flag_rate("is_eye_procedure").alias("eye_procedure_pct"),
-        money_avg("total_paid_amount").alias("avg_paid_per_claim"),
-        F.avg("member_provider_distance").alias("avg_member_provider_distance"),
-        count_if(recent).alias("claim_count_7d"),
-        F.avg(F.when(recent, F.col("is_high_acuity_em").cast("double"))).alias("high_acuity_pct_7d"),
-        F.avg(F.when(recent, F.col("is_referral").cast("double"))).alias("referral_rate_7d"),
-        (F.sum(F.when(recent, F.col("total_paid_amount"))).cast("double")
-         / F.count(F.when(recent, F.col("total_paid_amount")))).alias("avg_paid_per_claim_7d"),
-        F.avg(F.when(recent, F.col("member_provider_distance"))).alias("avg_member_provider_distance_7d"),
-    )
-    prov = materialize(prov)
+    daily = materialize(daily_partials(claims))
+    return with_peer_ratios(materialize(snapshots_from_daily(daily, dates, months, days)))
+
+
+def with_peer_ratios(prov: DataFrame) -> DataFrame:
+    """The snapshot table's columns: measures with their ratio to the mean of all providers of the date."""
     # one baseline row per snapshot date
     base = prov.groupBy("snapshot_date").agg(
         F.avg("high_acuity_pct").alias("expected_high_acuity_pct"),
@@ -284,6 +325,16 @@ def latest_as_of(history: DataFrame, as_of: dt.date, key: str = "entity_id", ts:
     return latest_per(h, [key], [ts, *[c for c in history.columns if c not in (key, ts)]])
 
 
+def profiles_as_of(rows: DataFrame, history: DataFrame, row_time: str, key: str = "provider_id", ts: str = "feature_timestamp",
+                   not_null_col: str = "high_acuity_pct", take: Sequence[str] = tuple(LONG_TERM_FEATURES)) -> DataFrame:
+    """F8 for many rows: each row with the latest non-null profile of its entity at its own time.
+
+    ``row_time`` is a timestamp; a profile of the same time counts.
+    """
+    known = history.where(F.col(not_null_col).isNotNull())
+    return as_of_join(rows, known, [key], row_time, ts, take)
+
+
 # --------------------------------------------------------------------------- F7
 def short_term_snapshot(claims: DataFrame, history: DataFrame, snapshot_date: dt.date, days: int = 7) -> DataFrame:
     """providers with a claim in the last ``days``; carries the latest long-term profile."""
@@ -311,6 +362,42 @@ def short_term_snapshot(claims: DataFrame, history: DataFrame, snapshot_date: dt
     )
 
 
+def recent_from_daily(daily: DataFrame, days: int = 7) -> DataFrame:
+    """Measures of the trailing ``days`` for every (snapshot_date, provider) with a claim in them.
+
+    Each day with claims is followed by the days up to the next one, ``days`` - 1 at most; a range frame
+    over the days adds the partials up.  A provider's group has one row per day.
+    """
+    if days < 1:
+        raise ValueError("days must be >= 1")
+    names = _additive(daily)
+    w = Window.partitionBy("provider_id").orderBy("service_date")
+    last = F.least(F.date_add("service_date", days - 1), F.coalesce(F.date_sub(F.lead("service_date").over(w), 1), F.lit(dt.date.max)))
+    spread = daily.withColumn("__to", last).select(
+        "provider_id", F.explode(F.sequence("service_date", "__to")).alias("snapshot_date"), "service_date", *names)
+    own = F.col("service_date") == F.col("snapshot_date")  # the partials stand on their own day only
+    frame = Window.partitionBy("provider_id").orderBy(F.unix_date("snapshot_date")).rangeBetween(-(days - 1), 0)
+    added = spread.select("provider_id", "snapshot_date", *[F.sum(F.when(own, F.col(c))).over(frame).alias(c) for c in names])
+    return added.select("snapshot_date", "provider_id", F.col("claims").cast("long").alias("claim_count_7d"),
+                        *[_mean(F.col(f"sum_{a}"), F.col(f"n_{a}")).alias(m) for m, a in _RECENT_OF.items()])
+
+
+def short_term_backfill(claims: DataFrame, history: DataFrame, days: int = 7) -> DataFrame:
+    """F7 for every day: each (day, provider) with a claim in the last ``days``, the peer ratio of the
+    day, and the long-term profile as it was known on that day."""
+    s = materialize(recent_from_daily(daily_partials(claims), days))
+    # one row per day; summed as decimals, so that a mean does not depend on the order of its rows
+    rate = F.col("high_acuity_pct_7d")
+    base = s.groupBy("snapshot_date").agg(money_avg(rate.cast("decimal(20,12)")).alias("expected_high_acuity_pct_7d"))
+    s = s.withColumn("feature_timestamp", _snapshot_ts(F.col("snapshot_date")))
+    profile = history.select("provider_id", F.col("feature_timestamp").alias("__profile_ts"), *LONG_TERM_FEATURES)
+    j = profiles_as_of(s, profile, "feature_timestamp", ts="__profile_ts").join(base, "snapshot_date")
+    return j.select(
+        F.col("provider_id").alias("entity_id"), "provider_id", "feature_timestamp", *LONG_TERM_FEATURES,
+        "claim_count_7d", "high_acuity_pct_7d", "referral_rate_7d", "avg_paid_per_claim_7d", "avg_member_provider_distance_7d",
+        safe_div("high_acuity_pct_7d", "expected_high_acuity_pct_7d").alias("high_acuity_oe_ratio_7d"))
+
+
 # --------------------------------------------------------------------------- F10
 def default_snapshot_dates(df: DataFrame, date_col: str = "run_date") -> DataFrame:
     """previous month end (long-term) and yesterday (short-term) per run date."""
