@@ -40,7 +40,7 @@ from .common import bit_filter, maybe_in, written
 from .words import LOWER, hashes, mix, odd_numbers, parts, recode, texts_of
 
 #: Text that a task counts at once.
-_PART = 8 << 20
+_PART = 3 << 20
 
 _BYTES = np.arange(256)
 _BREAK = np.isin(_BYTES, list(b".,;:!?")) | ((_BYTES >= 0x0A) & (_BYTES <= 0x0D))
