@@ -10,8 +10,8 @@ Texts are cut only where the tokenizer's pre-tokenizer cuts in any context:
 A chunk's ids are therefore those it has within its text.  A text that contains the spelling of an
 added token goes to the tokenizer whole.
 
-What a worker has learned stays with it for later tasks (two generations of ``REMEMBER`` chunks), as
-Arrow strings and one array of ids; a batch looks all of its distinct chunks up at once.
+What a worker has learned stays with it for later tasks; a batch looks all of its distinct chunks
+up at once.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Chunks of a generation.
-REMEMBER = 400_000
+from .idcache import IdCache, Made, runs
+
 #: Chunks given to the tokenizer in one call.
 _CALL = 4000
 #: Bytes of a long text that are encoded at once, and where the place of a cut is looked for.
@@ -75,20 +75,6 @@ class Coded(NamedTuple):
     counts: np.ndarray
 
 
-class _Known:
-    """Chunks and their ids, in the order learned."""
-
-    def __init__(self) -> None:
-        self.chunks = pa.array([], pa.large_binary())
-        self.ends = np.zeros(1, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def add(self, chunks: pa.Array, size: np.ndarray, ids: np.ndarray) -> None:
-        self.chunks = pa.concat_arrays([self.chunks, chunks])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size)])
-        self.ids = np.concatenate([self.ids, ids])
-
-
 class Encoder:
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -101,7 +87,7 @@ class Encoder:
         self.begins[[i for w, i in vocab.items() if w.startswith("Ġ")]] = True
         self.feeds = np.zeros(len(self.begins), bool)  # the line feed's id
         self.feeds[[i for w, i in vocab.items() if w == "Ċ"]] = True
-        self.now, self.before = _Known(), _Known()
+        self.known = IdCache(self._made)
 
     def encode(self, texts: pa.Array) -> Coded:
         """Ids of ``texts`` (strings without nulls)."""
@@ -120,13 +106,13 @@ class Encoder:
         at = np.flatnonzero(cut)
         chunks = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(raw)])
         coded = chunks.dictionary_encode()
-        begin, count, flat = self._lookup(coded.dictionary)
+        begin, count, flat = self.known.lookup(coded.dictionary)
         codes = np.asarray(coded.indices, dtype=np.int64)
-        n = count[codes] if len(codes) else codes
-        total = np.concatenate([[0], np.cumsum(n)])
-        take = np.arange(int(total[-1])) - np.repeat(total[:-1], n) + np.repeat(begin[codes] if len(codes) else n, n)
+        if not len(codes):
+            return Coded(flat[:0], np.zeros(len(texts), np.int64))
+        total = np.concatenate([[0], np.cumsum(count[codes])])
         ends = np.searchsorted(at, np.concatenate([first, [len(raw)]]))
-        return Coded(flat[take], total[ends[1:]] - total[ends[:-1]])
+        return Coded(runs(flat, begin[codes], begin[codes] + count[codes]), total[ends[1:]] - total[ends[:-1]])
 
     def encode_long(self, text: pa.Scalar) -> np.ndarray:
         """Ids of one text, in steps of about ``STEP`` bytes that end before a space behind a solid ASCII character."""
@@ -145,32 +131,6 @@ class Encoder:
             start = stop
         return np.concatenate(made)
 
-    def _lookup(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """First place and number of every chunk's ids in an array of ids."""
-        where = pc.index_in(chunks, value_set=self.now.chunks) if len(self.now.chunks) else pa.nulls(len(chunks), pa.int32())
-        missing = np.asarray(where.is_null())
-        if missing.any():
-            new = chunks.filter(pa.array(missing))
-            if len(self.before.chunks):
-                old = pc.index_in(new, value_set=self.before.chunks)
-                there = old.is_valid()
-                place = np.asarray(old.filter(there), dtype=np.int64)
-                self._learn(new.filter(there), self.before.ends[place + 1] - self.before.ends[place],
-                            _ranges(self.before.ids, self.before.ends[place], self.before.ends[place + 1]))
-                new = new.filter(old.is_null())
-            self._learn(new, *self._made(new))
-            where = pc.index_in(chunks, value_set=self.now.chunks)
-        place = np.asarray(where, dtype=np.int64)
-        known = self.now
-        if len(known.chunks) > REMEMBER:
-            self.before, self.now = known, _Known()
-        return known.ends[place], known.ends[place + 1] - known.ends[place], known.ids
-
-    def _learn(self, chunks: pa.Array, size: np.ndarray, ids: np.ndarray) -> None:
-        if len(chunks):
-            # a copy of its own: the chunks share the batch's text
-            self.now.add(pa.concat_arrays([chunks, pa.array([], chunks.type)]), size, ids)
-
     def _made(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each chunk, and the ids.
 
@@ -180,15 +140,7 @@ class Encoder:
         spelled = chunks.cast(pa.large_string())
         behind = np.asarray(pc.match_substring_regex(spelled, r"^ [\x21-\x7E\p{L}]+$"))
         bare = np.asarray(pc.match_substring_regex(spelled, r"^[\x21-\x7E\p{L}]+$"))
-        count = np.zeros(len(chunks), np.int64)
-        made: list[np.ndarray] = [np.zeros(0, np.uint32)]
-        order: list[np.ndarray] = []
-
-        def plain(some: np.ndarray, each: list[list[int]]) -> None:
-            count[some] = [len(x) for x in each]
-            made.append(np.array([i for x in each for i in x], np.uint32))
-            order.append(some)
-
+        made = Made(len(chunks))
         for kind, mark, first in ((behind, "", self.begins), (bare, "\n", self.feeds)):
             at = np.flatnonzero(kind)
             lists = [at[k:k + _JOIN] for k in range(0, len(at), _JOIN)]
@@ -197,41 +149,25 @@ class Encoder:
                 ids = np.array(got.ids, np.uint32)
                 begin = np.flatnonzero(first[ids])
                 if len(begin) != len(some) or begin[0]:
-                    plain(some, self._each(spelled, some))
+                    made.put_each(some, self._each(spelled, some))
                     continue
                 size = np.diff(np.append(begin, len(ids)))
-                if mark:
-                    ids, size = np.delete(ids, begin), size - 1
-                count[some] = size
-                made.append(ids)
-                order.append(some)
+                made.put(some, size - 1 if mark else size, np.delete(ids, begin) if mark else ids)
         at = np.flatnonzero(~behind & ~bare)
         for k in range(0, len(at), _CALL):
-            plain(at[k:k + _CALL], self._each(spelled, at[k:k + _CALL]))
-        flat = np.concatenate(made)
-        places = np.concatenate(order) if order else np.zeros(0, np.int64)
-        begin = np.zeros(len(chunks), np.int64)
-        begin[places] = np.cumsum(count[places]) - count[places]
-        return count, _ranges(flat, begin, begin + count)
+            made.put_each(at[k:k + _CALL], self._each(spelled, at[k:k + _CALL]))
+        return made.result()
 
     def _each(self, spelled: pa.Array, some: np.ndarray) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(spelled.take(pa.array(some)).to_pylist(), add_special_tokens=False)]
 
 
-def _ranges(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The runs ``values[begin:end]`` one after the other."""
-    n = end - begin
-    total = np.cumsum(n)
-    return values[np.arange(int(total[-1])) - np.repeat(total - n, n) + np.repeat(begin, n)] if len(n) else values[:0]
-
-
-_KEPT: dict[int, Encoder] = {}
+_KEPT: dict[str, Encoder] = {}
 
 
 def encoder_of(tokenizer: str) -> Encoder:
     """This worker's encoder for the tokenizer file's text; it outlives a task."""
-    key = hash(tokenizer)
-    if key not in _KEPT:
+    if tokenizer not in _KEPT:
         _KEPT.clear()
-        _KEPT[key] = Encoder(tokenizer)
-    return _KEPT[key]
+        _KEPT[tokenizer] = Encoder(tokenizer)
+    return _KEPT[tokenizer]

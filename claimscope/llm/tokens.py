@@ -19,6 +19,7 @@ whose pre-tokenizer never joins characters across white space, or letters with o
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -30,14 +31,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shared_folder, shuffle_partitions
+from .idcache import IdCache, Made, runs
 from .words import LOWER, parts, recode, texts_of
 
 #: Set bits between two sampled positions of a select structure.
 SAMPLE = 256
 #: Ids of a segment, as a target: a segment ends with the document that reaches it.
 SEGMENT = 1 << 20
-#: Encoded words of a generation; a task remembers two.
-_REMEMBER = 150_000
+#: Words of letters that are encoded joined.
+_JOIN = 500
 
 SCHEMA = ("shard int, segment int, n_docs long, n_null long, n_tokens long, width int, ids binary, "
           "end_low binary, end_high binary, end_bits int, end_sample binary, "
@@ -104,6 +106,31 @@ def ef_decode(ef: EliasFano) -> np.ndarray:
     return out
 
 
+#: _PLACE[byte, k]: the place of the k-th set bit of a byte.
+_BITS = (np.arange(256)[:, None] >> np.arange(8)) & 1
+_PLACE = np.argsort(-_BITS, axis=1, kind="stable").astype(np.uint8)
+_ONES = _BITS.sum(axis=1)
+
+
+def ef_select_many(ef: EliasFano, ks: np.ndarray) -> np.ndarray:
+    """The numbers at the positions ``ks`` (from 0), without decoding the others."""
+    ks = np.asarray(ks, np.int64)
+    if not len(ks):
+        return np.zeros(0, np.uint64)
+    if ks.min() < 0 or ks.max() >= ef.n:
+        raise IndexError(f"positions are 0..{ef.n - 1}")
+    high = np.frombuffer(ef.high, np.uint8)
+    before = np.concatenate([[0], np.cumsum(_ONES[high])])
+    byte = np.searchsorted(before, ks, side="right") - 1
+    place = byte * 8 + _PLACE[high[byte], ks - before[byte]]
+    out = (place - ks).astype(np.uint64) << np.uint64(ef.bits)
+    low = np.frombuffer(ef.low, np.uint8)
+    for b in range(ef.bits):
+        at = ks * ef.bits + b
+        out |= ((low[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(np.uint64) << np.uint64(b)
+    return out
+
+
 def _segment(shard: int, number: int, ids: np.ndarray, ends: np.ndarray, docs: list, width: int) -> dict:
     null = sum(d is None for d in docs)
     known = np.array([d for d in docs if d is not None], np.int64)
@@ -125,6 +152,7 @@ class _Encoder:
     """
 
     def __init__(self, tokenizer: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
@@ -133,11 +161,7 @@ class _Encoder:
         self.last = np.zeros(self.largest + 1, bool)  # ids that end a word
         self.last[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # for plain ASCII words the steps before the merges change nothing (tried out here)
-        self.plain = all([t.id for t in self.tokenizer.model.tokenize(w)] == self.tokenizer.encode(w, add_special_tokens=False).ids
-                         for w in ("a", "the", "zebra", "qxzwv", "internationally"))
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.known = IdCache(self._made)
 
     def words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All words of the texts, and their number per text."""
@@ -163,40 +187,40 @@ class _Encoder:
         n = total[np.searchsorted(at, first + size)] - total[np.searchsorted(at, first)]
         return runs.filter(pa.array(real)), n
 
-    def ids(self, words: list[str]) -> list[bytes]:
-        """The ids of each word, as little-endian 32-bit integers."""
-        new = []
-        for w in words:
-            if w not in self.now:
-                if w in self.before:
-                    self.now[w] = self.before[w]
-                else:
-                    new.append(w)
-        for at in range(0, len(new), 2000):
-            some = new[at:at + 2000]
-            if self.plain:
-                merge = self.tokenizer.model.tokenize
-                for w in some:
-                    if w.isascii() and w.isalpha() and w.islower():
-                        self.now[w] = np.array([t.id for t in merge(w)], "<u4").tobytes()
-                some = [w for w in some if w not in self.now]
-            self._learn([w for w in some if w.isalpha()], True)
-            self._learn([w for w in some if not w.isalpha()], False)
-        out = [self.now[w] for w in words]
-        if len(self.now) > _REMEMBER:
-            self.before, self.now = self.now, {}
-        return out
-
-    def _learn(self, words: list[str], letters: bool) -> None:
-        if letters and words:  # each word of letters ends with one id of a word's end
-            ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+    def _made(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and the ids.  Words of letters are encoded joined by spaces: each ends with
+        one id of a word's end."""
+        spelled = words.cast(pa.large_string())
+        letters = np.asarray(pc.utf8_is_alpha(spelled))
+        made = Made(len(words))
+        at = np.flatnonzero(letters)
+        lists = [at[k:k + _JOIN] for k in range(0, len(at), _JOIN)]
+        joined = [" ".join(spelled.take(pa.array(some)).to_pylist()) for some in lists]
+        for some, got in zip(lists, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(got.ids, np.uint32)
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(words):
-                for w, a, b in zip(words, [0, *ends[:-1].tolist()], ends.tolist()):
-                    self.now[w] = ids[a:b].tobytes()
-                return
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            self.now[w] = np.array(e.ids, "<u4").tobytes()
+            if len(ends) == len(some) and ends[-1] == len(ids):
+                made.put(some, np.diff(ends, prepend=0), ids)
+            else:
+                made.put_each(some, self._each(spelled, some))
+        at = np.flatnonzero(~letters)
+        for k in range(0, len(at), 2000):
+            made.put_each(at[k:k + 2000], self._each(spelled, at[k:k + 2000]))
+        return made.result()
+
+    def _each(self, spelled: pa.Array, some: np.ndarray) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(spelled.take(pa.array(some)).to_pylist(), add_special_tokens=False)]
+
+
+_KEPT: dict[str, _Encoder] = {}
+
+
+def _encoder_of(tokenizer: str) -> _Encoder:
+    """This worker's encoder; what it has learned outlives a task."""
+    if tokenizer not in _KEPT:
+        _KEPT.clear()
+        _KEPT[tokenizer] = _Encoder(tokenizer)
+    return _KEPT[tokenizer]
 
 
 def _encode(column: pa.Array, encoder: _Encoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -204,10 +228,7 @@ def _encode(column: pa.Array, encoder: _Encoder, end_id: int) -> tuple[np.ndarra
     words, per_text = encoder.words(texts_of(column))
     coded = words.dictionary_encode()
     codes = np.asarray(coded.indices, dtype=np.int64)
-    made = encoder.ids(coded.dictionary.cast(pa.large_string()).to_pylist())
-    size = np.fromiter(map(len, made), np.int64, len(made)) // 4
-    flat = np.frombuffer(b"".join(made), "<u4")
-    first = np.cumsum(size) - size
+    begin, size, flat = encoder.known.lookup(coded.dictionary)
     n = size[codes] if len(codes) else codes
     total = np.concatenate([[0], np.cumsum(n)])
     ends = np.concatenate([[0], np.cumsum(per_text)])
@@ -215,16 +236,16 @@ def _encode(column: pa.Array, encoder: _Encoder, end_id: int) -> tuple[np.ndarra
     # ids of the words in order, with a hole for the end id after every text
     text = np.repeat(np.arange(len(per_text)), per_text)
     put = np.arange(int(total[-1])) + np.repeat(text, n)
-    take = np.arange(int(total[-1])) - np.repeat(total[:-1], n) + np.repeat(first[codes] if len(codes) else n, n)
     out = np.full(int(total[-1]) + len(per_text), end_id, np.uint32)
-    out[put] = flat[take]
+    if len(codes):
+        out[put] = runs(flat, begin[codes], begin[codes] + n)
     return out, text_size
 
 
 def _segments(batches, tokenizer: str, end_id: int, segment: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    encoder = _Encoder(tokenizer)
+    encoder = _encoder_of(tokenizer)
     width = 2 if max(encoder.largest, end_id) < 1 << 16 else 4
     shard = TaskContext.get().partitionId()
     number, ids, sizes, docs, held = 0, [], [], [], 0
@@ -267,22 +288,49 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int, i
     return path
 
 
-def segment_starts(segments: DataFrame) -> DataFrame:
-    """(shard, segment, first): ids of all segments before each one."""
-    sizes = segments.select("shard", "segment", "n_tokens")
-    shards = sizes.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+def _ends(r) -> EliasFano:
+    return EliasFano(r["n_docs"], r["end_bits"], r["end_low"], r["end_high"], r["end_sample"])
+
+
+def _doc_ids(r) -> EliasFano:
+    return EliasFano(r["n_docs"] - r["n_null"], r["doc_bits"], r["doc_low"], r["doc_high"], r["doc_sample"])
+
+
+def segment_starts(segments: DataFrame, size: str = "n_tokens") -> DataFrame:
+    """(shard, segment, first): ids (or documents) of all segments before each one."""
+    sizes = segments.select("shard", "segment", F.col(size).cast("long").alias("n"))
+    shards = sizes.groupBy("shard").agg(F.sum("n").alias("n"))
     # one row per shard (as many as the writing job had tasks)
     before = shards.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
-    inside = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("segment")) - F.col("n_tokens")
+    inside = F.sum("n").over(Window.partitionBy("shard").orderBy("segment")) - F.col("n")
     return sizes.join(before, "shard").select("shard", "segment", (F.col("before") + inside).alias("first"))
 
 
+def _picked(batches, position: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for r in batch.to_pylist():
+            k = position - r["first"]
+            begin = ef_select(_ends(r), k - 1) if k else 0
+            end = ef_select(_ends(r), k)
+            name = None if k < r["n_null"] else (ef_select(_doc_ids(r), k - r["n_null"]) + r["doc_base"] + (1 << 63)) % (1 << 64) - (1 << 63)
+            ids = np.frombuffer(r["ids"], f"<u{r['width']}")[begin:end]
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([end - begin], pa.int64()), pa.array([ids.tolist()], pa.list_(pa.int64()))],
+                                             names=["doc_id", "n_tokens", "ids"])
+
+
+def document_at(spark: SparkSession, path: str, position: int) -> DataFrame:
+    """The document at ``position`` (from 0, ascending ids): two selects in one segment, nothing else is decoded."""
+    segments = spark.read.schema(SCHEMA).parquet(path)
+    rows = segments.join(segment_starts(segments, "n_docs"), ["shard", "segment"])
+    one = rows.where((F.col("first") <= position) & (F.col("first") + F.col("n_docs") > position))
+    return one.mapInArrow(lambda b: _picked(b, position), "doc_id long, n_tokens long, ids array<long>")
+
+
 def _unpack(batches, crc: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for r in batch.to_pylist():
-            ends = ef_decode(EliasFano(r["n_docs"], r["end_bits"], r["end_low"], r["end_high"], r["end_sample"])).astype(np.int64)
-            known = r["n_docs"] - r["n_null"]
-            doc = ef_decode(EliasFano(known, r["doc_bits"], r["doc_low"], r["doc_high"], r["doc_sample"]))
+            ends = ef_select_many(_ends(r), np.arange(r["n_docs"])).astype(np.int64)
+            doc = ef_decode(_doc_ids(r))
             doc = (doc + np.uint64(r["doc_base"] % (1 << 64))).view(np.int64)
             ids = np.frombuffer(r["ids"], f"<u{r['width']}").astype("<u4")
             begin = np.concatenate([[0], ends[:-1]])

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from claimscope.llm import bytebpe, clustering, collocations, packing
+from claimscope.llm import bytebpe, clustering, collocations, idcache, packing
 from claimscope.llm.plans import QUERIES
 
 from .conftest import lower
@@ -172,7 +172,7 @@ def test_byte_bpe_equals_the_library():
 
 def test_byte_bpe_of_long_texts_and_forgotten_chunks(monkeypatch):
     monkeypatch.setattr(bytebpe, "STEP", 300)
-    monkeypatch.setattr(bytebpe, "REMEMBER", 20)
+    monkeypatch.setattr(idcache, "REMEMBER", 20)
     tok = Tokenizer.from_file(TOKENIZER)
     with open(TOKENIZER, encoding="utf-8") as f:
         enc = bytebpe.Encoder(f.read())

@@ -283,6 +283,27 @@ def test_license_bounds_lose_nothing(spark):
     assert {r.doc_id: r.licenses for r in licenses.license_report(frame(spark, rows)).collect()} == want
 
 
+def test_select_gives_offsets_and_single_documents(spark):
+    rng = np.random.default_rng(2)
+    for n, top in ((1, 0), (1, 10**12), (700, 3), (3000, 10**6), (2000, 2**63)):
+        values = np.sort(rng.integers(0, top + 1, n, dtype=np.uint64))
+        ef = tokens.ef_encode(values)
+        ks = rng.integers(0, n, 300)
+        assert (tokens.ef_select_many(ef, ks) == values[ks]).all()
+        assert [tokens.ef_select(ef, int(k)) for k in ks[:50]] == values[ks[:50]].tolist()
+    with pytest.raises(IndexError):
+        tokens.ef_select_many(ef, np.array([n]))
+    rows = [(None, "lost"), (-2**63, "first words"), (-5, ""), (3, "a b c"), (3, "a b c"), (2**63 - 1, "the last")] + [(i, f"doc {i}") for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    path = tokens.write_tokens(df, BPE, shared_folder(spark), 2, segment=16)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    tok = Tokenizer.from_file(BPE)
+    for k in (0, 1, 2, 3, 4, 20, len(rows) - 1):
+        got = tokens.document_at(spark, path, k).collect()
+        assert [(r.doc_id, r.ids) for r in got] == [(order[k][0], tok.encode(order[k][1], add_special_tokens=False).ids + [2])]
+    assert tokens.document_at(spark, path, len(rows)).collect() == []
+
+
 # secrets ------------------------------------------------------------------------
 WORDS = secrets.vocabulary_words(BPE)
 RANKS = {w: i + 1 for i, w in enumerate(WORDS)}
