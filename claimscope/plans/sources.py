@@ -5,13 +5,15 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import round_doubles
+from ..functions.ranking import materialize
 from ..operators import features as fe
 from ..operators import investigation as iv
 from ..operators import scoring as sc
 from ..sources import adapters as ad
-from ..sources import io
+from ..sources import io, merge
 from ..sources import schemas as sch
 from . import features as pf
 from . import monitoring as pm
@@ -122,3 +124,51 @@ def q_s6(spark, sf_dir):
     io.write_partitioned(hist, path)
     back = spark.read.parquet(path)
     return round_doubles(back.select(*pf.HIST_COLS, "feature_date"), 6)
+
+
+# S5 / S4 on storage: only the partitions concerned are read and written
+HISTORY_SCHEMA = T.StructType([T.StructField("entity_id", T.StringType()), T.StructField("provider_id", T.StringType()),
+                               T.StructField("feature_timestamp", T.TimestampType())]
+                              + [T.StructField(c, T.LongType() if c == "claim_count_7d" else T.DoubleType())
+                                 for c in [*fe.LONG_TERM_FEATURES, *fe.SHORT_TERM_FEATURES]]
+                              + [T.StructField("feature_date", T.DateType())])
+# the merge brings the short-term rows of every month's last day (matched) and 15th (inserted)
+MERGE_DAYS_SQL = "day = last_day(day) OR date_part('day', day) = 15"
+
+
+def _merged_all_sql():
+    upd = set(fe.SHORT_TERM_FEATURES)
+    sel = ["COALESCE(t.{0}, s.{0}) AS {0}".format(c) if c in ("entity_id", "feature_timestamp") else
+           f"CASE WHEN {'s.entity_id IS NOT NULL' if c in upd else 't.entity_id IS NULL'} THEN s.{c} ELSE t.{c} END AS {c}" for c in pf.HIST_COLS]
+    parts = {**pf.SHORT_ALL_CTES, "src": f"SELECT * FROM (SELECT *, CAST(feature_timestamp AS DATE) AS day FROM st) WHERE {MERGE_DAYS_SQL}",
+             "m": "SELECT " + ", ".join(sel) + " FROM hist t FULL OUTER JOIN src s ON t.entity_id = s.entity_id AND t.feature_timestamp = s.feature_timestamp"}
+    return ctes(**parts) + "SELECT " + pf.rounded_select(pf.HIST_COLS, 6, pf.HIST_DOUBLES) + ", CAST(feature_timestamp AS DATE) AS feature_date FROM m"
+
+
+@register("s5_merge_dates", _merged_all_sql())
+def q_s5_dates(spark, sf_dir):
+    """The history of all month ends lies on storage; short-term snapshots of many days are merged into it, twice."""
+    hist = materialize(pf.full_history(spark, sf_dir))
+    path = io.shared_path(spark, "claimscope/merged_history")
+    io.write_partitioned(hist, path)
+    day = F.to_date("feature_timestamp")
+    src = materialize(pf.short_all(spark, sf_dir, hist).where((day == F.last_day(day)) | (F.dayofmonth(day) == 15)))
+    for _ in range(2):  # a repeated MERGE changes nothing
+        merge.merge_dates(path, src, HISTORY_SCHEMA, ["entity_id", "feature_timestamp"], fe.SHORT_TERM_FEATURES)
+    return round_doubles(merge.stored(spark, path, HISTORY_SCHEMA), 6)
+
+
+@register("s4_replace_slices", ctes(**{"preds": ad.RAW_PREDICTIONS_SQL, "cur": ps.CURATED_SQL}) + """,
+lr AS (SELECT model_name, model_version, run_id FROM preds GROUP BY 1, 2, 3
+       ORDER BY MAX(created_at) DESC, model_name DESC, run_id DESC LIMIT 1),
+np AS (SELECT p.* EXCLUDE (fraud_score), FLOOR(p.fraud_score * 10) / 10 AS fraud_score
+       FROM preds p JOIN lr USING (run_id, model_version)),
+nw AS (""" + ps.CURATED_SQL.replace("FROM preds", "FROM np") + """)
+SELECT * FROM cur WHERE (run_id, model_version) NOT IN (SELECT (run_id, model_version) FROM nw) UNION ALL SELECT * FROM nw""")
+def q_s4_storage(spark, sf_dir):
+    """All curated predictions on storage by run; the latest run is scored again and replaces its own slice."""
+    cur = materialize(ps.curated(spark, sf_dir))
+    path = io.shared_path(spark, "claimscope/predictions")
+    cur.write.partitionBy("run_id", "model_version").parquet(path)
+    merge.replace_slices(path, _rerun_slice(spark, sf_dir), cur.schema, ["run_id", "model_version"])
+    return merge.stored(spark, path, cur.schema).select(*cur.columns)
