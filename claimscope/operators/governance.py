@@ -15,8 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.asof import as_of_join
 from ..functions.columns import attach_scalars, count_if, reasons
-from ..functions.ranking import latest_per, top_k_per_group
+from ..functions.ranking import latest_per, materialize, row_number_by, top_k_per_group
 
 SUPPORTED_TYPES = ("random_forest", "xgboost")
 PENDING, APPROVED = "PENDING_APPROVAL", "APPROVED"
@@ -211,6 +212,51 @@ def active_model(ledger: DataFrame) -> DataFrame:
                       F.col("a.event_time").alias("last_event_time"), *[F.col(f"a.{c}").alias(c) for c in SNAPSHOT])
 
 
+def checked_ledger(ledger: DataFrame) -> DataFrame:
+    """G6 with optimistic locking: an event counts only if its ``from_*`` model is the active one at that time.
+
+    The first event of a key starts its chain.  After an event that counts, the next one that counts is the
+    first later event whose ``from_*`` is that event's ``to_*``: a pointer, found by an as-of join over
+    (key, model, position) that splits a hot key.  The events that the first one reaches are found by
+    pointer doubling, so a chain of n events takes about log2(n) joins and no task folds a whole key.
+
+    Returns every PROMOTION and ROLLBACK event with ``accepted``, the run that was active before it
+    (``active_run_id``; NULL before the first) and ``problem``.  Ties on event_time break by event_id; event ids are unique.
+    """
+    identity = lambda p: F.to_json(F.struct(F.col(f"{p}_model_resource").alias("m"), F.col(f"{p}_run_id").alias("r")))
+    ev = ledger.where(F.col("event_type").isin("PROMOTION", "ROLLBACK")).select(
+        "state_key", "event_id", "event_time", "event_type", "from_run_id", "to_run_id", identity("from").alias("__from"), identity("to").alias("__to"))
+    ev = materialize(row_number_by(ev, ["state_key"], ["event_time", "event_id"], out="__rn"))
+    # positions are negated: "the first later event" becomes "the latest one not after"
+    left = ev.select("state_key", F.col("__to").alias("__model"), "__rn", (-F.col("__rn") - 1).alias("__at"))
+    right = ev.select("state_key", F.col("__from").alias("__model"), (-F.col("__rn")).alias("__pos"), F.col("__rn").alias("__next"))
+    jump = materialize(as_of_join(left, right, ["state_key", "__model"], "__at", "__pos", ["__next"])
+                       .where(F.col("__next").isNotNull()).select("state_key", "__rn", "__next"))
+    reached = ev.where(F.col("__rn") == 1).select("state_key", "__rn")
+    while not jump.isEmpty():
+        step = reached.join(jump, ["state_key", "__rn"]).select("state_key", F.col("__next").alias("__rn"))
+        reached = materialize(reached.unionByName(step).distinct())
+        onward = jump.select("state_key", F.col("__rn").alias("__next"), F.col("__next").alias("__far"))
+        jump = materialize(jump.join(onward, ["state_key", "__next"]).select("state_key", "__rn", F.col("__far").alias("__next")))
+    marked = ev.join(reached.withColumn("accepted", F.lit(True)), ["state_key", "__rn"], "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+    marked = materialize(marked.withColumn("__before", F.col("__rn") - 1))
+    held = marked.where("accepted").select("state_key", F.col("__rn").alias("__since"), F.col("to_run_id").alias("active_run_id"))
+    seen = as_of_join(marked, held, ["state_key"], "__before", "__since", ["active_run_id"])
+    # Fixed value: the message of an aborted change.
+    problem = F.when(~F.col("accepted"), "Active model changed; event not applied")
+    return seen.select("state_key", "event_id", "event_time", "event_type", "from_run_id", "to_run_id", "active_run_id", "accepted",
+                       problem.alias("problem"))
+
+
+def checked_active_model(ledger: DataFrame) -> DataFrame:
+    """The active model per state key after the events that count, with the number of those that did not."""
+    seen = checked_ledger(ledger)
+    return seen.groupBy("state_key").agg(
+        F.max_by("to_run_id", F.when(F.col("accepted"), F.struct("event_time", "event_id"))).alias("run_id"),
+        F.max_by("event_id", F.when(F.col("accepted"), F.struct("event_time", "event_id"))).alias("last_event_id"),
+        F.count_if(~F.col("accepted")).alias("rejected_events"))
+
+
 # G7 -----------------------------------------------------------------------------
 def previous_model(ledger: DataFrame, state: DataFrame) -> DataFrame:
     """Per state key, the latest release event leading to the approved model and

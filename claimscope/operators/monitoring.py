@@ -339,3 +339,13 @@ def latest_run_rows(history: DataFrame, ts: str = "monitoring_timestamp", n: int
         return history.orderBy(F.col(ts).desc(), *[F.col(c) for c in history.columns if c != ts]).limit(n)
     mx = history.agg(F.max(ts).alias("__mx"))
     return history.join(F.broadcast(mx), F.col(ts) == F.col("__mx"), "left_semi")
+
+
+def latest_stored_rows(history: DataFrame, date_col: str, ts: str = "monitoring_timestamp") -> DataFrame:
+    """M12 on a history partitioned by ``date_col``: the newest date is read off the partitions, and its files alone are scanned.
+
+    The newest date is a scalar subquery over the partition column, which reads no data column; as a
+    partition filter it is evaluated before the scan, so older files are not opened however long the history is.
+    """
+    newest = history.agg(F.max(date_col)).scalar()
+    return latest_run_rows(history.where(F.col(date_col) == newest), ts)

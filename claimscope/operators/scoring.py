@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach_scalars, count_if, validate_names
-from ..functions.ranking import row_number_by
+from ..functions.fingerprints import BUCKETS, bucket_fingerprints, bucket_of, differing_buckets, rows_of
+from ..functions.ranking import materialize, row_number_by
 
 RUN_KEYS = ["model_name", "model_version", "run_id"]
 # Tier thresholds and texts of the curated prediction table.
@@ -84,6 +85,10 @@ def prediction_completeness(batch: DataFrame, raw: DataFrame, score_col: str = "
         count_if((F.col("__n") > 1) & known).alias("duplicated_providers"),
         F.coalesce(F.sum("__oor"), F.lit(0)).cast("long").alias("out_of_range_scores"),
         F.coalesce(F.sum("__null"), F.lit(0)).cast("long").alias("null_scores"))
+    return _completeness_status(agg)
+
+
+def _completeness_status(agg: DataFrame) -> DataFrame:
     # Failure reasons of the batch-output checks, first failing check wins.
     reason = (F.when(F.col("predicted_count") == 0, "zero successful prediction rows")
                .when(F.col("predicted_count") != F.col("input_count"), "prediction count does not match input count")
@@ -94,6 +99,34 @@ def prediction_completeness(batch: DataFrame, raw: DataFrame, score_col: str = "
     return agg.select("*", F.when(reason.isNull(), "PASS").otherwise("FAIL").alias("status"), reason.alias("reason"))
 
 
+def completeness_by_fingerprint(batch: DataFrame, raw: DataFrame, score_col: str = "fraud_score", buckets: int = BUCKETS) -> DataFrame:
+    """C3 for large runs: both sides send one fingerprint per id bucket; only buckets that differ are joined.
+
+    ``batch`` has one row per provider, as the batch input is made.  A bucket with equal fingerprints then holds
+    each of its providers once on both sides.
+    """
+    scores = raw.agg(
+        F.count(F.lit(1)).alias("predicted_count"), count_if(F.col("provider_id").isNull()).alias("lost_lineage_rows"),
+        count_if(F.col(score_col).isNotNull() & ((F.col(score_col) < 0) | (F.col(score_col) > 1))).alias("out_of_range_scores"),
+        count_if(F.col(score_col).isNull()).alias("null_scores"))
+    inputs = batch.agg(F.count("provider_id").alias("input_count"), count_if(F.col("provider_id").isNull()).alias("__nameless"))
+    differ = differing_buckets(bucket_fingerprints(batch, "provider_id", (), buckets), bucket_fingerprints(raw, "provider_id", (), buckets))
+    if differ:
+        b = rows_of(batch.where(F.col("provider_id").isNotNull()), "provider_id", differ, buckets).select("provider_id", F.lit(True).alias("__in"))
+        r = rows_of(raw.where(F.col("provider_id").isNotNull()), "provider_id", differ, buckets).groupBy("provider_id").agg(F.count(F.lit(1)).alias("__n"))
+        odd = b.join(r, "provider_id", "full_outer").agg(
+            count_if(F.col("__in") & F.col("__n").isNull()).alias("missing_providers"),
+            count_if(F.col("__in").isNull()).alias("unexpected_providers"), count_if(F.col("__n") > 1).alias("duplicated_providers"))
+    else:
+        odd = scores.select(*[F.lit(0).cast("long").alias(c) for c in ("missing_providers", "unexpected_providers", "duplicated_providers")])
+    j = attach_scalars(attach_scalars(scores, inputs), odd)
+    # a batch row without a provider is an input that can't be found again
+    nameless = F.least(F.col("__nameless"), F.lit(1))
+    agg = j.select((F.col("input_count") + nameless).alias("input_count"), "predicted_count", (F.col("missing_providers") + nameless).alias("missing_providers"),
+                   "unexpected_providers", "lost_lineage_rows", "duplicated_providers", "out_of_range_scores", "null_scores")
+    return _completeness_status(agg)
+
+
 def completeness_failures(batch: DataFrame, raw: DataFrame, n: int = 20) -> DataFrame:
     """Sample of failing providers for C3 (a bounded top-k listing by id)."""
     b = batch.select("provider_id").distinct().withColumn("__in", F.lit(True))
@@ -247,5 +280,42 @@ def score_parity(a: DataFrame, b: DataFrame, tol: float = 1e-6, key: str = "prov
                 count_if(F.col("__b").isNull()).alias("only_in_a"), count_if(F.col("__a").isNull()).alias("only_in_b"),
                 F.max(d).alias("max_abs_difference"), F.avg(d).alias("mean_abs_difference"),
                 count_if(d > tol).alias("providers_over_tolerance"))
+    return _parity_status(agg, tol)
+
+
+def _parity_status(agg: DataFrame, tol: float) -> DataFrame:
     ok = (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0) & F.coalesce(F.col("max_abs_difference") <= tol, F.lit(True))
     return agg.withColumn("parity_status", F.when(ok, "PASS").otherwise("FAIL"))
+
+
+def parity_by_fingerprint(a: DataFrame, b: DataFrame, tol: float = 1e-6, key: str = "provider_id", col: str = "fraud_score",
+                          buckets: int = BUCKETS) -> DataFrame:
+    """C11 for large score sets: id buckets whose (id, score) fingerprints are equal agree row by row and are not joined.
+
+    Ids are unique within a set and not null, as in ``score_parity``'s inputs.  Buckets with a null score are joined.
+    """
+    def prints(df, side):
+        f = bucket_fingerprints(df, key, [col], buckets)
+        gaps = df.where(F.col(key).isNotNull()).groupBy(bucket_of(key, buckets).alias("bucket")).agg((F.count(F.lit(1)) - F.count(col)).alias("gaps"))
+        # a bucket with nulls must be joined: its fingerprint gets a mark that the other side never has
+        return f.join(gaps, "bucket").withColumn("f2", F.when(F.col("gaps") > 0, F.lit(side).cast("decimal(38,0)")).otherwise(F.col("f2")))
+    x, y = materialize(prints(a, -1)), materialize(prints(b, -2))
+    differ = differing_buckets(x, y)
+    same = x.where(~F.col("bucket").isin(differ)).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("__same"))
+    if differ:
+        p = rows_of(a, key, differ, buckets).select(key, F.col(col).alias("__a"))
+        q = rows_of(b, key, differ, buckets).select(key, F.col(col).alias("__b"))
+        d = F.abs(F.col("__a") - F.col("__b"))
+        odd = p.join(q, key, "full_outer").agg(
+            count_if(F.col("__a").isNotNull() & F.col("__b").isNotNull()).alias("m"), count_if(F.col("__b").isNull()).alias("only_in_a"),
+            count_if(F.col("__a").isNull()).alias("only_in_b"), F.max(d).alias("most"), F.sum(d).alias("total"), count_if(d > tol).alias("over"))
+    else:
+        zero = F.lit(0).cast("long")
+        odd = same.select(zero.alias("m"), zero.alias("only_in_a"), zero.alias("only_in_b"), F.lit(None).cast("double").alias("most"),
+                          F.lit(None).cast("double").alias("total"), zero.alias("over"))
+    j = attach_scalars(odd, same)
+    equal = F.when(F.col("__same") > 0, F.lit(0.0))
+    matched = F.col("m") + F.col("__same")
+    return _parity_status(j.select(
+        matched.alias("matched_providers"), "only_in_a", "only_in_b", F.greatest("most", equal).alias("max_abs_difference"),
+        F.try_divide(F.coalesce("total", equal), matched.cast("double")).alias("mean_abs_difference"), F.col("over").alias("providers_over_tolerance")), tol)

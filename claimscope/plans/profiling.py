@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import sketches as sk
 from ..functions.columns import pct2_expr, round_doubles
+from ..functions.ranking import materialize
 from ..operators import features as fe
 from ..operators import profiling as pr
 from ..sources import adapters as ad
@@ -192,3 +196,36 @@ def q_v14(spark, sf_dir):
 def q_v15(spark, sf_dir):
     return round_doubles(pr.label_separability(ad.claims(spark, sf_dir)), 6)
 
+
+# distinct members per provider and month from daily sketches, next to the exact count
+@register("v1_member_sketches", CL + """
+SELECT provider_id, CAST(date_trunc('month', service_date) AS DATE) AS month, COUNT(DISTINCT member_id) AS unique_members, TRUE AS sketch_in_bound
+FROM claims GROUP BY 1, 2""")
+def q_member_sketches(spark, sf_dir):
+    claims = ad.claims(spark, sf_dir).select("provider_id", "service_date", "member_id")
+    daily = materialize(sk.distinct_sketches(claims, ["provider_id", "service_date"], "member_id"))
+    month = F.trunc("service_date", "month").alias("month")
+    guess = sk.distinct_estimates(daily, ["provider_id", month], out="estimate")
+    exact = claims.groupBy("provider_id", month).agg(F.count_distinct("member_id").alias("unique_members"))
+    return exact.join(guess, ["provider_id", "month"]).select(
+        "provider_id", "month", "unique_members", sk.distinct_in_bound(F.col("estimate"), F.col("unique_members")).alias("sketch_in_bound"))
+
+
+# the same daily sketches merged over any window: the trailing quarter and all time
+@register("v10_member_windows", CL + """, q AS (SELECT last_day(service_date) AS month_end, provider_id FROM claims GROUP BY 1, 2)
+SELECT q.provider_id, q.month_end, COUNT(DISTINCT member_id) AS unique_members, TRUE AS sketch_in_bound
+FROM q JOIN claims c ON c.provider_id = q.provider_id AND c.service_date <= q.month_end
+  AND c.service_date >= date_trunc('month', q.month_end) - INTERVAL 2 MONTH GROUP BY 1, 2""")
+def q_member_windows(spark, sf_dir):
+    """Distinct members of a provider's trailing three months for each month with claims."""
+    claims = ad.claims(spark, sf_dir).select("provider_id", "service_date", "member_id")
+    end = F.last_day("service_date")
+    monthly = materialize(sk.distinct_sketches(claims, ["provider_id", end.alias("month_end")], "member_id"))
+    # a month's sketch goes into three windows; windows without claims of their last month are not asked for
+    spread = monthly.select("provider_id", F.explode(F.array(*[F.last_day(F.add_months("month_end", k)) for k in range(3)])).alias("month_end"), "members")
+    guess = sk.distinct_estimates(spread, ["provider_id", "month_end"], out="estimate").join(monthly.select("provider_id", "month_end"), ["provider_id", "month_end"], "left_semi")
+    pairs = claims.select("provider_id", "member_id", end.alias("month_end")).distinct()
+    exact = (pairs.select("provider_id", "member_id", F.explode(F.array(*[F.last_day(F.add_months("month_end", k)) for k in range(3)])).alias("month_end"))
+                  .groupBy("provider_id", "month_end").agg(F.count_distinct("member_id").alias("unique_members")))
+    return exact.join(guess, ["provider_id", "month_end"]).select(
+        "provider_id", "month_end", "unique_members", sk.distinct_in_bound(F.col("estimate"), F.col("unique_members")).alias("sketch_in_bound"))

@@ -45,7 +45,7 @@ def q_c1(spark, sf_dir):
 
 
 # C3
-@register("c3_prediction_completeness", ctes(**pf.FEATURE_CTES, b=pm.BATCH_SQL, preds=ad.RAW_PREDICTIONS_SQL,
+C3_SQL = ctes(**pf.FEATURE_CTES, b=pm.BATCH_SQL, preds=ad.RAW_PREDICTIONS_SQL,
                                              runs=ad.EXPERIMENT_RUNS_SQL) + """,
 raw AS (SELECT * FROM preds WHERE run_id = (SELECT run_id FROM runs WHERE model_type = 'xgboost'
         ORDER BY created_at DESC, run_id DESC LIMIT 1)),
@@ -66,7 +66,10 @@ b2 AS (SELECT *, CASE WHEN predicted_count = 0 THEN 'zero successful prediction
     WHEN duplicated_providers > 0 THEN 'duplicate prediction for a provider'
     WHEN out_of_range_scores > 0 OR null_scores > 0 THEN 'prediction is not a probability'
     WHEN missing_providers > 0 OR unexpected_providers > 0 THEN 'provider lineage mismatch' END AS reason FROM a)
-SELECT * EXCLUDE (reason), CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, reason FROM b2""")
+SELECT * EXCLUDE (reason), CASE WHEN reason IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, reason FROM b2"""
+
+
+@register("c3_prediction_completeness", C3_SQL)
 def q_c3(spark, sf_dir):
     runs = ad.experiment_runs(spark, sf_dir).where("model_type = 'xgboost'")
     latest = runs.agg(F.max_by("run_id", F.struct("created_at", "run_id")).alias("run_id"))
@@ -247,7 +250,7 @@ def q_c10(spark, sf_dir):
 
 
 # C11: parity of the current scored run against its baseline run (M6)
-@register("c11_score_parity", pm._chain("preds", "scored", "now", "before").rstrip() + """,
+C11_SQL = pm._chain("preds", "scored", "now", "before").rstrip() + """,
 a AS (SELECT provider_id, fraud_score FROM preds, now WHERE run_id = x.r),
 b AS (SELECT provider_id, fraud_score FROM preds, before WHERE run_id = y.r),
 j AS (SELECT a.fraud_score AS sa, b.fraud_score AS sb FROM a FULL OUTER JOIN b USING (provider_id)),
@@ -256,10 +259,26 @@ g AS (SELECT COUNT(*) FILTER (WHERE sa IS NOT NULL AND sb IS NOT NULL) AS matche
         MAX(ABS(sa - sb)) AS max_abs_difference, ROUND(AVG(ABS(sa - sb)), 6) AS mean_abs_difference,
         COUNT(*) FILTER (WHERE ABS(sa - sb) > 1e-6) AS providers_over_tolerance FROM j)
 SELECT *, CASE WHEN only_in_a = 0 AND only_in_b = 0 AND COALESCE(max_abs_difference <= 1e-6, TRUE) THEN 'PASS'
-               ELSE 'FAIL' END AS parity_status FROM g""")
+               ELSE 'FAIL' END AS parity_status FROM g"""
+
+
+@register("c11_score_parity", C11_SQL)
 def q_c11(spark, sf_dir):
     preds = ad.raw_predictions(spark, sf_dir)
     runs = mo.resolve_score_runs(preds)
     pick = lambda role: preds.join(F.broadcast(runs.where(F.col("role") == role).select("run_id")), "run_id",
                                    "left_semi")
     return round_doubles(sc.score_parity(pick("CURRENT"), pick("BASELINE")), 6, ["mean_abs_difference"])
+
+
+@register("c3_completeness_by_fingerprint", C3_SQL)
+def q_c3_prints(spark, sf_dir):
+    return sc.completeness_by_fingerprint(pm.batch_input(spark, sf_dir), _latest_xgb_raw(spark, sf_dir))
+
+
+@register("c11_parity_by_fingerprint", C11_SQL)
+def q_c11_prints(spark, sf_dir):
+    preds = ad.raw_predictions(spark, sf_dir)
+    runs = mo.resolve_score_runs(preds)
+    a, b = (preds.join(F.broadcast(runs.where(F.col("role") == role).select("run_id")), "run_id", "left_semi") for role in ("CURRENT", "BASELINE"))
+    return round_doubles(sc.parity_by_fingerprint(a, b), 6, ["mean_abs_difference"])
