@@ -23,7 +23,10 @@ need not be the one that BPE merges reach; decoding gives the same text.
 Decoding: pieces are looked up by id, byte pieces are bytes, and the space in front goes.
 
 Edge cases: a null or empty text has no ids.  U+2581 in a text is a space, as in the library, so such a text
-does not decode to itself.  Bytes that are no UTF-8 decode to U+FFFD.  A word costs time with the square of its length.
+does not decode to itself.  Bytes that are no UTF-8 decode to U+FFFD.  A word longer than ``LONG`` bytes (a text without
+spaces) is cut about every ``SPAN`` characters at places where its best segmentation has an end of a piece; such parts are
+best segmented each on its own.  The places come from a pass that keeps the scores of the last positions only, so a word
+costs time and memory in proportion to its length, and no row of the lattice grows with it.
 """
 
 from __future__ import annotations
@@ -49,6 +52,8 @@ _WORD_BITS, _TASK_SHIFT = 24, 36
 SPREAD = 4
 #: Pieces of a vocabulary at most: what is broadcast.
 MOST_PIECES = 1 << 20
+#: Bytes from which a word is cut, and characters of a part at least.
+LONG, SPAN = 1024, 256
 _MARK = "▁"
 #: Bytes of an id on its way back to its block.
 _ID_BYTES = 3
@@ -94,7 +99,62 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(rows, bytes_from, model.trainer_spec.unk_id, hexes)
 
 
-def _units(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+class _Cutter:
+    """Finds places that the best segmentation of a long word goes through."""
+
+    def __init__(self, pieces: Pieces):
+        self.score = {t: s for t, _, s in pieces.rows}
+        self.longest = max(map(len, self.score))
+        self.unknown = min(self.score.values()) - _UNKNOWN_PENALTY
+
+    def places(self, word: str) -> list[int]:
+        """Positions in characters, ``SPAN`` apart at least, in ascending order."""
+        get, longest, unknown = self.score.get, self.longest, self.unknown
+        n = len(word)
+        back = np.zeros(n + 1, np.uint16 if longest < 1 << 16 else np.uint32)
+        window = [0.0]  # scores of the last positions, up to the one before `end`
+        for end in range(1, n + 1):
+            start = end - len(window)
+            top, length = -np.inf, 1
+            for i, before in enumerate(window, start):  # on equal scores the longer piece stays
+                price = get(word[i:end])
+                if price is None:
+                    if end - i > 1:
+                        continue
+                    price = unknown
+                if before + price > top:
+                    top, length = before + price, end - i
+            back[end] = length
+            window.append(top)
+            if len(window) > longest:
+                del window[0]
+        ends, at = [], n
+        while at > 0:
+            ends.append(at)
+            at -= int(back[at])
+        out, last = [], 0
+        for e in reversed(ends):
+            if e - last >= SPAN and n - e >= SPAN:
+                out.append(e)
+                last = e
+        return out
+
+
+def _cut_long(raw: np.ndarray, at: np.ndarray, cutter: _Cutter) -> np.ndarray:
+    """``at`` with further beginnings inside words of more than ``LONG`` bytes."""
+    ends = np.append(at[1:], len(raw))
+    more = []
+    for k in np.flatnonzero(ends - at > LONG).tolist():
+        word = raw[at[k]:ends[k]].tobytes().decode()
+        last, byte = 0, int(at[k])
+        for e in cutter.places(word):
+            byte += len(word[last:e].encode())
+            more.append(byte)
+            last = e
+    return np.sort(np.concatenate([at, np.array(more, np.int64)])) if more else at
+
+
+def _units(column: pa.Array, cutter: _Cutter) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts (each with its spaces in front), and the number of words per text."""
     texts = pc.replace_substring(texts_of(column), _MARK, " ")
     empty = np.asarray(pc.equal(texts, ""))
@@ -106,19 +166,20 @@ def _units(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     cut = feed.copy()
     cut[1:] |= (space[1:] & ~space[:-1]) | feed[:-1]
     cut[first[~empty]] = True
-    at = np.flatnonzero(cut)
+    at = _cut_long(raw, np.flatnonzero(cut), cutter)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(at, len(raw)).astype(np.int64)), pa.py_buffer(raw)])
     n = np.searchsorted(at, first + size) - np.searchsorted(at, first)
     return words, n
 
 
-def _blocks(batches, block_bytes: int):
+def _blocks(batches, block_bytes: int, pieces):
     """(block number, ids, text hashes, words) of every block of a task."""
     from pyspark import TaskContext
 
     task, number = TaskContext.get().partitionId(), 0
+    cutter = _Cutter(pieces.value)
     for whole in _gathered(batches, block_bytes):
-        words, n = _units(whole.column(2))
+        words, n = _units(whole.column(2), cutter)
         coded = words.dictionary_encode()
         if number >> (_TASK_SHIFT - _WORD_BITS) or len(coded.dictionary) >> _WORD_BITS:
             raise ValueError("too many blocks in a task, or words in a block")
@@ -139,8 +200,8 @@ def _gathered(batches, block_bytes: int):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _emit_words(batches, block_bytes: int):
-    for block, _, _, coded in _blocks(batches, block_bytes):
+def _emit_words(batches, block_bytes: int, pieces):
+    for block, _, _, coded in _blocks(batches, block_bytes, pieces):
         words = coded.dictionary
         for at in range(0, len(words), 50_000):
             some = words.slice(at, 50_000)
@@ -159,8 +220,8 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(4, n).T).reshape(-1).view("<u4").astype(np.int64)
 
 
-def _emit_blocks(batches, block_bytes: int):
-    for block, whole, n, coded in _blocks(batches, block_bytes):
+def _emit_blocks(batches, block_bytes: int, pieces):
+    for block, whole, n, coded in _blocks(batches, block_bytes, pieces):
         # frequent words get small numbers, which compress; `number` gives a word's place back
         codes = np.asarray(coded.indices, dtype=np.int64)
         order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
@@ -264,8 +325,9 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
     n = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    words = rows.mapInArrow(lambda b: _emit_words(b, block_bytes), "place long, word string")
-    blocks = rows.mapInArrow(lambda b: _emit_blocks(b, block_bytes), "block long, ids array<long>, h array<long>, n array<int>, "
+    shared = docs.sparkSession.sparkContext.broadcast(pieces)  # MOST_PIECES rows at most
+    words = rows.mapInArrow(lambda b: _emit_words(b, block_bytes, shared), "place long, word string")
+    blocks = rows.mapInArrow(lambda b: _emit_blocks(b, block_bytes, shared), "block long, ids array<long>, h array<long>, n array<int>, "
                              "codes binary, names binary, n_codes long, n_words long")
     keys = ["word", "zone"]
     placed = (words.withColumn("zone", F.expr(f"cast(shiftright(place, {_TASK_SHIFT}) div {ZONE} as int)"))

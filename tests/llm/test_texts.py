@@ -111,6 +111,50 @@ def test_pieces_equal_the_library(spark, small, documents, library):
         assert got[i] == (want, len(want), True)
 
 
+def plain_viterbi(word, pieces):
+    """Best segmentation of a word, keeping everything; on equal scores the longer piece into a position stays."""
+    table = {t: (i, s) for t, i, s in pieces.rows}
+    longest, worst = max(map(len, table)), min(s for _, _, s in pieces.rows) - 10.0
+    best, back = [0.0], [0]
+    for e in range(1, len(word) + 1):
+        options = [(best[s] + table[word[s:e]][1], s) for s in range(max(0, e - longest), e) if word[s:e] in table]
+        if word[e - 1] not in table:
+            options.append((best[e - 1] + worst, e - 1))
+        top = max(o[0] for o in options)
+        best.append(top)
+        back.append(min(s for x, s in options if x == top))
+    at, out = len(word), []
+    while at:
+        piece = word[back[at]:at]
+        out.append([table[piece][0]] if piece in table else [pieces.bytes_from + b for b in piece.encode()])
+        at = back[at]
+    return [i for x in reversed(out) for i in x]
+
+
+def test_long_words_are_cut_where_their_best_segmentation_passes(spark):
+    pieces = sp.load_pieces(MODEL)
+    rng = random.Random(5)
+    words = ["a" * 9000, "".join(rng.choices("ACGT", k=7000)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6000)), "ab" * 4000,
+             base64.b64encode(rng.randbytes(5000)).decode(), "".join(rng.choices("的一是不了人我在有他这\U0001F600é𐍈", k=3000)), "-=" * 2000 + "the", "x" * 1100]
+    df = frame(spark, [(i, w) for i, w in enumerate(words)] + [(90, words[0]), (91, "short " + words[1] + " tail"), (92, " " * 5000)])
+    got = {r.doc_id: r.ids for r in sp.encode(df, pieces).collect()}
+    for i, w in enumerate(words):
+        assert got[i] == plain_viterbi(" " + w, pieces), i
+    assert got[90] == got[0] and got[92] == plain_viterbi(" " * 5001, pieces)
+    assert got[91] == [x for w in (" short", " " + words[1], " tail") for x in plain_viterbi(w, pieces)]
+    back = spark.createDataFrame([(i, x) for i, x in got.items()], "doc_id int, ids array<int>").select("doc_id", sp.decode(F.col("ids"), pieces).alias("t"))
+    assert {r.doc_id: r.t for r in back.collect()} == {r.doc_id: r.text for r in df.collect()}
+
+
+def test_cuts_are_on_the_best_path_and_bounded():
+    pieces = sp.load_pieces(MODEL)
+    cutter = sp._Cutter(pieces)
+    word = "".join(random.Random(2).choices("abcdefgh", k=5000))
+    cuts = [0, *cutter.places(word), 5000]
+    assert all(sp.SPAN <= b - a <= 2 * sp.SPAN + cutter.longest for a, b in zip(cuts, cuts[1:]))
+    assert [i for a, b in zip(cuts, cuts[1:]) for i in plain_viterbi(word[a:b], pieces)] == plain_viterbi(word, pieces)
+
+
 def test_pieces_edge_cases(spark, library):
     texts = ["", None, "  two  spaces \n\n x", "日本語 😀 café\t\x07", "a" * 2000, " ", "\n", "wörld! wörld!", " " * 34 + "x", "�￿"]
     pieces = sp.load_pieces(MODEL)
