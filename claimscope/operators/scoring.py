@@ -222,13 +222,16 @@ def curate_classes(raw: DataFrame, runs: DataFrame, model_type: str, positive: s
                    features: DataFrame | None = None, means: DataFrame | None = None,
                    cols: Sequence[str] = (), prediction_date=None, created_at=None) -> DataFrame:
     """Binary class output -> score 1.0/0.0, HIGH/LOW, rank by class then id,
-    lineage of the latest run of the model type; optional reason codes (C8)."""
+    lineage of the latest run of the model type; optional reason codes (C8).
+
+    A prediction that is no class number gives no row, as in C6; C4 counts those rows.
+    """
     if prediction_date is None or created_at is None:
         raise ValueError("pass prediction_date and created_at explicitly")
     cls = F.col("prediction").try_cast("int")
     pos = cls == int(positive)
-    r = raw.select(F.col("provider_id").cast("string").alias("provider_id"),
-                   F.when(pos, 1.0).otherwise(0.0).alias("fraud_score"))
+    r = raw.where(cls.isNotNull()).select(F.col("provider_id").cast("string").alias("provider_id"),
+                                          F.when(pos, 1.0).otherwise(0.0).alias("fraud_score"))
     if features is not None:
         r = r.join(features, "provider_id", "inner")
         r = reason_codes(r, means, cols, 3, "zero")

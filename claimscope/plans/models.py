@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
+from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_doubles
@@ -10,15 +14,13 @@ from ..operators import models as mdl
 from ..operators import performance as pe
 from ..operators import scoring as sc
 from ..sources import adapters as ad
-from ..sources import io
+from ..session import ensure_checkpoint_dir
 from . import features as pf
 from . import monitoring as pm
 from . import performance as pp
 from .catalog import ctes, register
 
 MATCHED = ctes(**pp.BASE)
-#: Boosting rounds of the model that c2_score registers (t3 trains all rounds).
-C2_ROUNDS = 20
 
 
 def _train_test(spark, sf_dir, cols):
@@ -42,41 +44,49 @@ def q_t1(spark, sf_dir):
     return mdl.training_readiness(pf.fixture_features(spark, sf_dir), fe.RF_FEATURES)
 
 
+def _saved(spark, sf_dir, name, model_class, fit):
+    """The model of a data directory: fitted by the first query that needs it, loaded from the shared folder by the others."""
+    key = hashlib.sha256(f"{name}:{os.path.abspath(sf_dir) if '://' not in sf_dir else sf_dir}".encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimscope/models/{spark.sparkContext.applicationId}/{name}-{key}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/metadata/_SUCCESS")
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        fit().write().overwrite().save(path)
+    return model_class.load(path)
+
+
 def _forest(spark, sf_dir):
     train, test = _train_test(spark, sf_dir, fe.RF_FEATURES)
-    return mdl.train_random_forest(train, fe.RF_FEATURES), test
+    return _saved(spark, sf_dir, "random_forest", RandomForestClassificationModel, lambda: mdl.train_random_forest(train, fe.RF_FEATURES)), test
+
+
+def _boosted(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir, fe.XGB_FEATURES)
+    return _saved(spark, sf_dir, "boosted_trees", GBTClassificationModel, lambda: mdl.train_gbt(train, fe.XGB_FEATURES)), test
+
+
+def _scores(test, model, cols):
+    return sc.score(sc.batch_input(test, cols, split=None), model, cols)
 
 
 @register("t2_random_forest_scores")
 def q_t2(spark, sf_dir):
     model, test = _forest(spark, sf_dir)
-    return sc.score(sc.batch_input(test, fe.RF_FEATURES, split=None), model, fe.RF_FEATURES)
+    return _scores(test, model, fe.RF_FEATURES)
 
 
-# C2 scores registered models: fitted once, saved, loaded again by a step that knows only the path
-def _reloaded(spark, model):
-    path = io.shared_path(spark, "claimscope/model")
-    model.write().save(path)
-    return type(model).load(path)
+@register("t3_gbt_scores")
+def q_t3(spark, sf_dir):
+    model, test = _boosted(spark, sf_dir)
+    return _scores(test, model, fe.XGB_FEATURES)
 
 
+# C2 scores registered models: a step that knows only their path loads them
 @register("c2_score")
 def q_c2(spark, sf_dir):
     forest, test = _forest(spark, sf_dir)
-    train, test_gbt = _train_test(spark, sf_dir, fe.XGB_FEATURES)
-    boosted = mdl.train_gbt(train, fe.XGB_FEATURES, {**mdl.GBT_PARAMS, "n_estimators": C2_ROUNDS})
-    parts = [sc.score(sc.batch_input(data, cols, split=None), _reloaded(spark, model), cols)
-             .withColumn("model_name", F.lit(name))
-             for name, model, data, cols in (("random_forest", forest, test, fe.RF_FEATURES),
-                                             ("xgboost", boosted, test_gbt, fe.XGB_FEATURES))]
-    return parts[0].unionByName(parts[1])
-
-
-@register("t3_gbt_scores")
-def q_t3(spark, sf_dir):
-    train, test = _train_test(spark, sf_dir, fe.XGB_FEATURES)
-    model = mdl.train_gbt(train, fe.XGB_FEATURES)
-    return sc.score(sc.batch_input(test, fe.XGB_FEATURES, split=None), model, fe.XGB_FEATURES)
+    boosted, test_boosted = _boosted(spark, sf_dir)
+    return (_scores(test, forest, fe.RF_FEATURES).withColumn("model_name", F.lit("random_forest"))
+            .unionByName(_scores(test_boosted, boosted, fe.XGB_FEATURES).withColumn("model_name", F.lit("xgboost"))))
 
 
 @register("t4_standardise", ctes(**pf.FEATURE_CTES) + ", st AS (SELECT " + ", ".join(

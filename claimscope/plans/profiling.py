@@ -10,6 +10,7 @@ from ..functions.ranking import materialize
 from ..operators import features as fe
 from ..operators import profiling as pr
 from ..sources import adapters as ad
+from ..sources.layout import write_bucketed
 from . import features as pf
 from .catalog import ctes, register
 
@@ -229,3 +230,9 @@ def q_member_windows(spark, sf_dir):
                   .groupBy("provider_id", "month_end").agg(F.count_distinct("member_id").alias("unique_members")))
     return exact.join(guess, ["provider_id", "month_end"]).select(
         "provider_id", "month_end", "unique_members", sk.distinct_in_bound(F.col("estimate"), F.col("unique_members")).alias("sketch_in_bound"))
+
+
+# the provider summary from claims that lie in buckets by provider: no shuffle after the one that wrote them
+@register("v10_summary_from_buckets", CL + SUMMARY_SQL)
+def q_v10_buckets(spark, sf_dir):
+    return pr.provider_summary(write_bucketed(ad.claims(spark, sf_dir), "provider_id", 16))

@@ -68,3 +68,21 @@ def test_read_table_csv_declared_schema_failfast(spark):
     bad.coalesce(1).write.option("header", "true").csv(path + "/bad")
     with pytest.raises(Exception):
         read_table(spark, path + "/bad", schema, "csv").collect()
+
+
+def test_bucketed_claims_are_aggregated_without_a_shuffle(spark):
+    from claimscope.sources.layout import write_bucketed
+
+    rows = spark.range(1000).selectExpr("CAST(id % 37 AS STRING) AS provider_id", "CAST(id % 91 AS STRING) AS member_id", "id AS v")
+    table = write_bucketed(rows, "provider_id", 8)
+    got = table.groupBy("provider_id").agg(F.count_distinct("member_id").alias("m"), F.sum("v").alias("v"))
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text
+    joined = table.groupBy("provider_id").agg(F.count("*").alias("n")).join(got, "provider_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = rows.groupBy("provider_id").agg(F.count_distinct("member_id").alias("m"), F.sum("v").alias("v"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -59,3 +59,13 @@ def test_queue_needs_no_label_column(spark):
     assert queue_summary(queue).collect()[0].investigation_count == 3
     done = spark.sql("SELECT 'P9' AS provider_id, 'CONFIRMED_FRAUD' AS investigation_result UNION ALL SELECT 'P8', 'PENDING'")
     assert {r.provider_id for r in open_queue(queue, done).collect()} == {"P8", "P7"}
+
+
+def test_classes_that_are_no_number_give_no_row(spark):
+    from claimscope.operators.scoring import curate_classes, invalid_predictions
+
+    raw = spark.createDataFrame([("a", "-1"), ("b", "1"), ("c", "oops"), ("d", None), ("e", "")], "provider_id string, prediction string")
+    runs = spark.sql("SELECT 'isolation_forest' AS model_type, 'e' AS experiment_id, 'r' AS run_id, 'n' AS experiment_name, timestamp'2024-01-01' AS created_at")
+    got = curate_classes(raw, runs, "isolation_forest", "-1", prediction_date="2024-01-02", created_at="2024-01-02 00:00:00").collect()
+    assert sorted((r.provider_id, r.fraud_score, r.risk_category) for r in got) == [("a", 1.0, "HIGH"), ("b", 0.0, "LOW")]
+    assert invalid_predictions(raw).collect()[0].invalid_predictions == 2
