@@ -6,8 +6,10 @@ words: all of them), repeats included.  Bit b of a fingerprint is set when it is
 more than half of the shingles' XXH64 values (seed 42).
 
 Links: fingerprints that differ in at most ``radius`` bits.  The 64 bits are cut into
-``radius + 2`` blocks, so two linked fingerprints agree in two blocks at least; each pair
-of blocks is a table, and only fingerprints of one bucket of one table are compared.
+``radius + k`` blocks, so two linked fingerprints agree in k blocks at least; each choice of
+k blocks is a table, and only fingerprints of one bucket of one table are compared.  k is 2 (15 tables with
+21-bit keys for radius 4) and grows with the number of rows (3: 35 tables with 27-bit keys), so that
+buckets stay small; the links are the same.
 Equal fingerprints are one row from the start.  A bucket of more than ``BUCKET`` rows is
 cut into chunks, and each pair of chunks is its own group, so no task holds a whole hot
 bucket.  A group gives a spanning forest of its links, never all pairs.
@@ -80,11 +82,19 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHI
     return with_arrow(docs, text_col, start, [T.StructField(out, T.LongType())], drop_text=drop_text)
 
 
-def _tables(radius: int) -> list[int]:
-    """Bit masks of two of ``radius + 2`` blocks of the 64 bits."""
-    cuts = np.linspace(0, 64, radius + 3).round().astype(int).tolist()
-    blocks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts[:-1], cuts[1:])]
-    return [x | y for x, y in combinations(blocks, 2)]
+def _tables(radius: int, agree: int = 2) -> list[int]:
+    """Bit masks of every choice of ``agree`` of ``radius + agree`` blocks of the 64 bits."""
+    edges = np.linspace(0, 64, radius + agree + 1).round().astype(int).tolist()
+    blocks = [((1 << (b - a)) - 1) << a for a, b in zip(edges[:-1], edges[1:])]
+    return [sum(chosen) for chosen in combinations(blocks, agree)]
+
+
+def blocks_to_agree(rows: int, radius: int = RADIUS, bucket: int = BUCKET) -> int:
+    """How many blocks a table's key should have, so that evenly spread rows fill a quarter of a bucket at most."""
+    agree = 2
+    while agree < 6 and rows > (bucket // 4) << (64 * agree // (radius + agree)):
+        agree += 1
+    return agree
 
 
 def _signed(x: int) -> int:
@@ -198,12 +208,15 @@ def _compare(batches, radius: int):
         yield edges(held.combine_chunks())
 
 
-def near_edges(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """Edges (u, v) that connect all distinct long fingerprints ``fp`` within ``radius`` bits of each other."""
+def near_edges(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET, agree: int = 2) -> DataFrame:
+    """Edges (u, v) that connect all distinct long fingerprints ``fp`` within ``radius`` bits of each other.
+
+    ``agree``: blocks of a table's key.
+    """
     n = shuffle_partitions(prints.sparkSession)
     keyed = prints.select("fp", F.explode(F.array(*[
         F.struct(F.lit(t).cast("byte").alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
-        for t, m in enumerate(_tables(radius))])).alias("k")).select("k.t", "k.key", "fp")
+        for t, m in enumerate(_tables(radius, agree))])).alias("k")).select("k.t", "k.key", "fp")
     full = (keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket)
             .select("t", "key", F.ceil(F.col("n") / bucket).cast("int").alias("chunks")))
     cut = keyed.join(full, ["t", "key"], "left").select(
@@ -219,7 +232,7 @@ def near_edges(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) ->
 def _components(prints: DataFrame, radius: int) -> DataFrame:
     """(fp, root): the component of every distinct fingerprint of ``prints``."""
     one = prints.select("fp").distinct()
-    roots = components(near_edges(one, radius))
+    roots = components(near_edges(one, radius, agree=blocks_to_agree(prints.count(), radius)))
     return one.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -228,8 +241,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: id, ``fp``, ``component_id`` (the smallest id that links reach)."""
     prints = written(with_fingerprint(docs.select(id_col, text_col), text_col, shingle, drop_text=True))
     part = written(_components(prints, radius))
-    named = (prints.groupBy("fp").agg(F.min(id_col).alias("least")).join(part, "fp")
-             .groupBy("root").agg(F.min("least").alias("component_id")))
+    # a table of its own, so that Spark can split a large component's rows in the join
+    named = written(prints.groupBy("fp").agg(F.min(id_col).alias("least")).join(part, "fp")
+                    .groupBy("root").agg(F.min("least").alias("component_id")))
     return prints.join(part.join(named, "root").select("fp", "component_id"), "fp")
 
 

@@ -50,6 +50,18 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def test_more_blocks_give_the_same_components(spark):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    fp = {int(x) for b in base for x in [b, *(b ^ np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, k, replace=False).astype(np.uint64)) for k in (1, 3, 4, 5))]}
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fp], "fp long")
+    def parts(agree):
+        return {(r.u, r.root) for r in components(simhash.near_edges(df, 4, agree=agree)).collect()}
+    assert parts(2) == parts(3) == parts(4) and len(parts(2)) > 100
+    assert [simhash.blocks_to_agree(n) for n in (10, 10**8, 10**9, 10**11)] == [2, 2, 3, 4]
+    assert len(simhash._tables(4, 3)) == 35 and all(m.bit_count() >= 27 for m in simhash._tables(4, 3))
+
+
 def test_simhash_equals_brute_force(spark, small, documents):
     ids, fp = zip(*sorted((i, fingerprint(t)) for i, t in documents))
     a = np.array(fp, np.uint64)
