@@ -1,21 +1,27 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-One model per class, over words cut to their first ``STEM`` characters:
+One model per class, over whole words:
 
     P_c(w) = max(n_c(w) - D, 0) / n_c  +  D * N_c / n_c * K(w)
     K(w)   = distinct words before w in the texts of all documents (continuation counts)
 
 n_c counts words of the class, N_c its distinct ones.  K is shared by the classes and needs no label, so an
-expression that is rare in one class, or in labelled rows, gets there what it has in the language at large.  A
-text's evidence is the mean over its words of ln P_1 - ln P_0; differences below ``MARGIN`` count as
-none, since whole languages and topics are a little commoner in one class.  A logistic curve
-fitted on labelled rows that gave no counts turns the evidence into a score.  (With bigrams
-as a level above, held-out ranking was worse: most bigrams of labelled text occur once.)
+expression that is rare in one class, or in labelled rows, gets there what it has in the language at large.
+A toxic text is ordinary but for a few expressions, so its words are drawn from a mixture,
 
-Words: A-Z lower-cased, runs of ASCII letters, digits and characters above U+007F.  The
-vocabulary holds words counted ``LEAST`` times or more, at most ``VOCABULARY`` of them (the most
-frequent); others are one unknown word.  The vocabulary and K are counted over every document, n_c over
-labelled training rows; ``LABELS`` bounds how many of these are used, and the table that is broadcast with it.
+    P_toxic text(w) = (1 - e) * P_0(w) + e * P_1(w),
+
+and the evidence m of a text of n words is the mean over them of ln P_toxic text(w) - ln P_0(w).  Its spread falls with the
+length, so a logistic curve over m, m * sqrt(n) and ln n turns it into a score.  The curve and the share e are
+fitted on labelled rows that gave no counts.
+(With bigrams as a level above, held-out ranking was worse: most bigrams of labelled text occur once.)
+
+Words: A-Z lower-cased, runs of ASCII letters, digits and characters above U+007F.  A run with characters
+of scripts that are written without spaces counts as its overlapping pairs of characters.
+
+A word that no labelled row has gets the same ratio of backoff weights whatever its K is; so the model is that
+constant and one number for each distinct word of the labelled training rows.  ``LABELS`` bounds how many
+of these rows are used, and with them what is broadcast; K is counted over every document.
 
 Edge cases: a null or wordless text gets the share of toxic training rows.  Several labels
 of one id count as toxic if any is.  Null ids and null labels teach nothing.  Without rows of
@@ -34,106 +40,107 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import crc32_of, with_arrow, written
-from .words import FOLD, hashes, parts, texts_of, words_of
+from .words import FOLD, hashes, mix, parts, texts_of, words_of
 
-VOCABULARY = 1 << 18
 LABELS = 1 << 18
-STEM = 5
-LEAST = 5
 DISCOUNT = 0.75
-MARGIN = 2.0
-#: Word codes: unknown, start of a text, then the vocabulary.
-_UNKNOWN, _START, _FIRST = 0, 1, 2
-_SHIFT = 32
+#: Shares of toxic expressions that are tried.
+SHARES = (0.5, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002)
+#: Thai to Myanmar, Khmer, and the ideographs, kana and their supplements.
+_UNSPACED = "[\\x{0E00}-\\x{0EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{2E80}-\\x{A4CF}\\x{F900}-\\x{FAFF}\\x{FF66}-\\x{FF9F}\\x{20000}-\\x{3FFFF}]"
+#: Bits of the word before in the key of a pair; the others are of the word.
+_BEFORE = 24
 
 
 class Model(NamedTuple):
-    """Sorted vocabulary hashes, evidence of every word code, the logistic curve, the share of toxic rows."""
+    """Sorted hashes of the labelled words, ln P_1 / P_0 of each, that of all other words, the share e, the curve's
+    weights (of m, m * sqrt(n), ln n and 1), the shortest and longest n it was fitted on, the share of toxic rows."""
 
     words: np.ndarray
-    evidence: np.ndarray
-    slope: float
-    shift: float
+    ratio: np.ndarray
+    other: float
+    mixed: float
+    curve: tuple[float, ...]
+    span: tuple[float, float]
     share: float
 
 
-def _stems(texts: pa.Array):
-    """Distinct stems' hashes, the stem of every word, offsets."""
-    w = words_of(texts, FOLD)
-    stem = pc.utf8_slice_codeunits(w.vocab, 0, STEM).dictionary_encode()
-    of_word = np.asarray(stem.indices, dtype=np.int64)
-    return hashes(stem.dictionary), of_word[w.codes] if len(w.codes) else np.zeros(0, np.int64), w.offsets
-
-
-def frequent(counted: DataFrame, most: int) -> DataFrame:
-    """The rows of (..., n) with the largest n, as many as come to ``most`` at most, ties together."""
-    step = F.floor(F.log2(F.col("n").cast("double")) * 64).cast("int")
-    sizes = counted.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("s")).collect()
-    least, total = None, 0
-    for r in sizes:
-        total += r.k
-        if total > most:
-            break
-        least = r.s
-    return counted.where(step >= least) if least is not None else counted.limit(0)
+class Tokens(NamedTuple):
+    """Distinct words' hashes, the word at every place, offsets of the texts."""
+
+    hash: np.ndarray
+    codes: np.ndarray
+    offsets: np.ndarray
 
 
-def _word_counts(batches):
+def tokens(texts: pa.Array) -> Tokens:
+    w = words_of(texts, FOLD)
+    dense = np.asarray(pc.match_substring_regex(w.vocab, _UNSPACED)) if len(w.vocab) else np.zeros(0, bool)
+    if not dense.any():
+        return Tokens(hashes(w.vocab), w.codes, w.offsets)
+    # a run without spaces becomes its pairs of characters
+    made, per_word = [], np.ones(len(w.vocab), np.int64)
+    for i, (word, split) in enumerate(zip(w.vocab.to_pylist(), dense.tolist())):
+        grams = [word[k:k + 2] for k in range(max(1, len(word) - 1))] if split else [word]
+        per_word[i] = len(grams)
+        made += grams
+    coded = pa.array(made, pa.string()).dictionary_encode()
+    gram = np.asarray(coded.indices, dtype=np.int64)
+    first = np.cumsum(per_word) - per_word
+    n = per_word[w.codes]
+    total = np.concatenate([[0], np.cumsum(n)])
+    take = np.arange(int(total[-1])) - np.repeat(total[:-1], n) + np.repeat(first[w.codes], n)
+    return Tokens(hashes(coded.dictionary), gram[take], total[w.offsets])
+
+
+def _texts(part: pa.RecordBatch, name: str = "text") -> pa.Array:
+    return texts_of(part.column(part.schema.get_field_index(name)))
+
+
+def _pairs(batches):
+    """Every (word, word before) of a part once, in one number: the word's first bits, then some of the other's."""
+    keep = np.uint64((1 << _BEFORE) - 1)
     for batch in batches:
-        for part in parts(batch, "text"):
-            h, codes, _ = _stems(texts_of(part.column(part.schema.get_field_index("text"))))
-            n = np.bincount(codes, minlength=len(h)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+        for part in parts(batch, "text", 4 << 20):
+            t = tokens(_texts(part))
+            h = t.hash[t.codes] if len(t.codes) else np.zeros(0, np.uint64)
+            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])[:len(h)]
+            before[t.offsets[:-1][np.diff(t.offsets) > 0]] = 0  # the start of a text
+            key = np.unique((h & ~keep) | (mix(before) & keep))
+            for at in range(0, len(key), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(key[at:at + 100_000].view(np.int64))], names=["key"])
 
 
-def _codes(texts: pa.Array, vocabulary: np.ndarray):
-    """Word codes and offsets."""
-    h, codes, offsets = _stems(texts)
-    if len(vocabulary):
-        at = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-        code = np.where(vocabulary[at] == h, at + _FIRST, _UNKNOWN)
-    else:
-        code = np.zeros(len(h), np.int64)
-    return (code[codes] if len(codes) else codes), offsets
+def _class_counts(batches):
+    for batch in batches:
+        for part in parts(batch, "text", 4 << 20):
+            t = tokens(_texts(part))
+            toxic = np.repeat(np.asarray(part.column(part.schema.get_field_index("toxic"))), np.diff(t.offsets))
+            n1 = np.bincount(t.codes, weights=toxic, minlength=len(t.hash)).astype(np.int64)
+            n = np.bincount(t.codes, minlength=len(t.hash)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(t.hash.view(np.int64)), pa.array(n - n1), pa.array(n1)], names=["h", "n0", "n1"])
 
 
-def _pairs(batches, vocabulary):
-    """Every (word before, word) of a part, once."""
-    for batch in batches:
-        for part in parts(batch, "text", 8 << 20):
-            code, off = _codes(texts_of(part.column(part.schema.get_field_index("text"))), vocabulary.value)
-            before = np.concatenate([[_START], code[:-1]])[:len(code)]
-            before[off[:-1][np.diff(off) > 0]] = _START
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique((before << _SHIFT) | code))], names=["key"])
+def log_ratios(n0: np.ndarray, n1: np.ndarray, before: np.ndarray, all_before: float, words: float) -> tuple[np.ndarray, float]:
+    """ln P_1 / P_0 of the labelled words, and that of any other word.
 
+    ``before``: the words' continuation counts; ``all_before``: the sum of all words' counts, ``words`` their number.
+    """
+    again = (before + 0.5) / (all_before + 0.5 * words)
+    weight = [DISCOUNT * (n > 0).sum() / n.sum() for n in (n0, n1)]
+    p0, p1 = (np.maximum(n - DISCOUNT, 0) / n.sum() + w * again for n, w in zip((n0, n1), weight))
+    return np.log(p1) - np.log(p0), float(np.log(weight[1]) - np.log(weight[0]))
 
-def _class_counts(batches, vocabulary):
-    for batch in batches:
-        for part in parts(batch, "text", 8 << 20):
-            code, off = _codes(texts_of(part.column(part.schema.get_field_index("text"))), vocabulary.value)
-            toxic = np.repeat(np.asarray(part.column(part.schema.get_field_index("toxic"))), np.diff(off))
-            key, index = np.unique(code, return_inverse=True)
-            n1 = np.bincount(index, weights=toxic, minlength=len(key)).astype(np.int64)
-            n = np.bincount(index, minlength=len(key)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n - n1), pa.array(n1)], names=["code", "n0", "n1"])
-
-
-def _table(rows: DataFrame, size: int, *columns: str) -> list[np.ndarray]:
-    """Columns of (code, ...) as arrays indexed by word code."""
-    t = rows.toArrow()
-    code = t.column("code").to_numpy()
-    out = []
-    for c in columns:
-        x = np.zeros(size)
-        x[code] = t.column(c).to_numpy()
-        out.append(x)
-    return out
+
+def mixed_evidence(ratio: np.ndarray | float, share: float):
+    """ln of what the mixture gives a word, over what the ordinary model gives it."""
+    return np.logaddexp(np.log1p(-share), np.log(share) + ratio)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", vocabulary: int = VOCABULARY, max_labels: int = LABELS) -> Model:
-    """Count the language on all rows and the classes on labelled rows where ``train`` holds, fit the curve where ``tune`` holds (both over the column ``id``)."""
-    spark = docs.sparkSession
+        label_col: str = "toxic", max_labels: int = LABELS) -> Model:
+    """Count the language on all rows and the classes on labelled rows where ``train`` holds, fit the share and the curve
+    where ``tune`` holds (both over the column ``id``)."""
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).dropna()
                    .groupBy("id").agg(F.max("toxic").alias("toxic")).where(train | tune))
     n = marks.count()
@@ -141,74 +148,94 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col:
         marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(max_labels / n * (1 << 30)))
     # at most about max_labels rows of two numbers: that is what is broadcast
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    rows = docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(written(marks)), "id")
+    marks = written(marks)
+    rows = docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(marks), "id")
     counted, tuned = rows.where(train).select("text", "toxic"), rows.where(tune).select("text", "toxic")
-
-    corpus = docs.select(text)
-    counts = written(corpus.mapInArrow(_word_counts, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
-    words = np.sort(frequent(counts.where(F.col("n") >= LEAST), vocabulary).select("h").toArrow().column("h").to_numpy().view(np.uint64))
-    shared = spark.sparkContext.broadcast(words)
-    pairs = corpus.mapInArrow(lambda b: _pairs(b, shared), "key long").distinct()
-    classes = counted.mapInArrow(lambda b: _class_counts(b, shared), "code long, n0 long, n1 long")
-    # one row per word of the vocabulary
-    size = len(words) + _FIRST
-    before, = _table(pairs.groupBy(F.col("key").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("code")).agg(F.count(F.lit(1)).alias("k")), size, "k")
-    n0, n1 = _table(classes.groupBy("code").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), size, "n0", "n1")
     kinds = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     share = sum(k for t, k in kinds.items() if t) / max(1, sum(kinds.values()))
-    if not min(n0.sum(), n1.sum()):
-        return Model(words, np.zeros(0), 0.0, 0.0, share)
-    again = (before + 0.5) / (before + 0.5).sum()
-    p0, p1 = (np.maximum(n - DISCOUNT, 0) / n.sum() + DISCOUNT * (n > 0).sum() / n.sum() * again for n in (n0, n1))
-    ratio = np.log(p1) - np.log(p0)
-    evidence = np.sign(ratio) * np.maximum(np.abs(ratio) - MARGIN, 0)
-    model = Model(words, evidence, 1.0, 0.0, share)
-
-    # the evidence of the tuning rows, rounded: a bounded histogram
-    x = F.round(F.least(F.greatest("mean", F.lit(-8.0)), F.lit(8.0)), 3)
-    hist = (_evidence(tuned, model, "text").where(F.col("mean").isNotNull()).groupBy(x.alias("x"), "toxic").count().toArrow())
-    slope, shift = _logistic(hist.column("x").to_numpy(), (hist.column("toxic").to_numpy() > 0).astype(float), hist.column("count").to_numpy())
-    return model._replace(slope=slope, shift=shift)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, weak: float = 1e-3) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, by Newton steps on scaled x with a weak prior."""
-    if not len(x):
-        return 1.0, 0.0
-    middle, width = np.average(x, weights=n), max(float(np.sqrt(np.average((x - np.average(x, weights=n)) ** 2, weights=n))), 1e-6)
-    z = np.stack([(x - middle) / width, np.ones(len(x))], axis=1)
-    b = np.zeros(2)
-    for _ in range(50):
+
+    classes = written(counted.mapInArrow(_class_counts, "h long, n0 long, n1 long").groupBy("h")
+                             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    sums = classes.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
+    if not (sums.n0 and sums.n1):
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.5, (0.0,) * 4, (1.0, 1.0), share)
+    before = written(docs.select(text).mapInArrow(_pairs, "key long").distinct()
+                         .groupBy(F.shiftright("key", _BEFORE).alias("w")).agg(F.count(F.lit(1)).alias("k")))
+    total = before.agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("n")).first()
+    # the distinct words of the labelled rows: what the model is, and what is broadcast
+    known = (classes.join(before, F.shiftright("h", _BEFORE) == F.col("w")).select("h", "n0", "n1", "k").toArrow())
+    h = known.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    n0, n1, k = (known.column(c).to_numpy()[order].astype(float) for c in ("n0", "n1", "k"))
+    ratio, other = log_ratios(n0, n1, k, float(total.k), float(total.n))
+    model = Model(h[order], ratio, other, 0.5, (1.0, 0.0, 0.0, 0.0), (1.0, 1.0), share)
+
+    # the evidence of the tuning rows under every share: max_labels rows of a few numbers at most
+    got = _evidence(tuned, model, "text", SHARES).where("words > 0").select("means", "words", "toxic").toArrow()
+    if not got.num_rows:
+        return model
+    m = np.array(got.column("means").to_pylist(), float).reshape(got.num_rows, len(SHARES))
+    n = got.column("words").to_numpy().astype(float)
+    y = (got.column("toxic").to_numpy() > 0).astype(float)
+    fits = [(*_logistic(np.stack([m[:, i], m[:, i] * np.sqrt(n), np.log(n)], axis=1), y), e) for i, e in enumerate(SHARES)]
+    _, curve, mixed = min(fits)
+    return model._replace(mixed=mixed, curve=curve, span=(float(n.min()), float(n.max())))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, weak: float = 1e-3) -> tuple[float, tuple[float, ...]]:
+    """Loss and weights (the constant last) of a logistic curve, by Newton steps on scaled x with a weak prior."""
+    middle, width = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    z = np.hstack([(x - middle) / width, np.ones((len(x), 1))])
+    b = np.zeros(z.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-        step = np.linalg.solve((z.T * (n * p * (1 - p))) @ z + weak * np.eye(2), z.T @ (n * (y - p)) - weak * b)
-        b += np.clip(step, -2, 2)
+        step = np.linalg.solve((z.T * (p * (1 - p))) @ z + weak * np.eye(len(b)), z.T @ (y - p) - weak * b)
+        b += np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-9:
             break
-    return float(b[0] / width), float(b[1] - b[0] * middle / width)
+    at = z @ b
+    loss = float(np.mean(np.logaddexp(0, at) - y * at))
+    own = b[:-1] / width
+    return loss, (*map(float, own), float(b[-1] - own @ middle))
 
 
-def _evidence(docs: DataFrame, model: Model, text_col: str, drop_text: bool = True) -> DataFrame:
-    """``docs`` with ``mean``: the length-normalised log-likelihood ratio, null without words."""
+def _evidence(docs: DataFrame, model: Model, text_col: str, shares: tuple[float, ...] = (), drop_text: bool = True) -> DataFrame:
+    """``docs`` with ``words``, their number, and ``mean``, the length-normalised evidence (null without words), or ``means``,
+    one for each of ``shares``."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def start():
         m = Model(*shared.value)
+        own = [(mixed_evidence(m.ratio, e), float(mixed_evidence(m.other, e))) for e in shares or (m.mixed,)]
 
         def made(part):
-            codes, off = _codes(texts_of(part.column(part.schema.get_field_index(text_col))), m.words)
-            n = np.diff(off)
-            total = np.concatenate([[0.0], np.cumsum(m.evidence[codes])]) if len(m.evidence) else np.zeros(len(codes) + 1)
-            return [pa.array((total[off[1:]] - total[off[:-1]]) / np.maximum(n, 1), mask=n == 0)]
+            t = tokens(_texts(part, text_col))
+            n = np.diff(t.offsets)
+            at = np.minimum(np.searchsorted(m.words, t.hash), max(len(m.words) - 1, 0))
+            known = m.words[at] == t.hash if len(m.words) else np.zeros(len(t.hash), bool)
+            means = []
+            for value, other in own:
+                word = np.where(known, value[at], other) if len(m.words) else np.zeros(len(t.hash))
+                total = np.concatenate([[0.0], np.cumsum(word[t.codes])]) if len(t.codes) else np.zeros(1)
+                means.append((total[t.offsets[1:]] - total[t.offsets[:-1]]) / np.maximum(n, 1))
+            number = pa.array(n, pa.int64())
+            if not shares:
+                return [pa.array(means[0], mask=n == 0), number]
+            return [pa.array(np.stack(means, axis=1).tolist(), pa.list_(pa.float64())), number]
         return made
 
-    return with_arrow(docs, text_col, start, [T.StructField("mean", T.DoubleType())], drop_text=drop_text)
+    field = T.StructField("means", T.ArrayType(T.DoubleType())) if shares else T.StructField("mean", T.DoubleType())
+    return with_arrow(docs, text_col, start, [field, T.StructField("words", T.LongType())], drop_text=drop_text)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", drop_text: bool = True) -> DataFrame:
-    """``docs`` with ``mean`` and ``score`` (0 to 1)."""
-    got = _evidence(docs, model, text_col, drop_text)
-    curve = 1 / (1 + F.exp(-(F.col("mean") * model.slope + model.shift)))
-    return got.withColumn("score", F.coalesce(curve, F.lit(model.share)) if len(model.evidence) else F.lit(model.share))
+    """``docs`` with ``mean``, ``words`` and ``score`` (0 to 1)."""
+    got = _evidence(docs, model, text_col, drop_text=drop_text)
+    a, b, c, d = model.curve
+    # a text shorter or longer than all that the curve was fitted on counts as the nearest of them
+    m, n = F.col("mean"), F.least(F.greatest(F.col("words").cast("double"), F.lit(model.span[0])), F.lit(model.span[1]))
+    curve = 1 / (1 + F.exp(-(m * a + m * F.sqrt(n) * b + F.ln(n) * c + d)))
+    return got.withColumn("score", F.coalesce(curve, F.lit(model.share)) if len(model.words) else F.lit(model.share))
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from claimscope.llm import exact, langid, licenses, secrets, sentencepiece as sp
 from claimscope.llm.common import shared_folder, written
 from claimscope.llm.plans import ORACLE, QUERIES
 
+from .conftest import PLAIN_WORD, lower
 from .test_copies import contamination, fingerprint
 
 BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -265,11 +266,50 @@ def test_toxicity_counts_the_language_over_all_documents(spark):
     train, tune = F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 4, F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 4
     models = [toxicity.fit(d, labels, train, tune) for d in (docs, docs.unionByName(frame(spark, rest)))]
     zeta, vile = (np.uint64(xxhash.xxh64_intdigest(w.encode())) for w in ("zeta", "vile0"))
-    assert [zeta in m.words for m in models] == [False, True]
-    alone, shared = (m.evidence[np.searchsorted(m.words, vile) + 2] for m in models)
+    assert not any(zeta in m.words for m in models)  # no labelled row has it: it gets the constant of all such words
+    alone, shared = (m.ratio[np.searchsorted(m.words, vile)] for m in models)
     assert shared < alone  # it follows more words in the language, so it says less
-    at = np.searchsorted(models[1].words, zeta) + 2
-    assert models[1].evidence[at] == 0  # no labelled row has it
+
+
+def test_toxicity_model_equals_brute_force(spark):
+    docs, labels = toxic_frames(spark, 300)
+    docs = docs.unionByName(frame(spark, [(7000 + i, f"Extra-{i % 7} vile{i % 9} once{i} 罵倒する言葉{'あい'[i % 2]}") for i in range(40)]))
+    labels = labels.unionByName(frame(spark, [(7000 + i, i % 2) for i in range(40)], "doc_id long, toxic int"))
+    rows, truth = [(r.doc_id, r.text) for r in docs.collect()], {r.doc_id: r.toxic for r in labels.collect()}
+    dense = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\ua4cf\uf900-\ufaff]")
+
+    def words(text):
+        out = []
+        for w in PLAIN_WORD.findall(lower(text)):
+            out += [w[k:k + 2] for k in range(max(1, len(w) - 1))] if dense.search(w) else [w]
+        return out
+    before, counts = {}, ({}, {})
+    for i, text in rows:
+        w = words(text)
+        for a, b in zip([None, *w], w):
+            before.setdefault(b, set()).add(a)
+        if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3):
+            for x in w:
+                counts[truth[i]][x] = counts[truth[i]].get(x, 0) + 1
+    k = {w: len(s) for w, s in before.items()}
+    base = sum(k.values()) + 0.5 * len(k)
+    total, kinds = [sum(c.values()) for c in counts], [len(c) for c in counts]
+    p = lambda c, w: max(counts[c].get(w, 0) - 0.75, 0) / total[c] + 0.75 * kinds[c] / total[c] * (k[w] + 0.5) / base
+    fold = F.crc32(F.col("id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, labels, fold.between(1, 3), fold == 4)
+    got = dict(zip(model.words.tolist(), model.ratio))
+    want = {xxhash.xxh64_intdigest(w.encode()): np.log(p(1, w) / p(0, w)) for w in set(counts[0]) | set(counts[1])}
+    assert set(got) == set(want) and all(got[h] == pytest.approx(want[h]) for h in want)
+    assert model.other == pytest.approx(np.log(kinds[1] / total[1] * total[0] / kinds[0]))
+    e = model.mixed
+    scored = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    for i, text in rows[:40] + rows[-10:]:
+        m = np.mean([np.log(1 - e + e * p(1, w) / p(0, w)) for w in words(text)])
+        n = len(words(text))
+        a, b, c, d = model.curve
+        assert scored[i].mean == pytest.approx(m) and scored[i].words == n
+        n = min(max(n, model.span[0]), model.span[1])
+        assert scored[i].score == pytest.approx(1 / (1 + np.exp(-(a * m + b * m * n ** 0.5 + c * np.log(n) + d))))
 
 
 def test_toxicity_never_reads_held_out_labels(spark):
