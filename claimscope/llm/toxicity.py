@@ -3,7 +3,8 @@
 One model per class, over whole words:
 
     P_c(w) = max(n_c(w) - D, 0) / n_c  +  D * N_c / n_c * K(w)
-    K(w)   = distinct words before w in the texts of all documents (continuation counts)
+    K(w)   = distinct words before w in the texts of all documents (continuation counts), over the sum for all
+             words that labelled rows have
 
 n_c counts words of the class, N_c its distinct ones.  K is shared by the classes and needs no label, so an
 expression that is rare in one class, or in labelled rows, gets there what it has in the language at large.
@@ -21,7 +22,8 @@ of scripts that are written without spaces counts as its overlapping pairs of ch
 
 A word that no labelled row has gets the same ratio of backoff weights whatever its K is; so the model is that
 constant and one number for each distinct word of the labelled training rows.  ``LABELS`` bounds how many
-of these rows are used, and with them what is broadcast; K is counted over every document.
+of these rows are used, and with them what is broadcast; K is counted over every document.  Words before are told
+apart by a hash of 20 bits, so K lags behind for a word that follows hundreds of thousands of others.
 
 Edge cases: a null or wordless text gets the share of toxic training rows.  Several labels
 of one id count as toxic if any is.  Null ids and null labels teach nothing.  Without rows of
@@ -48,8 +50,8 @@ DISCOUNT = 0.75
 SHARES = (0.5, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002)
 #: Thai to Myanmar, Khmer, and the ideographs, kana and their supplements.
 _UNSPACED = "[\\x{0E00}-\\x{0EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{2E80}-\\x{A4CF}\\x{F900}-\\x{FAFF}\\x{FF66}-\\x{FF9F}\\x{20000}-\\x{3FFFF}]"
-#: Bits of the word before in the key of a pair; the others are of the word.
-_BEFORE = 24
+#: Bits of the word and of the word before in the key of a pair.
+_WORD, _BEFORE = 36, 20
 
 
 class Model(NamedTuple):
@@ -97,16 +99,25 @@ def _texts(part: pa.RecordBatch, name: str = "text") -> pa.Array:
     return texts_of(part.column(part.schema.get_field_index(name)))
 
 
-def _pairs(batches):
-    """Every (word, word before) of a part once, in one number: the word's first bits, then some of the other's."""
-    keep = np.uint64((1 << _BEFORE) - 1)
+def _short(h: np.ndarray) -> np.ndarray:
+    """The word's part of a pair's key."""
+    return h >> np.uint64(64 - _WORD)
+
+
+def _pairs(batches, words):
+    """Every (word of ``words``, word before) of a part once, in one number."""
+    wanted = words.value
     for batch in batches:
         for part in parts(batch, "text", 4 << 20):
             t = tokens(_texts(part))
-            h = t.hash[t.codes] if len(t.codes) else np.zeros(0, np.uint64)
-            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])[:len(h)]
+            if not len(t.codes):
+                continue
+            at = np.minimum(np.searchsorted(wanted, t.hash), len(wanted) - 1)
+            here = (wanted[at] == t.hash)[t.codes]
+            h = t.hash[t.codes]
+            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
             before[t.offsets[:-1][np.diff(t.offsets) > 0]] = 0  # the start of a text
-            key = np.unique((h & ~keep) | (mix(before) & keep))
+            key = np.unique((_short(h) << np.uint64(_BEFORE) | mix(before) >> np.uint64(64 - _BEFORE))[here])
             for at in range(0, len(key), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(key[at:at + 100_000].view(np.int64))], names=["key"])
 
@@ -121,12 +132,9 @@ def _class_counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(t.hash.view(np.int64)), pa.array(n - n1), pa.array(n1)], names=["h", "n0", "n1"])
 
 
-def log_ratios(n0: np.ndarray, n1: np.ndarray, before: np.ndarray, all_before: float, words: float) -> tuple[np.ndarray, float]:
-    """ln P_1 / P_0 of the labelled words, and that of any other word.
-
-    ``before``: the words' continuation counts; ``all_before``: the sum of all words' counts, ``words`` their number.
-    """
-    again = (before + 0.5) / (all_before + 0.5 * words)
+def log_ratios(n0: np.ndarray, n1: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, float]:
+    """ln P_1 / P_0 of the labelled words, whose continuation counts ``before`` is, and that of any other word."""
+    again = (before + 0.5) / (before + 0.5).sum()
     weight = [DISCOUNT * (n > 0).sum() / n.sum() for n in (n0, n1)]
     p0, p1 = (np.maximum(n - DISCOUNT, 0) / n.sum() + w * again for n, w in zip((n0, n1), weight))
     return np.log(p1) - np.log(p0), float(np.log(weight[1]) - np.log(weight[0]))
@@ -159,16 +167,20 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col:
     sums = classes.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
     if not (sums.n0 and sums.n1):
         return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.5, (0.0,) * 4, (1.0, 1.0), share)
-    before = written(docs.select(text).mapInArrow(_pairs, "key long").distinct()
-                         .groupBy(F.shiftright("key", _BEFORE).alias("w")).agg(F.count(F.lit(1)).alias("k")))
-    total = before.agg(F.sum("k").alias("k"), F.count(F.lit(1)).alias("n")).first()
     # the distinct words of the labelled rows: what the model is, and what is broadcast
-    known = (classes.join(before, F.shiftright("h", _BEFORE) == F.col("w")).select("h", "n0", "n1", "k").toArrow())
+    known = classes.toArrow()
     h = known.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
-    n0, n1, k = (known.column(c).to_numpy()[order].astype(float) for c in ("n0", "n1", "k"))
-    ratio, other = log_ratios(n0, n1, k, float(total.k), float(total.n))
-    model = Model(h[order], ratio, other, 0.5, (1.0, 0.0, 0.0, 0.0), (1.0, 1.0), share)
+    words = h[order]
+    n0, n1 = (known.column(c).to_numpy()[order].astype(float) for c in ("n0", "n1"))
+    wanted = docs.sparkSession.sparkContext.broadcast(words)
+    counted_pairs = (docs.select(text).mapInArrow(lambda b: _pairs(b, wanted), "key long").distinct()
+                         .groupBy(F.shiftright("key", _BEFORE).alias("w")).agg(F.count(F.lit(1)).alias("k")).toArrow())
+    short = counted_pairs.column("w").to_numpy()
+    place = np.argsort(short)
+    before = counted_pairs.column("k").to_numpy()[place][np.searchsorted(short[place], _short(words).astype(np.int64))]
+    ratio, other = log_ratios(n0, n1, before.astype(float))
+    model = Model(words, ratio, other, 0.5, (1.0, 0.0, 0.0, 0.0), (1.0, 1.0), share)
 
     # the evidence of the tuning rows under every share: max_labels rows of a few numbers at most
     got = _evidence(tuned, model, "text", SHARES).where("words > 0").select("means", "words", "toxic").toArrow()
