@@ -22,8 +22,8 @@ of scripts that are written without spaces counts as its overlapping pairs of ch
 
 A word that no labelled row has gets the same ratio of backoff weights whatever its K is; so the model is that
 constant and one number for each distinct word of the labelled training rows.  ``LABELS`` bounds how many
-of these rows are used, and with them what is broadcast; K is counted over every document.  Words before are told
-apart by a hash of 20 bits, so K lags behind for a word that follows hundreds of thousands of others.
+of these rows are used, and with them what is broadcast; K is counted over every document.  Words before that no
+labelled row has are told apart by a hash of 20 bits.
 
 Edge cases: a null or wordless text gets the share of toxic training rows.  Several labels
 of one id count as toxic if any is.  Null ids and null labels teach nothing.  Without rows of
@@ -50,8 +50,9 @@ DISCOUNT = 0.75
 SHARES = (0.5, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002)
 #: Thai to Myanmar, Khmer, and the ideographs, kana and their supplements.
 _UNSPACED = "[\\x{0E00}-\\x{0EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{2E80}-\\x{A4CF}\\x{F900}-\\x{FAFF}\\x{FF66}-\\x{FF9F}\\x{20000}-\\x{3FFFF}]"
-#: Bits of the word and of the word before in the key of a pair.
-_WORD, _BEFORE = 36, 20
+#: Bits of the hash that tells words before apart which no labelled row has.
+_OTHERS = 20
+_SHIFT = 32
 
 
 class Model(NamedTuple):
@@ -99,27 +100,22 @@ def _texts(part: pa.RecordBatch, name: str = "text") -> pa.Array:
     return texts_of(part.column(part.schema.get_field_index(name)))
 
 
-def _short(h: np.ndarray) -> np.ndarray:
-    """The word's part of a pair's key."""
-    return h >> np.uint64(64 - _WORD)
-
-
-def _pairs(batches, words):
-    """Every (word of ``words``, word before) of a part once, in one number."""
-    wanted = words.value
+def _pairs(batches, shared):
+    """Every (labelled word, word before) of a part once, in one number; frequent words have small numbers, which compress."""
+    words, rank = shared.value
     for batch in batches:
         for part in parts(batch, "text", 4 << 20):
             t = tokens(_texts(part))
             if not len(t.codes):
                 continue
-            at = np.minimum(np.searchsorted(wanted, t.hash), len(wanted) - 1)
-            here = (wanted[at] == t.hash)[t.codes]
-            h = t.hash[t.codes]
-            before = np.concatenate([np.zeros(1, np.uint64), h[:-1]])
-            before[t.offsets[:-1][np.diff(t.offsets) > 0]] = 0  # the start of a text
-            key = np.unique((_short(h) << np.uint64(_BEFORE) | mix(before) >> np.uint64(64 - _BEFORE))[here])
+            at = np.minimum(np.searchsorted(words, t.hash), len(words) - 1)
+            known = words[at] == t.hash
+            number = np.where(known, rank[at], len(words) + 1 + (mix(t.hash) >> np.uint64(64 - _OTHERS)).astype(np.int64))[t.codes]
+            before = np.concatenate([[0], number[:-1]])
+            before[t.offsets[:-1][np.diff(t.offsets) > 0]] = len(words)  # the start of a text
+            key = np.unique((number << _SHIFT | before)[known[t.codes]])
             for at in range(0, len(key), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(key[at:at + 100_000].view(np.int64))], names=["key"])
+                yield pa.RecordBatch.from_arrays([pa.array(key[at:at + 100_000])], names=["key"])
 
 
 def _class_counts(batches):
@@ -173,13 +169,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col:
     order = np.argsort(h)
     words = h[order]
     n0, n1 = (known.column(c).to_numpy()[order].astype(float) for c in ("n0", "n1"))
-    wanted = docs.sparkSession.sparkContext.broadcast(words)
-    counted_pairs = (docs.select(text).mapInArrow(lambda b: _pairs(b, wanted), "key long").distinct()
-                         .groupBy(F.shiftright("key", _BEFORE).alias("w")).agg(F.count(F.lit(1)).alias("k")).toArrow())
-    short = counted_pairs.column("w").to_numpy()
-    place = np.argsort(short)
-    before = counted_pairs.column("k").to_numpy()[place][np.searchsorted(short[place], _short(words).astype(np.int64))]
-    ratio, other = log_ratios(n0, n1, before.astype(float))
+    rank = np.empty(len(words), np.int64)
+    rank[np.argsort(-(n0 + n1), kind="stable")] = np.arange(len(words))
+    shared = docs.sparkSession.sparkContext.broadcast((words, rank))
+    pairs = docs.select(text).mapInArrow(lambda b: _pairs(b, shared), "key long").distinct()
+    k = pairs.groupBy(F.shiftright("key", _SHIFT).alias("w")).agg(F.count(F.lit(1)).alias("k")).toArrow()
+    before = np.zeros(len(words))
+    before[k.column("w").to_numpy()] = k.column("k").to_numpy()
+    before = before[rank]
+    ratio, other = log_ratios(n0, n1, before)
     model = Model(words, ratio, other, 0.5, (1.0, 0.0, 0.0, 0.0), (1.0, 1.0), share)
 
     # the evidence of the tuning rows under every share: max_labels rows of a few numbers at most
