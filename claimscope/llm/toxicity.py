@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc32_of, with_arrow, written
+from .common import crc32_of, free_shuffles, with_arrow, written
 from .words import FOLD, hashes, mix, parts, texts_of, words_of
 
 LABELS = 1 << 18
@@ -158,17 +158,16 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col:
     kinds = {r.toxic: r["count"] for r in marks.groupBy("toxic").count().collect()}
     share = sum(k for t, k in kinds.items() if t) / max(1, sum(kinds.values()))
 
-    classes = written(counted.mapInArrow(_class_counts, "h long, n0 long, n1 long").groupBy("h")
-                             .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-    sums = classes.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
-    if not (sums.n0 and sums.n1):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.5, (0.0,) * 4, (1.0, 1.0), share)
     # the distinct words of the labelled rows: what the model is, and what is broadcast
-    known = classes.toArrow()
+    known = (counted.mapInArrow(_class_counts, "h long, n0 long, n1 long").groupBy("h")
+                    .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
+    free_shuffles(docs.sparkSession)
     h = known.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
     words = h[order]
     n0, n1 = (known.column(c).to_numpy()[order].astype(float) for c in ("n0", "n1"))
+    if not (n0.sum() and n1.sum()):
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0, 0.5, (0.0,) * 4, (1.0, 1.0), share)
     rank = np.empty(len(words), np.int64)
     rank[np.argsort(-(n0 + n1), kind="stable")] = np.arange(len(words))
     shared = docs.sparkSession.sparkContext.broadcast((words, rank))
