@@ -64,14 +64,19 @@ def balanced_weights(df: DataFrame, label: str = "fraud_label", out: str = "weig
     return df.join(w, label, "left")
 
 
+#: Rows of a training task, and tasks that a small table is dealt to all the same.
+TRAINING_ROWS, TRAINING_TASKS = 20_000, 8
+
+
 def _training_layout(d: DataFrame, id_col: str = "provider_id") -> DataFrame:
-    """Cache the assembled training set, dealt by provider id into the session's shuffle partitions.
+    """Cache the assembled training set, dealt by provider id into tasks of about ``TRAINING_ROWS`` rows.
 
     Tree learners make one pass per level (and per boosting round), so the input is read
-    hundreds of times: caching avoids recomputing the features.  The layout depends on the
-    ids and the session only, so a fitted model does not change with the size of the table.
+    thousands of times: caching avoids recomputing the features, and each pass has as many tasks as the
+    rows need, not as many as a shuffle of the claims gets.  The session's shuffle partitions are the most.
     """
-    n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = min(most, max(TRAINING_TASKS, -(-d.count() // TRAINING_ROWS)))
     return d.repartition(n, id_col).sortWithinPartitions(id_col).persist()
 
 

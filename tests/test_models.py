@@ -84,3 +84,24 @@ def test_random_forest_beats_chance(spark):
     imp = mdl.feature_importance(model, ["f1", "f2"], spark).collect()
     assert imp[0].feature == "f1"
     assert abs(sum(r.importance for r in imp) - 1.0) < 1e-9 and F is not None
+
+
+def test_training_tasks_follow_the_rows_not_the_shuffle_partitions(spark, monkeypatch):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("provider_id"))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+
+    def tasks(partitions):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        d = mdl._training_layout(df)
+        try:
+            assert d.count() == 1000
+            return d.rdd.getNumPartitions()
+        finally:
+            d.unpersist()
+    try:
+        assert tasks("200") == tasks("64") == 8    # a pass over a small table is a few tasks on any cluster
+        assert tasks("4") == 4
+        monkeypatch.setattr(mdl, "TRAINING_ROWS", 50)
+        assert tasks("200") == 20                  # and grows with the table
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
