@@ -148,11 +148,11 @@ def _merged_all_sql():
 @register("s5_merge_dates", _merged_all_sql())
 def q_s5_dates(spark, sf_dir):
     """The history of all month ends lies on storage; short-term snapshots of many days are merged into it, twice."""
-    hist = materialize(pf.full_history(spark, sf_dir))
+    daily = pf.daily_claims(spark, sf_dir)
+    hist = materialize(pf.full_history(spark, sf_dir, daily))
     path = io.shared_path(spark, "claimscope/merged_history")
     io.write_partitioned(hist, path)
-    day = F.to_date("feature_timestamp")
-    src = materialize(pf.short_all(spark, sf_dir, hist).where((day == F.last_day(day)) | (F.dayofmonth(day) == 15)))
+    src = materialize(pf.short_all(daily, hist, lambda day: (day == F.last_day(day)) | (F.dayofmonth(day) == 15)))
     for _ in range(2):  # a repeated MERGE changes nothing
         merge.merge_dates(path, src, HISTORY_SCHEMA, ["entity_id", "feature_timestamp"], fe.SHORT_TERM_FEATURES)
     return round_doubles(merge.stored(spark, path, HISTORY_SCHEMA), 6)
