@@ -88,6 +88,15 @@ def _materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows that a task of an explicit shuffle is meant to hold.
+TASK_ROWS = 500_000
+
+
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Tasks for a shuffle of ``rows`` rows: the session's, or more where those would grow with the table."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+
+
 def top_k(df: DataFrame, order_by: Sequence[Column | str], k: int, rank_col: str | None = None) -> DataFrame:
     """Global top-k (TakeOrderedAndProject: each task keeps k rows) plus optional rank.
 

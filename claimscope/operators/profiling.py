@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import attach_scalars, count_if, flag_rate, money_avg, pct2
@@ -153,6 +153,31 @@ def provider_summary(claims: DataFrame, keys: Sequence[str] = ("provider_id", "p
     return claims.groupBy(*keys).agg(*aggs)
 
 
+def members_of_windows(pairs: DataFrame, months: int, num_partitions: int) -> DataFrame:
+    """V10 over time: distinct members of a provider's trailing ``months`` for each month end with a row.
+
+    ``pairs``: distinct (provider_id, member_id, month_end).  A member's months are in order, so each adds the
+    windows up to the member's next month only: a member enters a window once, and windows are running sums of entries
+    and exits per (provider, month).  No pair is repeated per window.
+    """
+    if months < 1:
+        raise ValueError("months must be >= 1")
+    known = pairs.where(F.col("provider_id").isNotNull() & F.col("month_end").isNotNull())
+    seen = Window.partitionBy("provider_id", "member_id").orderBy("month_end")
+    gone = F.last_day(F.add_months("month_end", months))  # the first window without this month
+    until = F.least(gone, F.coalesce(F.lead("month_end").over(seen), gone))
+    # a member that is not known counts for no window, but its month is asked for
+    one = F.when(F.col("member_id").isNotNull(), 1).otherwise(0)
+    spans = known.repartition(num_partitions, "provider_id", "member_id").select(
+        "provider_id", "month_end", until.alias("until"), one.alias("n"))
+    steps = F.inline(F.array(F.struct(F.col("month_end"), F.col("n"), F.lit(1).alias("asked")),
+                             F.struct(F.col("until").alias("month_end"), (-F.col("n")).alias("n"), F.lit(0).alias("asked"))))
+    per_month = spans.select("provider_id", steps).groupBy("provider_id", "month_end").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    running = Window.partitionBy("provider_id").orderBy("month_end").rowsBetween(Window.unboundedPreceding, 0)
+    return (per_month.withColumn("unique_members", F.sum("n").over(running).cast("long")).where(F.col("asked") == 1)
+            .select("provider_id", "month_end", "unique_members"))
+
+
 # V11
 def top_providers(summary: DataFrame, col: str, n: int = 10, id_col: str = "provider_id",
                   pct_cols: Sequence[str] = ()) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import sketches as sk
 from ..functions.columns import pct2_expr, round_doubles
-from ..functions.ranking import materialize
+from ..functions.ranking import materialize, tasks_for
 from ..operators import features as fe
 from ..operators import profiling as pr
 from ..sources import adapters as ad
-from ..sources.layout import write_bucketed
+from ..sources.layout import buckets_for, write_bucketed
 from . import features as pf
 from .catalog import ctes, register
 
@@ -219,15 +219,15 @@ FROM q JOIN claims c ON c.provider_id = q.provider_id AND c.service_date <= q.mo
   AND c.service_date >= date_trunc('month', q.month_end) - INTERVAL 2 MONTH GROUP BY 1, 2""")
 def q_member_windows(spark, sf_dir):
     """Distinct members of a provider's trailing three months for each month with claims."""
-    claims = ad.claims(spark, sf_dir).select("provider_id", "service_date", "member_id")
-    end = F.last_day("service_date")
-    monthly = materialize(sk.distinct_sketches(claims, ["provider_id", end.alias("month_end")], "member_id"))
+    # the claims are joined and read once, for the sketches and for the exact counts
+    pairs = materialize(ad.claims(spark, sf_dir).select("provider_id", "member_id", F.last_day("service_date").alias("month_end")).distinct())
+    parts = tasks_for(pairs, 3 * pairs.count())
+    monthly = materialize(sk.distinct_sketches(pairs, ["provider_id", "month_end"], "member_id"))
     # a month's sketch goes into three windows; windows without claims of their last month are not asked for
     spread = monthly.select("provider_id", F.explode(F.array(*[F.last_day(F.add_months("month_end", k)) for k in range(3)])).alias("month_end"), "members")
-    guess = sk.distinct_estimates(spread, ["provider_id", "month_end"], out="estimate").join(monthly.select("provider_id", "month_end"), ["provider_id", "month_end"], "left_semi")
-    pairs = claims.select("provider_id", "member_id", end.alias("month_end")).distinct()
-    exact = (pairs.select("provider_id", "member_id", F.explode(F.array(*[F.last_day(F.add_months("month_end", k)) for k in range(3)])).alias("month_end"))
-                  .groupBy("provider_id", "month_end").agg(F.count_distinct("member_id").alias("unique_members")))
+    asked = spread.join(monthly.select("provider_id", "month_end"), ["provider_id", "month_end"], "left_semi")
+    guess = sk.distinct_estimates(asked.repartition(parts, "provider_id", "month_end"), ["provider_id", "month_end"], out="estimate")
+    exact = pr.members_of_windows(pairs, 3, parts)
     return exact.join(guess, ["provider_id", "month_end"]).select(
         "provider_id", "month_end", "unique_members", sk.distinct_in_bound(F.col("estimate"), F.col("unique_members")).alias("sketch_in_bound"))
 
@@ -235,4 +235,5 @@ def q_member_windows(spark, sf_dir):
 # the provider summary from claims that lie in buckets by provider: no shuffle after the one that wrote them
 @register("v10_summary_from_buckets", CL + SUMMARY_SQL)
 def q_v10_buckets(spark, sf_dir):
-    return pr.provider_summary(write_bucketed(ad.claims(spark, sf_dir), "provider_id", 16))
+    rows = ad.read(spark, sf_dir, "lineitem").count()  # one claim per line item at most, from the files' footers
+    return pr.provider_summary(write_bucketed(ad.claims(spark, sf_dir), "provider_id", buckets_for(rows)))

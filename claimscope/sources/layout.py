@@ -16,6 +16,15 @@ from pyspark.sql import functions as F
 from .io import shared_path
 
 
+#: Rows that a bucket is meant to hold, and buckets of a small table.
+BUCKET_ROWS, LEAST_BUCKETS = 400_000, 16
+
+
+def buckets_for(rows: int) -> int:
+    """Number of buckets that keeps one bucket, and so the memory of one task, the same at any table size."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 def write_bucketed(df: DataFrame, key: str = "provider_id", buckets: int = 64, name: str = "claims") -> DataFrame:
     """``df`` as a table bucketed and sorted by ``key`` in the shared folder, read back with its layout.
 
