@@ -11,6 +11,8 @@ from ..streaming import short_term as st
 from .catalog import ctes, register
 
 WATERMARK_DAYS = 2
+# Rows that arrive together: with the open windows they are what the state of one run holds.
+CLAIMS_PER_ARRIVAL = 2_000_000
 STREAM_SQL = ctes(claims=ad.CLAIMS_SQL) + """,
 x AS (SELECT CAST(c.service_date + INTERVAL (k.k) DAY AS DATE) AS snapshot_date, c.*
       FROM claims c CROSS JOIN range(0, 7) k(k)),
@@ -30,13 +32,16 @@ FROM s JOIN b USING (snapshot_date)
 
 @register("f7_short_term_stream", STREAM_SQL)
 def q_stream(spark, sf_dir):
-    """Claims are landed as files and consumed by the stream (availableNow); the finished daily
-    snapshots are read back from the sink, and open dates are completed from the claims."""
+    """Claims arrive as files, a span of days at a time, and the stream takes up each arrival where it stopped; the finished
+    daily snapshots are read back from the sink, and open dates are completed from the claims."""
     base = io.shared_path(spark, f"claimscope/short-term-stream-{uuid.uuid4().hex[:12]}")
-    claims = ad.claims(spark, sf_dir)
-    claims.write.mode("overwrite").parquet(f"{base}/claims")
-    q = st.run_short_term_stream(spark, f"{base}/claims", claims.schema, f"{base}/snapshots", f"{base}/checkpoint",
-                                 watermark=f"{WATERMARK_DAYS} days")
-    q.awaitTermination()
+    inbox = f"{base}/inbox"
+    # ordered by day, so that an arrival reads only the row groups of its days
+    ad.claims(spark, sf_dir).select(*st.CLAIM_COLS).repartitionByRange("service_date").sortWithinPartitions("service_date").write.parquet(inbox)
+    claims = spark.read.parquet(inbox)
+    for span in st.arrivals(claims, CLAIMS_PER_ARRIVAL):
+        claims.where(span).write.mode("append").parquet(f"{base}/claims")
+        st.run_short_term_stream(spark, f"{base}/claims", claims.schema, f"{base}/snapshots", f"{base}/checkpoint",
+                                 watermark=f"{WATERMARK_DAYS} days").awaitTermination()
     out = spark.read.parquet(f"{base}/snapshots").select("snapshot_date", "provider_id", *st.MEASURES)
-    return round_doubles(st.complete(spark.read.parquet(f"{base}/claims"), out), 6)
+    return round_doubles(st.complete(claims, out), 6)

@@ -8,12 +8,13 @@ watermark advance, so each micro-batch holds complete snapshot dates and the
 per-date peer baseline (for the 7-day O/E ratio) is computed inside
 ``foreachBatch`` before the rows are written to the (idempotent) sink.
 
-State is bounded by (open windows x active providers); the watermark evicts it.
+State is bounded by (open windows x active providers) plus what one run reads; the watermark evicts it.  So
+files must not arrive all at once: ``arrivals`` cuts a backlog into spans of days, each taken up by a run of its own.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
@@ -22,6 +23,32 @@ from ..functions.ranking import materialize
 MEASURES = ["claim_count_7d", "high_acuity_pct_7d", "referral_rate_7d", "avg_paid_per_claim_7d",
             "avg_member_provider_distance_7d", "high_acuity_oe_ratio_7d"]
 
+CLAIM_COLS = ["provider_id", "service_date", "is_high_acuity_em", "is_referral", "total_paid_amount", "member_provider_distance"]
+
+
+def arrivals(claims: DataFrame, most: int) -> list[Column]:
+    """Conditions on ``claims`` that cut them into spans of days in their order, of about ``most`` rows each.
+
+    A span ends with the day that fills it, so a day is never cut.  Rows without a day come with the first.
+    """
+    if most < 1:
+        raise ValueError("most must be >= 1")
+    # one row per day
+    days = claims.groupBy("service_date").agg(F.count(F.lit(1)).alias("n")).orderBy("service_date").collect()
+    ends, n = [], 0
+    for d in days:
+        n += d["n"]
+        if n >= most and d["service_date"] is not None:
+            ends.append(d["service_date"])
+            n = 0
+    if n and ends:
+        ends.append(days[-1]["service_date"])  # nulls come first, so this is a day
+    c = F.col("service_date")
+    if len(ends) < 2:
+        return [F.lit(True)]
+    spans = [c.isNull() | (c <= F.lit(ends[0]))]
+    return spans + [(c > F.lit(a)) & (c <= F.lit(b)) for a, b in zip(ends, ends[1:])]
+
 
 def _sums() -> list:
     return [F.count(F.lit(1)).alias("claim_count_7d"),
