@@ -52,7 +52,8 @@ SHARES = (0.5, 0.2, 0.1, 0.05, 0.02, 0.01, 0.005, 0.002)
 _UNSPACED = "[\\x{0E00}-\\x{0EFF}\\x{1000}-\\x{109F}\\x{1780}-\\x{17FF}\\x{2E80}-\\x{A4CF}\\x{F900}-\\x{FAFF}\\x{FF66}-\\x{FF9F}\\x{20000}-\\x{3FFFF}]"
 #: Bits of the hash that tells words before apart which no labelled row has.
 _OTHERS = 20
-_SHIFT = 32
+#: Text of a bucket of pairs in bytes, bits by which the words before one word are spread, pairs sorted at once.
+_BUCKET_BYTES, _SPREAD, _HELD = 8 << 20, 3, 1 << 22
 
 
 class Model(NamedTuple):
@@ -100,9 +101,63 @@ def _texts(part: pa.RecordBatch, name: str = "text") -> pa.Array:
     return texts_of(part.column(part.schema.get_field_index(name)))
 
 
-def _pairs(batches, shared):
-    """Every (labelled word, word before) of a part once, in one number; frequent words have small numbers, which compress."""
+class _Layout(NamedTuple):
+    """Where the bits of a pair go: of the word's number the low ``split`` bits and of the number before it the low ``_SPREAD``
+    bits say the bucket, the rest is the pair's code in it.  So a word is in ``2**_SPREAD`` buckets, however frequent."""
+
+    bits: int  # of a number
+    split: int
+
+    def key(self, number: np.ndarray, before: np.ndarray) -> np.ndarray:
+        bucket = (number & ((1 << self.split) - 1)) << _SPREAD | before & ((1 << _SPREAD) - 1)
+        return bucket << self.code_bits | (number >> self.split) << (self.bits - _SPREAD) | before >> _SPREAD
+
+    @property
+    def code_bits(self) -> int:
+        return 2 * self.bits - self.split - _SPREAD
+
+    def number(self, bucket: int, code: np.ndarray) -> np.ndarray:
+        return (code >> (self.bits - _SPREAD)) << self.split | bucket >> _SPREAD
+
+
+def _layout(n_words: int, text_bytes: int) -> _Layout:
+    """Buckets follow the text, so that what a task holds of one does not."""
+    bits = (n_words + 1 + (1 << _OTHERS)).bit_length()
+    if 2 * bits > 62:
+        raise ValueError("too many labelled words")
+    buckets = max(1, text_bytes // _BUCKET_BYTES)
+    return _Layout(bits, min(bits, max(0, buckets.bit_length() - _SPREAD)))
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Ascending codes as gaps, in planes of bytes, compressed."""
+    planes = np.ascontiguousarray(np.diff(codes, prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", 3).compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data, decompressed_size=8 * n, asbytes=True), np.uint8)
+    return np.cumsum(np.ascontiguousarray(raw.reshape(8, n).T).reshape(-1).view("<i8"))
+
+
+def _pairs(batches, shared, layout: _Layout):
+    """Every (labelled word, word before) of about ``_HELD`` once; those of a bucket are one row.  Frequent words have small
+    numbers, so most gaps between the sorted pairs are short."""
     words, rank = shared.value
+    held, size = [], 0
+
+    def rows():
+        key = np.unique(np.concatenate(held))
+        bucket = key >> layout.code_bits
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        code = key & ((1 << layout.code_bits) - 1)
+        ends = np.append(first[1:], len(key))
+        for at in range(0, len(first), 1000):
+            some = list(zip(first[at:at + 1000].tolist(), ends[at:at + 1000].tolist()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[first[at:at + 1000]]), pa.array([e - f for f, e in some], pa.int64()),
+                 pa.array([packed(code[f:e]) for f, e in some], pa.binary())], names=["bucket", "n", "codes"])
+
     for batch in batches:
         for part in parts(batch, "text", 4 << 20):
             t = tokens(_texts(part))
@@ -113,9 +168,28 @@ def _pairs(batches, shared):
             number = np.where(known, rank[at], len(words) + 1 + (mix(t.hash) >> np.uint64(64 - _OTHERS)).astype(np.int64))[t.codes]
             before = np.concatenate([[0], number[:-1]])
             before[t.offsets[:-1][np.diff(t.offsets) > 0]] = len(words)  # the start of a text
-            key = np.unique((number << _SHIFT | before)[known[t.codes]])
-            for at in range(0, len(key), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(key[at:at + 100_000])], names=["key"])
+            mine = known[t.codes]
+            held.append(np.unique(layout.key(number[mine], before[mine])))
+            size += len(held[-1])
+            if size >= _HELD:
+                yield from rows()
+                held, size = [], 0
+    if size:
+        yield from rows()
+
+
+def _distinct_before(group: pa.Table, layout: _Layout) -> pa.Table:
+    """Distinct words before every word of a bucket."""
+    bucket = group.column("bucket")[0].as_py()
+    code, held, size = np.zeros(0, np.int64), [], 0
+    for n, data in zip(group.column("n").to_pylist(), group.column("codes")):
+        held.append(unpacked(data.as_py(), n))
+        size += n
+        if size >= _HELD:
+            code, held, size = np.unique(np.concatenate([code, *held])), [], 0
+    code = np.unique(np.concatenate([code, *held]))
+    w, k = np.unique(layout.number(bucket, code), return_counts=True)
+    return pa.table({"w": pa.array(w), "k": pa.array(k.astype(np.int64))})
 
 
 def _class_counts(batches):
@@ -171,8 +245,11 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, tune: Column, id_col:
     rank = np.empty(len(words), np.int64)
     rank[np.argsort(-(n0 + n1), kind="stable")] = np.arange(len(words))
     shared = docs.sparkSession.sparkContext.broadcast((words, rank))
-    pairs = docs.select(text).mapInArrow(lambda b: _pairs(b, shared), "key long").distinct()
-    k = pairs.groupBy(F.shiftright("key", _SHIFT).alias("w")).agg(F.count(F.lit(1)).alias("k")).toArrow()
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    layout = _layout(len(words), size)
+    pairs = docs.select(text).mapInArrow(lambda b: _pairs(b, shared, layout), "bucket long, n long, codes binary")
+    k = (pairs.groupBy("bucket").applyInArrow(lambda g: _distinct_before(g, layout), "w long, k long")
+              .groupBy("w").agg(F.sum("k").alias("k")).toArrow())
     before = np.zeros(len(words))
     before[k.column("w").to_numpy()] = k.column("k").to_numpy()
     before = before[rank]

@@ -5,11 +5,13 @@ import random
 import re
 import struct
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 import xxhash
@@ -312,6 +314,36 @@ def test_toxicity_model_equals_brute_force(spark):
         assert scored[i].score == pytest.approx(1 / (1 + np.exp(-(a * m + b * m * n ** 0.5 + c * np.log(n) + d))))
 
 
+def test_toxicity_pairs_move_in_few_bytes():
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [" ".join(words[min(int(rng.paretovariate(0.6)), 19_999)] for _ in range(300)) for _ in range(600)]
+    t = toxicity.tokens(pa.array(texts))
+    known, place = np.sort(t.hash), np.argsort(np.argsort(t.hash))
+    rank = np.empty(len(known), np.int64)
+    rank[place] = np.argsort(np.argsort(-np.bincount(t.codes, minlength=len(known)), kind="stable"))
+    number, want = rank[place][t.codes], set()
+    for a, b in zip(t.offsets[:-1], t.offsets[1:]):
+        want |= set(zip(number[a:b].tolist(), [len(known), *number[a:b - 1].tolist()]))
+    layout = toxicity._layout(len(known), 64 << 20)
+
+    class Shared:
+        value = known, rank
+
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=200)
+    rows = pa.Table.from_batches(toxicity._pairs(iter(batches), Shared, layout))
+    assert rows.num_rows > 8  # several buckets, each with its pairs in one row
+    assert sum(rows.column("n").to_pylist()) == len(want)
+    assert sum(len(x) for x in rows.column("codes").to_pylist()) < 4 * len(want)  # the pairs as numbers took over 7 bytes each
+    got = {}
+    for bucket in set(rows.column("bucket").to_pylist()):
+        group = rows.filter(pc.equal(rows.column("bucket"), bucket))
+        made = toxicity._distinct_before(pa.concat_tables([group, group]), layout)  # a pair of two tasks counts once
+        for w, k in zip(made.column("w").to_pylist(), made.column("k").to_pylist()):
+            got[w] = got.get(w, 0) + k
+    assert got == Counter(w for w, _ in want)
+
+
 def test_toxicity_never_reads_held_out_labels(spark):
     docs, labels = toxic_frames(spark, 400)
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
