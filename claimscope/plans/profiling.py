@@ -38,7 +38,7 @@ SELECT dataset_split, MIN(service_date) AS min_service_date, MAX(service_date) A
   COUNT(*) AS claim_count, COUNT(DISTINCT provider_id) AS provider_count, COUNT(DISTINCT member_id) AS member_count
 FROM split GROUP BY dataset_split""")
 def q_v2(spark, sf_dir):
-    return pr.split_summary(pf.full_split(ad.claims(spark, sf_dir)))
+    return pr.split_summary(pf.full_split(spark, sf_dir))
 
 
 @register("v3_cohort_rate", CL + f"""
@@ -171,7 +171,7 @@ def q_v12s(spark, sf_dir):
           .rstrip() + ")\nSELECT dataset_split, COUNT(*) AS provider_rows, COUNT(DISTINCT provider_id) AS providers, "
           "MIN(feature_timestamp) AS feature_timestamp FROM f GROUP BY dataset_split")
 def q_v13(spark, sf_dir):
-    return pr.snapshot_uniqueness(fe.provider_features_median(pf.full_split(ad.claims(spark, sf_dir))))
+    return pr.snapshot_uniqueness(pf.median_features(spark, sf_dir))
 
 
 @register("v14_cohort_assertions", CL + " UNION ALL ".join(

@@ -95,6 +95,24 @@ def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
     )
 
 
+def last_service_date(spark: SparkSession, sf_dir: str, days: int = 31) -> dt.date | None:
+    """The latest date of a claim.  Claims of the line items' last ``days`` are joined, and all of them only if there are none."""
+    last = read(spark, sf_dir, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
+    if last is None:
+        return None
+    newest = F.max("service_date")
+    near = claims(spark, sf_dir, start=last - dt.timedelta(days=days)).agg(newest).first()[0]
+    return near if near is not None else claims(spark, sf_dir).agg(newest).first()[0]
+
+
+def claim_load(spark: SparkSession, sf_dir: str, hot_rows: int = 1_000_000) -> tuple[int, list[str]]:
+    """Line items, and the providers with more than ``hot_rows`` of them (or than a thousandth of all: 1,000 at most).  Joins nothing."""
+    per = read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
+    rows = per.agg(F.sum("n")).first()[0] or 0
+    hot = per.where((F.col("n") > max(hot_rows, rows // 1000)) & F.col("l_suppkey").isNotNull())
+    return rows, [str(r.l_suppkey) for r in hot.select("l_suppkey").collect()]
+
+
 def _run_no(ts: Column) -> Column:
     return F.floor((F.dayofmonth(ts) - 1) / RUN_DAYS).cast("int")
 

@@ -80,3 +80,44 @@ def test_members_of_windows_equal_brute_force(spark):
     at = {e: i for i, e in enumerate(ends)}
     want = {(p, e): len({m for q, m, x in rows if q == p and m and x and 0 <= at[e] - at[x] < 3}) for p, _, e in rows if p and e}
     assert got == want
+
+
+def split_claims(spark):
+    rows = [("p1" if i % 3 else f"p{i % 40}", "c", "s", f"t{i % 4}" if i % 9 else None, "TEST" if i % 5 else "TRAIN", f"m{i % 70}" if i % 11 else None,
+             i % 2, i % 3 == 0 and 1 or 0, 0, 1, None if i % 7 == 0 else 1) for i in range(3000)]
+    money = [F.lit(f"{x}.25").cast(f"decimal(18,{s})").alias(c) for x, s, c in
+             ((3, 2, "total_billed_amt"), (2, 3, "total_allowed_amt"), (1, 4, "total_paid_amount"))]
+    return spark.createDataFrame(rows, "provider_id string, provider_city string, provider_state string, provider_specialty string, "
+                                       "dataset_split string, member_id string, is_high_acuity_em int, is_99214 int, is_99215 int, "
+                                       "is_referral int, is_eye_procedure int").select("*", *money)
+
+
+def test_claims_of_the_median_features_move_once_and_narrow(spark, monkeypatch):
+    plans, keep = [], fe.materialize
+    monkeypatch.setattr(fe, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    claims = split_claims(spark).checkpoint()
+    got = sorted(map(str, fe.provider_features_median(claims).collect()))
+    exchanges = [line for line in plans[0].splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 1 and "member_id" not in exchanges[0].split("hashpartitioning", 1)[1].split(")")[0]
+    assert plans[0].index("HashAggregate") < plans[0].index("Exchange") and "HashAggregate" not in plans[0][plans[0].index("Exchange"):]
+    hot = fe.provider_features_median(claims, rows=3000, hot=["p1", "p4"])
+    assert sorted(map(str, hot.collect())) == got
+    assert sum(r.total_claims for r in hot.collect()) == 3000
+
+
+def test_the_last_day_is_found_without_all_claims(spark, tmp_path, monkeypatch):
+    starts, claims = [], ad.claims
+    monkeypatch.setattr(ad, "claims", lambda s, d, start=None, end=None: starts.append(start) or claims(s, d, start, end))
+    want = claims(spark, SMALL).agg(F.max("service_date")).first()[0]
+    assert ad.last_service_date(spark, SMALL) == want and None not in starts
+    for t in ad.TABLES:
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SMALL}/{t}.parquet")
+    (tmp_path / "lineitem.parquet").unlink()
+    li = ad.read(spark, SMALL, "lineitem")
+    late = li.limit(1).withColumn("l_shipdate", F.expr("l_shipdate + interval 3 years")).withColumn("l_orderkey", F.lit(-7).cast("long"))
+    no_day = li.limit(2).withColumn("l_shipdate", F.lit(None).cast(li.schema["l_shipdate"].dataType))
+    li.unionByName(late).unionByName(no_day).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert ad.last_service_date(spark, str(tmp_path)) == want  # the newest line items have no order
+    rows, hot = ad.claim_load(spark, str(tmp_path), hot_rows=5)
+    n = ad.read(spark, str(tmp_path), "lineitem").groupBy("l_suppkey").count().collect()
+    assert rows == sum(r["count"] for r in n) and sorted(hot) == sorted(str(r.l_suppkey) for r in n if r["count"] > max(5, rows // 1000))
