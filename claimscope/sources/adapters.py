@@ -19,6 +19,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ COMPLETED_MIN_EVENTS = 5  # a case is completed at >= 5 error events, and pendin
 FIXTURE_DATA_MONTH = dt.date(2001, 9, 1)
 FIXTURE_TRAIN_MONTHS = 6
 FIXTURE_TEST_MONTHS = 3
+PLACED_BY = "provider_key"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,25 +50,38 @@ def _flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
-           end: dt.date | None = None) -> DataFrame:
-    """One claim per line item.  ``start``/``end`` (inclusive dates) prune the scan."""
+def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None, end: dt.date | None = None,
+           tasks: int | None = None, without: Sequence[str] = ()) -> DataFrame:
+    """One claim per line item.  ``start``/``end`` (inclusive dates) prune the scan.
+
+    With ``tasks`` the claims of a provider lie together, by the column ``PLACED_BY`` added then: the joined rows move
+    there before they are widened to claims, so the join with the providers and a grouping by ``PLACED_BY`` and other
+    columns move them no more.  No claims of the providers ``without`` are read then.
+    """
     li = read(spark, sf_dir, "lineitem")
     if start is not None:
         li = li.where(F.col("l_shipdate") >= F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz"))
     if end is not None:
         nxt = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
         li = li.where(F.col("l_shipdate") < F.lit(nxt).cast("timestamp_ntz"))
+    if without:
+        li = li.where(~F.coalesce(F.col("l_suppkey").cast("string").isin(*without), F.lit(False)))
+    # what is joined is as narrow as it can be: these columns move with every row
+    li = li.withColumns({"service_date": F.col("l_shipdate").cast("date"), "is_referral": _flag(F.col("l_returnflag") == "R")})
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    part = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type",
+                                              _flag(F.col("p_size") <= 10).alias("is_eye_procedure"))
     supp = read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
     j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
-           .join(part, li.l_partkey == part.p_partkey)
-           .join(supp, li.l_suppkey == supp.s_suppkey)
-           .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-           .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+           .join(part, li.l_partkey == part.p_partkey))
+    of_supp = F.col("l_suppkey") == F.col("s_suppkey")
+    in_nation, in_region = F.col("s_nationkey") == F.col("n_nationkey"), F.col("n_regionkey") == F.col("r_regionkey")
+    if tasks is None:
+        j = j.join(supp, of_supp).join(nation, in_nation).join(region, in_region)
+    else:  # one join, on the column that the rows lie by
+        j = j.repartition(tasks, "l_suppkey").join(supp.join(nation, in_nation).join(region, in_region), of_supp)
     billed = F.col("l_extendedprice").cast("decimal(18,2)")
     disc = F.col("l_discount")
     return j.select(
@@ -76,7 +91,7 @@ def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
         F.col("s_name").alias("provider_name"),
         F.col("p_type").alias("provider_specialty"),
         F.col("o_custkey").cast("string").alias("member_id"),
-        F.col("l_shipdate").cast("date").alias("service_date"),
+        F.col("service_date"),
         F.col("n_name").alias("provider_city"),
         F.col("r_name").alias("provider_state"),
         F.col("p_brand").alias("cpt_code"),
@@ -88,10 +103,11 @@ def claims(spark: SparkSession, sf_dir: str, start: dt.date | None = None,
         _flag(disc >= 0.07).alias("is_high_acuity_em"),
         _flag((disc >= 0.07) & (disc < 0.09)).alias("is_99214"),
         _flag(disc >= 0.09).alias("is_99215"),
-        _flag(F.col("l_returnflag") == "R").alias("is_referral"),
-        _flag(F.col("p_size") <= 10).alias("is_eye_procedure"),
+        F.col("is_referral"),
+        F.col("is_eye_procedure"),
         F.col("l_quantity").alias("member_provider_distance"),
         _flag(F.col("l_suppkey") % 5 == 0).alias("fraud_provider_label"),
+        *([F.col("l_suppkey").alias(PLACED_BY)] if tasks is not None else []),
     )
 
 

@@ -121,3 +121,45 @@ def test_the_last_day_is_found_without_all_claims(spark, tmp_path, monkeypatch):
     rows, hot = ad.claim_load(spark, str(tmp_path), hot_rows=5)
     n = ad.read(spark, str(tmp_path), "lineitem").groupBy("l_suppkey").count().collect()
     assert rows == sum(r["count"] for r in n) and sorted(hot) == sorted(str(r.l_suppkey) for r in n if r["count"] > max(5, rows // 1000))
+
+
+def star_tables(spark, folder):
+    """Line items of providers of uneven size, with keys that are null, unknown or repeated on either side."""
+    day, n = dt.datetime(2001, 1, 1), 3000
+
+    def put(name, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    put("lineitem", [(i % 400 if i % 17 else None, i % 31 if i % 19 else None, None if i % 23 == 0 else 1 if i % 3 else i % 13, i % 7, 1.0,
+                      None if i % 29 == 0 else i % 50 + 0.25, None if i % 37 == 0 else i % 11 / 100, "RAN"[i % 3] if i % 5 else None,
+                      day + dt.timedelta(days=i % 300) if i % 41 else None) for i in range(n)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_returnflag string, l_shipdate timestamp_ntz")
+    put("orders", [(k if k % 90 else None, k % 60 if k % 8 else None, day) for k in [*range(390), 5]],
+        "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    put("part", [(k, f"n{k}", "b", f"t{k % 4}" if k % 5 else None, k % 20 if k % 6 else None) for k in [*range(29), 3]],
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    put("supplier", [(k if k != 7 else None, f"s{k}", k % 4 if k != 6 else None) for k in [*range(11), 4]],
+        "s_suppkey long, s_name string, s_nationkey int")
+    put("nation", [(k, f"c{k}", k % 2) for k in range(4)], "n_nationkey int, n_name string, n_regionkey int")
+    put("region", [(k, f"r{k}") for k in range(2)], "r_regionkey int, r_name string")
+    return str(folder)
+
+
+@pytest.mark.parametrize("hot, broadcast", [([], "10m"), ([], "-1"), (["1", "4"], "10m")])
+def test_claims_move_to_their_provider_before_they_are_widened(spark, tmp_path, monkeypatch, hot, broadcast):
+    d = star_tables(spark, tmp_path)
+    want = sorted(map(str, fe.provider_features_median(pf.full_split(spark, d)).collect()))
+    plans, keep = [], fe.materialize
+    monkeypatch.setattr(fe, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or keep(df))
+    monkeypatch.setattr(ad, "claim_load", lambda s, d: (3000, hot))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert len(want) > 30 and sorted(map(str, pf.median_features(spark, d).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    placing = [line for line in plans[0].splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(placing) == 1 and "Exchange hashpartitioning(l_suppkey" in placing[0] and "isnotnull(l_suppkey" in plans[0]
+    moved_again = [line for line in plans[0].splitlines() if "Exchange hashpartitioning(provider_" in line]
+    assert bool(moved_again) == bool(hot)  # partial aggregates of providers whose claims do not lie together
