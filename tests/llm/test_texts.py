@@ -36,7 +36,7 @@ def frame(spark, rows, schema="doc_id long, text string"):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, small, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{small}/{t}.parquet')")
     cur = con.execute(ORACLE[name])
     names = [c[0] for c in cur.description]
