@@ -173,6 +173,52 @@ def test_pieces_edge_cases(spark, library):
     assert marked == "a b"
 
 
+def shuffled(node):
+    """Bytes that a plan that has run wrote to its shuffles."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled(node.executedPlan())
+    if name.startswith("ShuffleQueryStage"):
+        return shuffled(node.plan())
+    metric = node.metrics().get("shuffleBytesWritten")
+    children = node.children()
+    return (metric.get().value() if metric.isDefined() else 0) + sum(shuffled(children.apply(i)) for i in range(children.size()))
+
+
+def test_pieces_move_less_than_the_texts(spark):
+    rng = random.Random(4)
+    parts = ["th", "an", "in", "er", "ou", "ing", "ation", "ble", "st", "onde", "re", "é"]
+    words = ["".join(rng.choices(parts, k=4)) + rng.choice(["", "", ",", ".", "&&&"]) for _ in range(20000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(400)]
+    got = sp.encode(written(frame(spark, list(enumerate(texts))).repartition(2)), sp.load_pieces(MODEL))
+    assert len(got.collect()) == 400
+    assert shuffled(got._jdf.queryExecution().executedPlan()) < 0.45 * sum(len(t.encode()) for t in texts)
+
+
+def test_pieces_left_out_are_on_no_best_path(library):
+    pieces = sp.load_pieces(MODEL)
+    table = {i for _, i in sp.winners(pieces)}
+    assert len(table) < len(pieces.rows) / 2
+    kept = pieces._replace(rows=[r for r in pieces.rows if r[1] in table] + [("\0\0", 0, min(r[2] for r in pieces.rows))])  # the unknown cost stays
+    rng = random.Random(6)
+    texts = [" " + t.strip(" ") for t, _, _ in rng.sample(pieces.rows, 300) if t.strip(" ")]
+    texts += [" " + "".join(rng.choices("abcdeinorst,.-'éß日", k=12)) for _ in range(300)]
+    for t in texts:
+        assert plain_viterbi(t, kept) == plain_viterbi(t, pieces)
+    tied = sp.Pieces([("a", 0, -1.0), ("b", 1, -1.0), ("ab", 2, -2.0), ("ba", 3, -2.5)], -1, 9, [""] * 4)
+    assert [i for _, i in sp.winners(tied)] == [0, 1, 2]  # equal: the longer piece stays
+
+
+def test_texts_without_pieces(spark):
+    pieces = sp.load_pieces(MODEL)
+    df = written(frame(spark, [(1, ""), (2, None), (3, "\n"), (4, "\n\n \n"), (5, "0\x00\x7f"), (None, "é,\U0001F600é"), (None, "é,\U0001F600é")]))
+    got = [(r.doc_id, r.ids, r.t) for r in sp.encode(df, pieces).withColumn("t", sp.decode(F.col("ids"), pieces)).collect()]
+    assert sorted(t for _, _, t in got) == sorted(r.text or "" for r in df.collect()) and [i for i, ids, _ in got if not ids] in ([1, 2], [2, 1])
+    plain = pieces._replace(bytes_from=-1)  # no byte pieces: one unknown id per character
+    ids = {r.doc_id: r.ids for r in sp.encode(written(frame(spark, [(0, "a\U00010348\U00010349"), (1, "a")])), plain).collect()}
+    assert ids[0].count(plain.unknown) == 2 and ids[1] == plain_viterbi(" a", pieces)
+
+
 # language -----------------------------------------------------------------------
 def test_languages_held_out(spark, small):
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
