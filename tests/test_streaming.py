@@ -57,3 +57,27 @@ def test_stream_restart_is_incremental_and_duplicate_free(spark):
                  .withColumn("snapshot_date", F.date_add("service_date", F.col("k").cast("int")))
                  .groupBy("snapshot_date", "provider_id").agg(F.count(F.lit(1)).alias("claim_count_7d")))
     assert sorted(done.select("snapshot_date", "provider_id", "claim_count_7d").collect()) == sorted(want.collect())
+
+
+def test_a_claim_is_in_the_state_once_and_windows_reach_back_over_batches(spark):
+    base = io.shared_path(spark, f"test-stream-{uuid.uuid4().hex[:8]}")
+    src, sink, ckpt = f"{base}/claims", f"{base}/out", f"{base}/ckpt"
+    first = _claims(spark, dt.date(2024, 1, 1), 12)
+    # days without claims, and a provider who has none after the first files
+    second = _claims(spark, dt.date(2024, 1, 15), 9, ("p1",)).unionByName(_claims(spark, dt.date(2024, 2, 10), 3, ("p1",)))
+    put = 0
+    for part in (first, second):
+        part.write.mode("append").parquet(src)
+        q = st.run_short_term_stream(spark, src, first.schema, sink, ckpt)
+        q.awaitTermination()
+        put += sum(o.numRowsUpdated for p in q.recentProgress for o in p.stateOperators)
+    every = first.unionByName(second)
+    assert put == every.select("provider_id", "service_date").distinct().count()  # not seven windows each
+    out = spark.read.parquet(sink).select("snapshot_date", "provider_id", *st.MEASURES)
+    last = out.agg(F.max("snapshot_date")).first()[0]
+    assert last == dt.date(2024, 1, 23)  # the last finished day with a claim
+    want = st.complete(every, out.limit(0)).where(F.col("snapshot_date") <= F.lit(last))
+    assert sorted(out.collect()) == sorted(want.collect())
+    assert out.where("snapshot_date = date'2024-01-18' and provider_id = 'p2'").first().claim_count_7d == 1
+    done = st.complete(every, out)
+    assert sorted(done.collect()) == sorted(st.complete(every, out.limit(0)).collect())
