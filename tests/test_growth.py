@@ -66,6 +66,34 @@ def test_only_wanted_days_are_stored(spark, monkeypatch):
     assert sorted(some.collect()) == sorted(every.where("day(feature_timestamp) = 15").collect())
 
 
+def test_daily_snapshots_are_neither_moved_nor_stored(spark, monkeypatch):
+    rng = random.Random(11)
+    rows = [(p, DAY + dt.timedelta(days=d), 1, 0, 0, d % 2, 0, None, float(d)) for p in ("a", "b", None) for d in rng.sample(range(120), 40)]
+    daily = fe.daily_partials(spark.createDataFrame(rows, "provider_id string, service_date date, is_high_acuity_em int, is_99214 int, is_99215 int, "
+                              "is_referral int, is_eye_procedure int, total_paid_amount decimal(18,4), member_provider_distance double")).checkpoint()
+    # profiles of any time: at noon, at the last second of a day and after it, twice on a day, without a value, before all claims
+    at = [(p, dt.datetime.combine(DAY, dt.time()) + dt.timedelta(days=d, seconds=s), None if d % 5 == 0 else float(d) + s / 1e6)
+          for p in ("a", None) for d in (-9, 3, 10, 17, 30, 31, 44, 58, 90, 91) for s in (43200, 86399, 86399.5)[: 1 + d % 3]]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    hist = spark.createDataFrame([(p, t, *[v] * len(fe.LONG_TERM_FEATURES)) for p, t, v in at],
+                                 "provider_id string, feature_timestamp timestamp, " + ", ".join(f"{c} double" for c in fe.LONG_TERM_FEATURES))
+    profiles = [r[:3] for r in hist.select("provider_id", F.col("feature_timestamp").cast("string"), "high_acuity_pct").collect()]
+    stored, keep = [], fe.materialize
+    monkeypatch.setattr(fe, "materialize", lambda df: stored.append(df) or keep(df))
+    df = fe.short_term_backfill(None, hist, daily=daily)
+    got = {(r.provider_id, r.at[:10]): (r.claim_count_7d, r.high_acuity_pct) for r in df.withColumn("at", F.col("feature_timestamp").cast("string")).collect()}
+    want = {}
+    for p in ("a", "b", None):
+        of_p = [r[1] for r in rows if r[0] == p]
+        for d in {x + dt.timedelta(days=k) for x in of_p for k in range(7)}:
+            known = [(t, v) for q, t, v in profiles if q == p and p and v is not None and t <= f"{d} 23:59:59"]
+            want[p, str(d)] = (sum(0 <= (d - x).days < 7 for x in of_p), max(known)[1] if known else None)
+    assert got == want and stored == [] and len({v for _, v in want.values()}) > 5
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    spread = [i for i, line in enumerate(plan) if "Generate explode" in line]
+    assert len(spread) == 2 and not any("Exchange hashpartitioning(provider_id" in line for line in plan[:spread[0]])
+
+
 def test_buckets_follow_the_rows():
     assert layout.buckets_for(0) == layout.buckets_for(600_000) == 16
     assert all(n / layout.buckets_for(n) <= layout.BUCKET_ROWS for n in (10**7, 3 * 10**8, 10**11))
